@@ -93,3 +93,17 @@ def rc_bin_sql(x: str, edges: str) -> str:
     """Right-closed bin index (qcut)."""
     return (f"CASE WHEN {x} IS NULL THEN NULL ELSE "
             f"greatest(1, len(list_filter({edges}, lambda e: e < {x}))) END")
+
+HOUSE_CTE = SALES_CTE.rstrip() + """,
+house AS (
+  SELECT id AS "Id", price AS "SalePrice", yr_sold AS "YrSold", yr_built AS "YearBuilt",
+         yr_remod AS "YearRemodAdd", qty AS "TotalBsmtSF", ret_qty AS "1stFlrSF",
+         CAST(n_lines AS DOUBLE) AS "2ndFlrSF", CAST(floor(ext / 100) AS BIGINT) AS "GrLivArea",
+         quality AS "OverallQual", acctbal AS "GarageArea", n_lines - 4 AS "Fireplaces",
+         n_lines AS "FullBath", quality % 3 AS "HalfBath", nbhd AS "Neighborhood",
+         ext AS "LotArea", disc * 100 AS "LotFrontage", ret_qty AS "MasVnrArea",
+         acctbal AS "WoodDeckSF", ret_qty AS "OpenPorchSF", qty AS "EnclosedPorch",
+         segment AS "MSZoning", status AS "KitchenQual", priority AS "SaleType",
+         status AS "FireplaceQu"
+  FROM sales)
+"""

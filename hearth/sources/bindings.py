@@ -111,3 +111,26 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("cv_rmse"),
         s.cast("bigint").alias("size"),
     )
+
+
+def house(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales frame under house-sales column names, so the operators run
+    with their default column roles.  Roles without a stand-in (pool,
+    basement baths, two porch kinds) are absent on purpose."""
+    s = sales(spark, sf_dir)
+    return s.select(
+        F.col("id").alias("Id"), F.col("price").alias("SalePrice"),
+        F.col("yr_sold").alias("YrSold"), F.col("yr_built").alias("YearBuilt"),
+        F.col("yr_remod").alias("YearRemodAdd"),
+        F.col("qty").alias("TotalBsmtSF"), F.col("ret_qty").alias("1stFlrSF"),
+        F.col("n_lines").cast("double").alias("2ndFlrSF"),
+        F.floor(F.col("ext") / 100).cast("bigint").alias("GrLivArea"),
+        F.col("quality").alias("OverallQual"), F.col("acctbal").alias("GarageArea"),
+        (F.col("n_lines") - 4).alias("Fireplaces"), F.col("n_lines").alias("FullBath"),
+        (F.col("quality") % 3).alias("HalfBath"), F.col("nbhd").alias("Neighborhood"),
+        F.col("ext").alias("LotArea"), (F.col("disc") * 100).alias("LotFrontage"),
+        F.col("ret_qty").alias("MasVnrArea"), F.col("acctbal").alias("WoodDeckSF"),
+        F.col("ret_qty").alias("OpenPorchSF"), F.col("qty").alias("EnclosedPorch"),
+        F.col("segment").alias("MSZoning"), F.col("status").alias("KitchenQual"),
+        F.col("priority").alias("SaleType"), F.col("status").alias("FireplaceQu"),
+    )
