@@ -55,9 +55,9 @@ def _m3(spark, sf):
                     rnd("q3", 4).alias("q3"), "whisker_lo", "whisker_hi")
 
 
-def _hist_sql(xexpr: str, bins: int) -> str:
-    return f"""{S},
-d AS (SELECT {xexpr} AS x FROM sales WHERE {xexpr} IS NOT NULL),
+def _hist_sql(xexpr: str, bins: int, with_clause: str = S, src: str = "sales") -> str:
+    return f"""{with_clause},
+d AS (SELECT {xexpr} AS x FROM {src} WHERE {xexpr} IS NOT NULL),
 st AS (SELECT CASE WHEN MIN(x) = MAX(x) THEN MIN(x) - 0.5 ELSE MIN(x) END AS lo,
               CASE WHEN MIN(x) = MAX(x) THEN MAX(x) + 0.5 ELSE MAX(x) END AS hi,
               quantile_cont(x, 0.5) AS median FROM d),
