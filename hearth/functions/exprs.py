@@ -136,8 +136,11 @@ def log1p0(c: str | Column) -> Column:
 
 
 def unlog(c: str | Column) -> Column:
-    """Back from log space: max(expm1(x), 0)."""
-    return F.greatest(F.expm1(col_of(c)), F.lit(0.0))
+    """Back from log space: max(expm1(x), 0); NULL stays NULL (Spark's
+    greatest() would skip it)."""
+    x = col_of(c)
+    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
+        F.greatest(F.expm1(x), F.lit(0.0)))
 
 
 def agg_fused(df: DataFrame, exprs: Sequence[Column]) -> DataFrame:
