@@ -46,16 +46,17 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
 
 
 def load_train_test(spark: SparkSession, train_path: str, test_path: str, target: str,
-                    schema: StructType | None = None) -> tuple[DataFrame, DataFrame]:
+                    schema: StructType | None = None, fmt: str | None = None
+                    ) -> tuple[DataFrame, DataFrame]:
     """A2: read both tables; they must share the schema apart from the target."""
     missing = [p for p in (train_path, test_path) if not _exists(spark, p)]
     if missing:
         raise FileNotFoundError(f"missing input: {missing}")
-    train = read_table(spark, train_path, schema)
+    train = read_table(spark, train_path, schema, fmt=fmt)
     test_schema = None
     if schema is not None:
         test_schema = StructType([f for f in schema.fields if f.name != target])
-    test = read_table(spark, test_path, test_schema)
+    test = read_table(spark, test_path, test_schema, fmt=fmt)
     check_train_test(train, test, target)
     return train, test
 
