@@ -16,6 +16,7 @@ from hearth.operators.folds import assign_folds
 from hearth.operators.oof import fold_summary, oof_group_mean, oof_ridge1
 from hearth.plans.registry import query
 from hearth.plans.sqlparts import SALES_CTE, fold_sql, quantiles_sql, rc_bin_sql, ridge1_sql
+from hearth.session import cut_lineage
 from hearth.sources.bindings import sales
 
 KEEP = ["nbhd", "quality", "segment", "priority", "status", "yr_built", "qty", "ext",
@@ -31,16 +32,21 @@ def sales_xy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oof_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error frame of the OOF ridge with the kept features."""
-    p = oof_ridge1(sales_xy(spark, sf_dir), "x", "y", alpha=12.0)
+    """Error frame of the OOF ridge with the kept features.  The training
+    frame is checkpointed once: the fold statistics, the row path and the
+    quantile edges downstream all read it instead of re-running the
+    lineitem aggregation and the joins."""
+    p = oof_ridge1(cut_lineage(sales_xy(spark, sf_dir)), "x", "y", alpha=12.0)
     return error_frame(p, None, "id", "price", keep=KEEP)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction table (model, id, fold, pred_log) of three stand-in models
-    that are all computed from fold sufficient statistics."""
-    d = sales_xy(spark, sf_dir).withColumn(
-        "xq", log1p0(F.coalesce(F.col("qty"), F.lit(0.0))))
+    that are all computed from fold sufficient statistics (training frame
+    checkpointed once, read by all six passes)."""
+    d = cut_lineage(sales_xy(spark, sf_dir).withColumn(
+        "xq", log1p0(F.coalesce(F.col("qty"), F.lit(0.0)))).select(
+        "id", "fold", "x", "xq", "y", "priority"))
     a = oof_ridge1(d, "x", "y", alpha=12.0).select(
         F.lit("ridge_ext").alias("model"), "id", "fold", "pred_log")
     b = oof_ridge1(d, "xq", "y", alpha=12.0).select(
