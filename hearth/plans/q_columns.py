@@ -38,13 +38,13 @@ def _b2(spark, sf):
 
 
 @query("b3_log_target", f"""{W}
-SELECT "Id", round(ln(1 + "SalePrice"), 9) AS label,
+SELECT "Id", round(ln(1 + "SalePrice"), 6) AS label,
        round(greatest(exp(ln(1 + "SalePrice")) - 1, 0.0), 4) AS back FROM house
 """)
 def _b3(spark, sf):
     d = align.log_target(house(spark, sf), "SalePrice")
     d = align.unlog_pred(d, "label", "back")
-    return d.select("Id", rnd("label", 9).alias("label"), rnd("back", 4).alias("back"))
+    return d.select("Id", rnd("label", 6).alias("label"), rnd("back", 4).alias("back"))
 
 
 @query("b4_trim_quantiles", f"""WITH {SALES_CTE.strip()},
@@ -138,26 +138,26 @@ tr AS (SELECT * FROM house WHERE "YearBuilt" < 1998),
 g AS (SELECT "Neighborhood" AS nb, quantile_cont("LotFrontage", 0.5) AS m FROM tr
       WHERE "Neighborhood" IS NOT NULL GROUP BY 1),
 a AS (SELECT quantile_cont("LotFrontage", 0.5) AS m FROM tr)
-SELECT h."Id", round(coalesce(h."LotFrontage", g.m, a.m), 9) AS "LotFrontage"
+SELECT h."Id", round(coalesce(h."LotFrontage", g.m, a.m), 6) AS "LotFrontage"
 FROM house h LEFT JOIN g ON h."Neighborhood" = g.nb, a
 """)
 def _c3(spark, sf):
     h = house(spark, sf)
     m = impute.GroupMedianImputer(inputCol="LotFrontage", groupCol="Neighborhood").fit(
         h.filter(F.col("YearBuilt") < 1998))
-    return m.transform(h).select("Id", rnd("LotFrontage", 9).alias("LotFrontage"))
+    return m.transform(h).select("Id", rnd("LotFrontage", 6).alias("LotFrontage"))
 
 
 @query("c3_group_median_fill_plan", f"""{W},
 g AS (SELECT "Neighborhood" AS nb, quantile_cont("LotFrontage", 0.5) AS m FROM house
       WHERE "Neighborhood" IS NOT NULL GROUP BY 1),
 a AS (SELECT quantile_cont("LotFrontage", 0.5) AS m FROM house)
-SELECT h."Id", round(coalesce(h."LotFrontage", g.m, a.m), 9) AS "LotFrontage"
+SELECT h."Id", round(coalesce(h."LotFrontage", g.m, a.m), 6) AS "LotFrontage"
 FROM house h LEFT JOIN g ON h."Neighborhood" = g.nb, a
 """)
 def _c3p(spark, sf):
     d = impute.group_median_fill(house(spark, sf), "LotFrontage", "Neighborhood")
-    return d.select("Id", rnd("LotFrontage", 9).alias("LotFrontage"))
+    return d.select("Id", rnd("LotFrontage", 6).alias("LotFrontage"))
 
 
 @query("c4_fill_from_column", f"""{W}
@@ -282,7 +282,7 @@ def _flag(cond):
 
 def _log(c):
     x = f'CAST("{c}" AS DOUBLE)'
-    return f'round(ln(1 + CASE WHEN {x} < 0 THEN 0.0 ELSE {x} END), 9) AS "{c}_log"'
+    return f'round(ln(1 + CASE WHEN {x} < 0 THEN 0.0 ELSE {x} END), 6) AS "{c}_log"'
 
 
 FEAT_SQL = f"""{W},
@@ -324,7 +324,7 @@ LOG_OUT = [f"{c}_log" for c in features.LOG_COLS]
 
 def _feat(spark, sf):
     d = features.engineer(house(spark, sf))
-    return d.select(*[rnd(F.col(f"`{c}`"), 9).alias(c) if c in LOG_OUT else F.col(f"`{c}`")
+    return d.select(*[rnd(F.col(f"`{c}`"), 6).alias(c) if c in LOG_OUT else F.col(f"`{c}`")
                       for c in d.columns])
 
 
@@ -364,8 +364,8 @@ inc AS (SELECT "Id", "YrSold", "YearBuilt", "YearRemodAdd", "GrLivArea", "LotAre
         FROM house)
 SELECT "Id",
   round(coalesce("GrLivArea_log", ln(1 + CASE WHEN CAST("GrLivArea" AS DOUBLE) < 0 THEN 0.0
-        ELSE CAST("GrLivArea" AS DOUBLE) END)), 9) AS "GrLivArea_log",
-  round(ln(1 + CASE WHEN "LotArea" < 0 THEN 0.0 ELSE "LotArea" END), 9) AS "LotArea_log",
+        ELSE CAST("GrLivArea" AS DOUBLE) END)), 6) AS "GrLivArea_log",
+  round(ln(1 + CASE WHEN "LotArea" < 0 THEN 0.0 ELSE "LotArea" END), 6) AS "LotArea_log",
   CASE WHEN CAST("YrSold" AS DOUBLE) - CAST("YearBuilt" AS DOUBLE) < 0 THEN 0.0
        ELSE CAST("YrSold" AS DOUBLE) - CAST("YearBuilt" AS DOUBLE) END AS "HouseAge"
 FROM inc
@@ -377,8 +377,8 @@ def _d13(spark, sf):
                    F.when(F.col("Id") % 3 == 0, F.lit(None)).otherwise(base + 1.0)
                    .alias("GrLivArea_log"))
     d = features.derive_missing_fields(inc, variant="demo")
-    return d.select("Id", rnd("GrLivArea_log", 9).alias("GrLivArea_log"),
-                    rnd("LotArea_log", 9).alias("LotArea_log"), "HouseAge")
+    return d.select("Id", rnd("GrLivArea_log", 6).alias("GrLivArea_log"),
+                    rnd("LotArea_log", 6).alias("LotArea_log"), "HouseAge")
 
 
 _ = (to_num, unlog)

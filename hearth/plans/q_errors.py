@@ -19,12 +19,12 @@ LOGS = ["y_true_log", "y_pred_log", "residual_log", "abs_error_log", "ape_raw"]
 
 
 def _err_cols(d):
-    return [rnd(c, 2).alias(c) if c in MONEY else rnd(c, 9).alias(c) for c in MONEY + LOGS]
+    return [rnd(c, 2).alias(c) if c in MONEY else rnd(c, 6).alias(c) for c in MONEY + LOGS]
 
 
 @query("l1_error_frame", f"""{E}
 SELECT id, {", ".join(f"round({c}, 2) AS {c}" for c in MONEY)},
-       {", ".join(f"round({c}, 9) AS {c}" for c in LOGS)},
+       {", ".join(f"round({c}, 6) AS {c}" for c in LOGS)},
        coalesce(TRY_CAST(qty AS DOUBLE), 0.0) + coalesce(TRY_CAST(ext AS DOUBLE), 0.0)
          + coalesce(TRY_CAST(n_lines AS DOUBLE), 0.0) AS total_sf
 FROM err
@@ -38,7 +38,7 @@ def _l1(spark, sf):
 
 
 @query("l1_error_frame_notebook_sign", f"""{E}
-SELECT id, round(y_true - y_pred, 2) AS residual_raw, round(y_true_log - y_pred_log, 9) AS residual_log
+SELECT id, round(y_true - y_pred, 2) AS residual_raw, round(y_true_log - y_pred_log, 6) AS residual_log
 FROM err
 """)
 def _l1n(spark, sf):
@@ -47,7 +47,7 @@ def _l1n(spark, sf):
     p = oof_ridge1(sales_xy(spark, sf), "x", "y", alpha=12.0)
     d = errors.error_frame(p, None, "id", "price", sign="true_minus_pred")
     return d.select("id", rnd("residual_raw", 2).alias("residual_raw"),
-                    rnd("residual_log", 9).alias("residual_log"))
+                    rnd("residual_log", 6).alias("residual_log"))
 
 
 @query("l2_error_kpis", f"""{E}

@@ -73,11 +73,11 @@ def _a2(spark, sf):
 
 
 @query("a3_prepare_features", f"""{S}
-SELECT id, qty, nbhd, round(ln(1 + price), 9) AS label FROM sales
+SELECT id, qty, nbhd, round(ln(1 + price), 6) AS label FROM sales
 """)
 def _a3(spark, sf):
     d = io.prepare_features(sales(spark, sf), "id", "price")
-    return d.select("id", "qty", "nbhd", rnd("label", 9).alias("label"))
+    return d.select("id", "qty", "nbhd", rnd("label", 6).alias("label"))
 
 
 @query("a4_predictions_roundtrip", f"""WITH {PRED_SQL.strip()},

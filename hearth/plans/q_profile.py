@@ -199,8 +199,8 @@ def _m8j2(spark, sf):
 
 @query("m9_johnson_transform", f"""{S},
 st AS (SELECT AVG(ln(1 + price)) AS mu, stddev_pop(ln(1 + price)) AS sd FROM sales)
-SELECT id, round(0.0 + 1.0 * asinh((ln(1 + price) - mu) / sd), 8) AS yt,
-       round(sd * sinh((0.0 + 1.0 * asinh((ln(1 + price) - mu) / sd) - 0.0) / 1.0) + mu, 8) AS back
+SELECT id, round(0.0 + 1.0 * asinh((ln(1 + price) - mu) / sd), 6) AS yt,
+       round(sd * sinh((0.0 + 1.0 * asinh((ln(1 + price) - mu) / sd) - 0.0) / 1.0) + mu, 6) AS back
 FROM sales, st
 """)
 def _m9(spark, sf):
@@ -208,7 +208,7 @@ def _m9(spark, sf):
     st = s.agg(F.avg("y").alias("mu"), F.stddev_pop("y").alias("sd")).first()
     yt = dist.johnson_transform(F.col("y"), 0.0, 1.0, st["mu"], st["sd"])
     back = dist.johnson_inverse(yt, 0.0, 1.0, st["mu"], st["sd"])
-    return s.select("id", rnd(yt, 8).alias("yt"), rnd(back, 8).alias("back"))
+    return s.select("id", rnd(yt, 6).alias("yt"), rnd(back, 6).alias("back"))
 
 
 def _jb_sql(c: str) -> str:
@@ -268,14 +268,14 @@ def _m14(spark, sf):
 @query("e1_population_scaler", f"""{S},
 st AS (SELECT AVG(ext) AS m1, stddev_pop(ext) AS s1, AVG(CAST(quality AS DOUBLE)) AS m2,
               stddev_pop(quality) AS s2 FROM sales)
-SELECT id, round((ext - m1) / s1, 9) AS ext, round((quality - m2) / s2, 9) AS quality
+SELECT id, round((ext - m1) / s1, 6) AS ext, round((quality - m2) / s2, 6) AS quality
 FROM sales, st
 """)
 def _e1(spark, sf):
     d = sales(spark, sf).select("id", "ext", "quality")
     m = encode.PopulationScaler(inputCols=["ext", "quality"]).fit(d)
     out = m.transform(d)
-    return out.select("id", rnd("ext", 9).alias("ext"), rnd("quality", 9).alias("quality"))
+    return out.select("id", rnd("ext", 6).alias("ext"), rnd("quality", 6).alias("quality"))
 
 
 @query("e2_one_hot_all")
