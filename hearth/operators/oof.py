@@ -59,23 +59,22 @@ def oof_group_mean(df: DataFrame, by: str, y: str, fold_col: str = "fold",
                    out: str = "pred_log") -> DataFrame:
     """Stand-in model: out-of-fold mean of ``y`` per level of ``by`` computed
     on the training folds only (level total minus own fold); a NULL level or
-    a level seen only in its own fold falls back to the training-fold mean."""
+    a level seen only in its own fold falls back to the training-fold mean.
+
+    Statistics tables: (fold, level) sums partitioned by level, and K fold
+    totals; no window spans the whole statistics table."""
     ys = F.col(y).cast("double")
     g = (df.filter(ys.isNotNull()).groupBy(fold_col, by)
          .agg(F.count(F.lit(1)).alias("_c"), F.sum(ys).alias("_s")))
     w_lvl = Window.partitionBy(by)
-    w_all = Window.partitionBy(fold_col)
-    w_tot = Window.partitionBy()
-    # rows = folds x levels: bounded by k * number of levels
-    stats = g.select(
-        fold_col, by,
-        (F.sum("_c").over(w_lvl) - F.col("_c")).alias("_lc"),
-        (F.sum("_s").over(w_lvl) - F.col("_s")).alias("_ls"),
-        (F.sum("_c").over(w_tot) - F.sum("_c").over(w_all)).alias("_gc"),
-        (F.sum("_s").over(w_tot) - F.sum("_s").over(w_all)).alias("_gs"))
-    glob = stats.groupBy(fold_col).agg(F.first("_gc").alias("_gc"), F.first("_gs").alias("_gs"))
-    lvl = stats.filter(F.col(by).isNotNull()).select(fold_col, by, "_lc", "_ls")
-    j = (df.join(F.broadcast(glob), fold_col, "left")
+    lvl = g.filter(F.col(by).isNotNull()).select(
+        fold_col, by, (F.sum("_c").over(w_lvl) - F.col("_c")).alias("_lc"),
+        (F.sum("_s").over(w_lvl) - F.col("_s")).alias("_ls"))
+    ft = g.groupBy(fold_col).agg(F.sum("_c").alias("_fc"), F.sum("_s").alias("_fs"))
+    w_all = Window.partitionBy()  # over the K fold rows only
+    glob = ft.select(fold_col, (F.sum("_fc").over(w_all) - F.col("_fc")).alias("_gc"),
+                     (F.sum("_fs").over(w_all) - F.col("_fs")).alias("_gs"))
+    j = (df.join(F.broadcast(glob), fold_col, "left")  # K rows
          .join(lvl, [fold_col, by], "left"))  # k x levels: AQE broadcasts it when small
     pred = F.coalesce(F.when(F.col("_lc") > 0, F.col("_ls") / F.col("_lc")),
                       F.col("_gs") / F.col("_gc"))
