@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from hearth.functions.exprs import pct, to_num, unlog
+from hearth.operators.quantiles import exact_quantiles, strategy
 
 
 def align_schema(df: DataFrame, expected: Sequence[str], id_col: str,
@@ -42,10 +43,19 @@ def unlog_pred(df: DataFrame, pred: str, out: str = "pred") -> DataFrame:
     return df.withColumn(out, unlog(pred))
 
 
+def thresholds(df: DataFrame, c: str, probs: list[float], names: list[str]) -> DataFrame:
+    """One row with the requested quantiles of ``c`` (exact; distributed when
+    the quantile strategy says so)."""
+    if strategy(df) == "distributed":
+        q = exact_quantiles(df, c, probs, out="_q")
+        return q.select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return df.agg(*[pct(c, p).alias(n) for p, n in zip(probs, names)])
+
+
 def trim_quantiles(df: DataFrame, c: str, lo: float = 0.01, hi: float = 0.99) -> DataFrame:
     """Keep rows between the lo and hi quantiles (inclusive).  The bound
     row is one aggregate, joined by broadcast."""
-    b = df.agg(pct(c, lo).alias("_lo"), pct(c, hi).alias("_hi"))
+    b = thresholds(df, c, [lo, hi], ["_lo", "_hi"])
     return (df.join(F.broadcast(b), how="inner")
             .filter(F.col(c).between(F.col("_lo"), F.col("_hi"))).drop("_lo", "_hi"))
 
@@ -60,7 +70,7 @@ def segment_by_threshold(df: DataFrame, c: str, rule: str = "median", value: flo
         cond, j = x > F.lit(value), df
     else:
         p = 0.5 if rule == "median" else 0.75
-        j = df.join(F.broadcast(df.agg(pct(c, p).alias("_t"))), how="inner")
+        j = df.join(F.broadcast(thresholds(df, c, [p], ["_t"])), how="inner")
         cond = x > F.col("_t") if rule == "median" else x >= F.col("_t")
     return j.withColumn(out, F.when(cond, F.lit(labels[0])).otherwise(F.lit(labels[1]))) \
             .drop("_t")
@@ -68,7 +78,7 @@ def segment_by_threshold(df: DataFrame, c: str, rule: str = "median", value: flo
 
 def flag_top_share(df: DataFrame, c: str, share: float = 0.95, out: str = "is_top") -> DataFrame:
     """1 for rows at or above the ``share`` quantile of ``c``."""
-    t = df.agg(pct(c, share).alias("_t"))
+    t = thresholds(df, c, [share], ["_t"])
     return (df.join(F.broadcast(t), how="inner")
             .withColumn(out, F.coalesce(F.col(c) >= F.col("_t"), F.lit(False)).cast("int"))
             .drop("_t"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.exprs import hash_uniform, pct
+from hearth.operators.quantiles import exact_quantiles, strategy
 
 EPS_STD = 1e-9
 MISSING_SCORE = 10.0
@@ -190,7 +191,13 @@ def psi_edges(ref: DataFrame, cols: Sequence[str], bins: int = 10,
     distinct reference values (<= bins+1 of them); still fewer -> no edges."""
     probs = [i / bins for i in range(bins + 1)]
     long = _long_num(ref, cols).filter(F.col("x").isNotNull())
-    e = long.groupBy("feature").agg(F.sort_array(F.array_distinct(pct("x", probs))).alias("edges"))
+    mode = strategy(ref)
+    if mode == "distributed":
+        e = exact_quantiles(long, "x", probs, ["feature"], out="_q").select(
+            "feature", F.sort_array(F.array_distinct("_q")).alias("edges"))
+    else:
+        e = long.groupBy("feature").agg(
+            F.sort_array(F.array_distinct(pct("x", probs))).alias("edges"))
     if smoothing != "floor":
         return e
     dist = long.distinct()
@@ -200,8 +207,13 @@ def psi_edges(ref: DataFrame, cols: Sequence[str], bins: int = 10,
     dd = dist.join(few.select("feature", "_nu"), "feature")
     small = dd.filter(F.col("_nu") <= bins + 1).groupBy("feature").agg(
         F.array_sort(F.collect_set("x")).alias("_fb"))  # <= bins+1 values
-    large = dd.filter(F.col("_nu") > bins + 1).groupBy("feature").agg(
-        F.sort_array(F.array_distinct(pct("x", probs))).alias("_fb"))
+    big = dd.filter(F.col("_nu") > bins + 1)
+    if mode == "distributed":
+        large = exact_quantiles(big, "x", probs, ["feature"], out="_q").select(
+            "feature", F.sort_array(F.array_distinct("_q")).alias("_fb"))
+    else:
+        large = big.groupBy("feature").agg(
+            F.sort_array(F.array_distinct(pct("x", probs))).alias("_fb"))
     fb = small.unionByName(large)
     out = e.join(fb, "feature", "left").select(
         "feature", F.when(F.size("edges") >= 3, F.col("edges")).otherwise(F.col("_fb"))
@@ -209,6 +221,12 @@ def psi_edges(ref: DataFrame, cols: Sequence[str], bins: int = 10,
     return out.filter(F.col("edges").isNotNull() & (F.size("edges") >= 3))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Materialise a bounded table (features x edges) once, so the several
+    consumers below do not re-run the quantile plan."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def psi(ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10,
         smoothing: str = "floor") -> DataFrame:
     """K5: population stability index per numeric column.
@@ -217,7 +235,7 @@ def psi(ref: DataFrame, cur: DataFrame, cols: Sequence[str], bins: int = 10,
     unpadded edges; 'floor': edges padded by 1e-9, zero shares -> 1e-6,
     distinct-value fallback, < 3 edges -> NULL.  Bins are [a, b) with the
     last closed; values outside the edges are ignored."""
-    edges = psi_edges(ref, cols, bins, smoothing)
+    edges = _small(psi_edges(ref, cols, bins, smoothing))
     if smoothing == "floor":
         n = F.size("edges")
         edges = edges.select("feature", F.transform("edges", lambda e, i: F.when(

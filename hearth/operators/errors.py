@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions.exprs import pct, right_closed_bin
+from hearth.operators.quantiles import exact_quantiles, strategy
 
 
 def error_frame(preds: DataFrame, truth: DataFrame | None, id_col: str, target: str,
@@ -81,6 +82,9 @@ def compare_models(err: DataFrame, model_col: str = "model") -> DataFrame:
 def quantile_edges(df: DataFrame, c: str, q: int, by: Sequence[str] = ()) -> DataFrame:
     """Distinct sorted quantile edges P(c, i/q), i = 0..q (duplicates dropped)."""
     probs = [i / q for i in range(q + 1)]
+    if strategy(df) == "distributed":
+        e = exact_quantiles(df, c, probs, by, out="_q")
+        return e.select(*by, F.sort_array(F.array_distinct("_q")).alias("edges"))
     return df.filter(F.col(c).isNotNull()).groupBy(*by).agg(
         F.sort_array(F.array_distinct(pct(c, probs))).alias("edges"))
 

@@ -90,3 +90,28 @@ def test_average_rank_hot_value(spark):
     for v in (0.0, 5.0, 59.0):
         pos = [i + 1 for i, t in enumerate(s) if t == v]
         assert r[v] == pytest.approx(sum(pos) / len(pos))
+
+
+def test_distributed_quantiles_equal_spark_percentile(spark):
+    from hearth.operators.quantiles import exact_quantiles
+    s = sales(spark, SF)
+    probs = [0.0, 0.05, 0.1, 0.25, 0.333, 0.5, 0.9, 1.0]
+    for col, by in (("price", []), ("acctbal", []), ("qty", ["nbhd"])):
+        a = {tuple(r[:-1]): r[-1] for r in exact_quantiles(s, col, probs, by, buckets=8).collect()}
+        b = {tuple(r[:-1]): r[-1] for r in s.filter(F.col(col).isNotNull()).groupBy(*by).agg(
+            F.percentile(col, F.array(*[F.lit(p) for p in probs]))).collect()}
+        assert a == b
+
+
+def test_quantile_strategies_agree_on_operators(spark):
+    from hearth.operators.errors import quantile_edges
+    from hearth.operators.quantiles import set_quantile_strategy
+    s = sales(spark, SF)
+    try:
+        set_quantile_strategy("distributed")
+        a = quantile_edges(s, "price", 10).first()["edges"]
+        p = drift.psi(*events_split(spark, SF), ["value"], 10, "floor").first()["psi"]
+    finally:
+        set_quantile_strategy("auto")
+    assert a == quantile_edges(s, "price", 10).first()["edges"]
+    assert p == drift.psi(*events_split(spark, SF), ["value"], 10, "floor").first()["psi"]
