@@ -59,7 +59,7 @@ def _seg_sql(cond: str, stat: str = "") -> str:
     frm = f"FROM sales{', t' if stat else ''}"
     pre = f",\nt AS (SELECT {stat} AS t FROM sales)" if stat else ""
     return f"""WITH {SALES_CTE.strip()}{pre}
-SELECT CASE WHEN {cond} THEN 'high' ELSE 'low' END AS segment, COUNT(*) AS n, SUM(id) AS id_sum
+SELECT CASE WHEN {cond} THEN 'high' ELSE 'low' END AS segment, COUNT(*) AS n, CAST(SUM(id) AS BIGINT) AS id_sum
 {frm} GROUP BY 1"""
 
 
@@ -83,7 +83,7 @@ def _b5f(spark, sf):
 
 @query("b6_flag_top_share", f"""WITH {SALES_CTE.strip()},
 t AS (SELECT quantile_cont(price, 0.95) AS t FROM sales)
-SELECT CAST(coalesce(price >= t, false) AS INTEGER) AS is_top, COUNT(*) AS n, SUM(id) AS id_sum
+SELECT CAST(coalesce(price >= t, false) AS INTEGER) AS is_top, COUNT(*) AS n, CAST(SUM(id) AS BIGINT) AS id_sum
 FROM sales, t GROUP BY 1
 """)
 def _b6(spark, sf):
@@ -92,7 +92,7 @@ def _b6(spark, sf):
 
 
 @query("b7_drop_missing", f"""{W}
-SELECT COUNT(*) AS n, SUM("Id") AS id_sum FROM house
+SELECT COUNT(*) AS n, CAST(SUM("Id") AS BIGINT) AS id_sum FROM house
 WHERE TRY_CAST("TotalBsmtSF" AS DOUBLE) IS NOT NULL AND TRY_CAST("Neighborhood" AS DOUBLE) IS NULL
   AND TRY_CAST("LotFrontage" AS DOUBLE) IS NOT NULL
 """)

@@ -78,7 +78,7 @@ def _l3(spark, sf):
 
 @query("l4_quantile_bins_ties", f"""{E},
 e AS (SELECT {quantiles_sql('CAST(quality AS DOUBLE)', 10)} AS edges FROM err)
-SELECT CAST({rc_bin_sql('quality', 'e.edges')} AS INTEGER) AS bin, COUNT(*) AS n, SUM(id) AS id_sum
+SELECT CAST({rc_bin_sql('quality', 'e.edges')} AS INTEGER) AS bin, COUNT(*) AS n, CAST(SUM(id) AS BIGINT) AS id_sum
 FROM err, e GROUP BY 1
 """)
 def _l4(spark, sf):

@@ -133,7 +133,7 @@ def _g2(spark, sf_dir):
 
 @query("g1_assign_folds", f"""
 WITH {SALES_CTE.strip()}
-SELECT {fold_sql('id')} AS fold, COUNT(*) AS n, SUM(id) AS id_sum FROM sales GROUP BY 1
+SELECT {fold_sql('id')} AS fold, COUNT(*) AS n, CAST(SUM(id) AS BIGINT) AS id_sum FROM sales GROUP BY 1
 """)
 def _g1(spark, sf_dir):
     d = assign_folds(sales(spark, sf_dir).select("id"), "id", 5, 42)

@@ -54,7 +54,7 @@ def _a1c(spark, sf):
 
 @query("a2_load_train_test", f"""{S}
 SELECT CASE WHEN yr_built < 1998 THEN 'train' ELSE 'test' END AS split, COUNT(*) AS n,
-       SUM(id) AS id_sum, COUNT(CASE WHEN yr_built < 1998 THEN price END) AS with_target
+       CAST(SUM(id) AS BIGINT) AS id_sum, COUNT(CASE WHEN yr_built < 1998 THEN price END) AS with_target
 FROM sales GROUP BY 1
 """)
 def _a2(spark, sf):

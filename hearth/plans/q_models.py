@@ -252,7 +252,7 @@ def _g7(spark, sf):
 
 @query("g8_holdout_split", f"""{S}
 SELECT CASE WHEN {hash_sql('id')} % 100 < 20 THEN 'holdout' ELSE 'train' END AS split,
-       COUNT(*) AS n, SUM(id) AS id_sum FROM sales GROUP BY 1
+       COUNT(*) AS n, CAST(SUM(id) AS BIGINT) AS id_sum FROM sales GROUP BY 1
 """)
 def _g8(spark, sf):
     tr, ho = holdout_split(sales(spark, sf), "id", 0.2, 42)

@@ -233,7 +233,7 @@ def _h10(spark, sf):
 
 
 @query("h10_stage_summary_top", f"""{SUMMARY_SQL}
-SELECT stage, model, candidate, rmse_mean, rank FROM (
+SELECT stage, model, candidate, rmse_mean, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY stage ORDER BY rmse_mean, rmse_std, model, candidate) AS rank
   FROM sm) WHERE rank <= 30
 """)
