@@ -90,13 +90,16 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], top_k
     Top-k ties: higher count first, then lower value."""
     rl, rt = _level_counts(ref, cols, "ref")
     cl, ct = _level_counts(cur, cols, "cur")
+    # top-k levels of each side: the literal bound lets Catalyst plan a partial
+    # WindowGroupLimit, so a high-cardinality feature ships k rows per task
     w_r = Window.partitionBy("feature").orderBy(F.desc("ref_cnt"), F.asc("v"))
     w_c = Window.partitionBy("feature").orderBy(F.desc("cur_cnt"), F.asc("v"))
+    tr = rl.withColumn("_r", F.row_number().over(w_r)).filter(F.col("_r") <= F.lit(top_k))
+    tc = cl.withColumn("_r", F.row_number().over(w_c)).filter(F.col("_r") <= F.lit(top_k))
+    keys = tr.select("feature", "v").unionByName(tc.select("feature", "v")).distinct()
     # level tables: one row per (feature, level)
     both = rl.join(cl, ["feature", "v"], "full")
-    both = both.withColumn("_rr", F.when(F.col("ref_cnt").isNotNull(), F.row_number().over(w_r))) \
-               .withColumn("_cr", F.when(F.col("cur_cnt").isNotNull(), F.row_number().over(w_c)))
-    top = both.filter((F.col("_rr") <= top_k) | (F.col("_cr") <= top_k))
+    top = keys.join(both, ["feature", "v"], "left")  # <= 2k levels per feature
     top = top.select("feature", "v", F.coalesce("ref_cnt", F.lit(0)).alias("r"),
                      F.coalesce("cur_cnt", F.lit(0)).alias("c"))
     w_f = Window.partitionBy("feature")
@@ -151,15 +154,21 @@ def drift_report(ref: DataFrame, cur: DataFrame, cols: Sequence[str] | None = No
     return table, overall, ranking
 
 
-def profile_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """K4: reference profile so drift needs no raw reference: numeric
-    (mean, std, q05/q50/q95, null rate) and categorical (level counts map)."""
+def profile_stats(df: DataFrame, cols: Sequence[str] | None = None
+                  ) -> tuple[DataFrame, DataFrame]:
+    """K4: reference profile so drift needs no raw reference.
+
+    Returns (profile, levels): one profile row per column (numeric: mean,
+    std, q05/q50/q95, null rate; categorical: null rate and number of levels)
+    and a long level table (feature, level, count).  Levels stay a table, not
+    a per-feature map, so a high-cardinality column never becomes one row."""
     from pyspark.sql.types import NumericType
     cols = list(cols or df.columns)
     num = [c for c in cols if isinstance(df.schema[c].dataType, NumericType)]
     cat = [c for c in cols if c not in num]
     spark = df.sparkSession
     parts = []
+    levels = spark.createDataFrame([], "feature string, level string, count bigint")
     if num:
         s = _num_side(df, num, "p")
         parts.append(s.select(
@@ -167,21 +176,20 @@ def profile_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
             F.col("p_na_rate").alias("null_rate"), F.col("p_mean").alias("mean"),
             F.col("p_std").alias("std"), F.col("p_q")[0].alias("q05"),
             F.col("p_q")[1].alias("q50"), F.col("p_q")[2].alias("q95"),
-            F.lit(None).cast("map<string,bigint>").alias("levels")))
+            F.lit(None).cast("bigint").alias("n_levels")))
     if cat:
         lv, tot = _level_counts(df, cat, "p")
-        m = lv.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("v", "p_cnt")))
-                                      .alias("levels"))
-        parts.append(tot.join(m, "feature", "left").select(
+        levels = lv.select("feature", F.col("v").alias("level"), F.col("p_cnt").alias("count"))
+        nl = lv.groupBy("feature").agg(F.count(F.lit(1)).alias("n_levels"))
+        parts.append(tot.join(nl, "feature", "left").select(
             "feature", F.lit("categorical").alias("dtype"), F.col("p_rows").alias("rows"),
             F.col("p_na_rate").alias("null_rate"),
             *[F.lit(None).cast("double").alias(k) for k in ("mean", "std", "q05", "q50", "q95")],
-            "levels"))
+            F.coalesce("n_levels", F.lit(0)).alias("n_levels")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    del spark
-    return out
+    return out, levels
 
 
 def psi_edges(ref: DataFrame, cols: Sequence[str], bins: int = 10,
@@ -286,8 +294,10 @@ def category_shift(ref: DataFrame, cur: DataFrame, c: str, k: int = 8,
         d = df if keep_null else df.filter(F.col(c).isNotNull())
         g = d.groupBy(F.col(c).cast("string").alias("category")).agg(
             F.count(F.lit(1)).alias("_n"))
-        return g.select("category", (F.col("_n") / F.sum("_n").over(Window.partitionBy()))
-                        .alias(name))  # one row per level
+        tot = d.agg(F.count(F.lit(1)).alias("_t"))  # one row
+        return g.join(F.broadcast(tot), how="inner").select(
+            "category", (F.col("_n") / F.col("_t")).alias(name))
+
     r, i = shares(ref, "_r"), shares(cur, "_i").withColumnRenamed("category", "_c2")
     j = r.join(i, r.category.eqNullSafe(i._c2), "full")
     j = j.select(F.coalesce("category", "_c2").alias("category"),
