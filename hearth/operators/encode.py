@@ -105,6 +105,11 @@ def dummy_levels(df: DataFrame, cats: Sequence[str]) -> dict[str, list[str]]:
     """Distinct non-null levels per text column in one aggregate."""
     if not cats:
         return {}
+    # cardinality check with HyperLogLog before anything is collected
+    est = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in cats]).first()
+    wide = [c for c in cats if est[c] > MAX_DUMMY_LEVELS * 1.05]
+    if wide:
+        raise ValueError(f"{wide} have more than {MAX_DUMMY_LEVELS} levels; dummies need categories")
     row = df.agg(*[F.array_sort(F.collect_set(F.col(f"`{c}`"))).alias(c) for c in cats]).first()
     out = {}
     for c in cats:

@@ -15,7 +15,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -49,12 +49,28 @@ def fill_level(df: DataFrame, cols: Sequence[str], level: str = "MISSING") -> Da
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Most frequent non-null value per column, lowest value among ties; one
-    fused aggregate for all columns (categorical columns: bounded state)."""
+    """Most frequent non-null value per column, lowest value among ties.
+
+    Columns of the same type are unpivoted together, counted per (column,
+    value) with map-side partial aggregation, and the top level per column is
+    kept with a literal-bounded row_number (partial WindowGroupLimit), so no
+    task ever holds every distinct value.  One row per column reaches the
+    driver."""
     if not cols:
         return {}
-    row = df.agg(*[F.mode(F.col(f"`{c}`"), True).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    by_type: dict[str, list[str]] = {}
+    for c in cols:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    out = {c: None for c in cols}
+    w = Window.partitionBy("_f").orderBy(F.desc("_n"), F.asc("_v"))
+    for _t, cs in by_type.items():
+        long = df.select(*[F.col(f"`{c}`").alias(c) for c in cs]).unpivot(
+            [], cs, "_f", "_v").filter(F.col("_v").isNotNull())
+        top = (long.groupBy("_f", "_v").agg(F.count(F.lit(1)).alias("_n"))
+               .withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.lit(1)))
+        for r in top.collect():  # one row per column
+            out[r["_f"]] = r["_v"]
+    return out
 
 
 def medians(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -214,12 +230,13 @@ def defaults_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         if c in num:
             aggs.append(pct(F.col(f"`{c}`").cast("double"), 0.5).cast("string").alias(c))
         else:
-            aggs.append(F.coalesce(F.mode(F.col(f"`{c}`"), True).cast("string"),
-                                   F.lit("NA")).alias(c))
+            aggs.append(F.lit(None).cast("string").alias(c))  # filled from modes() below
     if present:
+        text_modes = modes(df, [c for c in present if c not in num])
         wide = df.agg(*aggs)
         wide = wide.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("NA")).alias(c) if c in num
-                             else F.col(f"`{c}`") for c in present])
+                             else F.coalesce(F.lit(text_modes[c]).cast("string"),
+                                             F.lit("NA")).alias(c) for c in present])
         long = wide.unpivot([], present, "feature", "default")
     else:
         long = spark.createDataFrame([], "feature string, default string")
