@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hearth.operators.folds import assign_folds
 from hearth.operators.oof import fold_summary, oof_predict, oof_ridge1
+from hearth.session import cut_lineage
 
 DETAIL_SCHEMA = ("stage string, model string, candidate string, seed int, cv_rmse double, "
                  "fold_mean double, fold_std double, best_iter_mean double, best_iter_std double")
@@ -71,8 +72,9 @@ def ridge1_candidates(df: DataFrame, x: str, y: str, id_col: str, alphas: dict[s
     """G5 detail for one-feature ridge candidates, as one lazy plan (per seed
     and alpha: one fold-statistics aggregate, no fitting loop)."""
     parts = []
+    base = cut_lineage(df.select(id_col, x, y))  # read by every seed x alpha plan
     for s in seeds:
-        d = assign_folds(df.select(id_col, x, y), id_col, k, s)
+        d = assign_folds(base, id_col, k, s)
         for name, a in alphas.items():
             p = oof_ridge1(d, x, y, alpha=a)
             fs = fold_summary(p, y, "pred_log")
