@@ -164,10 +164,14 @@ class Stacking(Estimator):
     def _fit(self, df: DataFrame) -> StackingModel:
         from hearth.operators.oof import oof_predict
         cols = [f"_b{i}" for i in range(len(self.bases))]
-        oof = df.select(self.id_col, self.label)
+        long = None
         for f, c in zip(self.bases, cols):
-            o, _t, _m = oof_predict(df, f, self.fold_col, self.id_col, self.k, out=c)
-            oof = oof.join(o.drop(self.fold_col), self.id_col)
+            o, _t, _m = oof_predict(df, f, self.fold_col, self.id_col, self.k, out="_p")
+            o = o.select(self.id_col, F.lit(c).alias("_base"), "_p")
+            long = o if long is None else long.unionByName(o)
+        # one pivot (explicit base list, no distinct pass) instead of a join per base
+        wide = long.groupBy(self.id_col).pivot("_base", cols).agg(F.first("_p"))
+        oof = wide.join(df.select(self.id_col, self.label), self.id_col)
         meta_in = VectorAssembler(inputCols=cols, outputCol="_meta_x").transform(oof)
         meta = Ridge(alpha=self.meta_alpha, featuresCol="_meta_x", labelCol=self.label).fit(meta_in)
         bases = [f().fit(df) for f in self.bases]

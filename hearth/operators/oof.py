@@ -92,29 +92,31 @@ def oof_predict(df: DataFrame, make_pipeline: Callable[[], object], fold_col: st
     materialised rows instead of recomputing the lineage; test predictions
     are the mean over the K fold models (G3)."""
     base = cut_lineage(df) if checkpoint else df
-    parts, test_parts, models = [], [], []
+    parts, models = [], []
     for i in range(k):
         model = make_pipeline().fit(base.filter(F.col(fold_col) != i))
         models.append(model)
         parts.append(model.transform(base.filter(F.col(fold_col) == i))
                      .select(id_col, F.lit(i).alias(fold_col), F.col(pred_col).alias(out)))
-        if test is not None:
-            test_parts.append(model.transform(test).select(
-                id_col, F.lit(i).alias(fold_col), F.col(pred_col).alias(out)))
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)
     test_avg = None
-    if test_parts:
-        u = test_parts[0]
-        for p in test_parts[1:]:
-            u = u.unionByName(p)
-        test_avg = fold_average(u, id_col, out)
+    if test is not None:
+        # the K fold models side by side on each test row: map-only, no shuffle
+        from hearth.operators.models import transform_isolated
+        names = [f"_f{i}" for i in range(k)]
+        t = transform_isolated(models, test.select(
+            *[F.col(f"`{c}`") for c in test.columns]), names, pred_col)
+        cols = [F.col(n) for n in names]
+        test_avg = t.select(id_col, (sum(cols[1:], cols[0]) / F.lit(float(k))).alias(out))
     return oof, test_avg, models
 
 
 def fold_average(preds: DataFrame, id_col: str, pred: str = "pred_log") -> DataFrame:
-    """Test prediction = mean over the fold models."""
+    """G3 for predictions already stored in long form (one row per fold
+    model and id): mean over the fold models.  ``oof_predict`` computes the
+    same mean map-side when it scores the test rows itself."""
     return preds.groupBy(id_col).agg(F.avg(pred).alias(pred))
 
 
