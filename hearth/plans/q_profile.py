@@ -278,7 +278,16 @@ def _e1(spark, sf):
     return out.select("id", rnd("ext", 6).alias("ext"), rnd("quality", 6).alias("quality"))
 
 
-@query("e2_one_hot_all")
+@query("e2_one_hot_all", f"""{S},
+ref AS (SELECT * FROM sales WHERE yr_built < 1998),
+cur AS (SELECT * FROM sales WHERE yr_built >= 1998),
+lv AS (SELECT (SELECT list_sort(list(DISTINCT segment)) FROM ref WHERE segment IS NOT NULL) AS ls,
+              (SELECT list_sort(list(DISTINCT status)) FROM ref WHERE status IS NOT NULL) AS lt)
+SELECT id,
+       list_transform(ls, x -> CASE WHEN segment = x THEN 1.0 ELSE 0.0 END) AS segment_ohe,
+       list_transform(lt, x -> CASE WHEN status = x THEN 1.0 ELSE 0.0 END) AS status_ohe
+FROM cur, lv
+""".replace("x -> ", "lambda x: "))
 def _e2(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
@@ -289,7 +298,12 @@ def _e2(spark, sf):
                       vector_to_array("status_ohe").alias("status_ohe"))
 
 
-@query("e3_assembler")
+@query("e3_assembler", f"""{S}
+SELECT id, CAST(10 + (SELECT COUNT(DISTINCT segment) FROM sales)
+                   + (SELECT COUNT(DISTINCT priority) FROM sales)
+                   + (SELECT COUNT(DISTINCT status) FROM sales) AS INTEGER) AS slots
+FROM sales
+""")
 def _e3(spark, sf):
     from pyspark.ml.functions import vector_to_array
     s = sales(spark, sf).drop("nbhd")
