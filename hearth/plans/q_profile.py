@@ -284,8 +284,8 @@ cur AS (SELECT * FROM sales WHERE yr_built >= 1998),
 lv AS (SELECT (SELECT list_sort(list(DISTINCT segment)) FROM ref WHERE segment IS NOT NULL) AS ls,
               (SELECT list_sort(list(DISTINCT status)) FROM ref WHERE status IS NOT NULL) AS lt)
 SELECT id,
-       list_transform(ls, x -> CASE WHEN segment = x THEN 1.0 ELSE 0.0 END) AS segment_ohe,
-       list_transform(lt, x -> CASE WHEN status = x THEN 1.0 ELSE 0.0 END) AS status_ohe
+       list_transform(ls, x -> CASE WHEN segment = x THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS segment_ohe,
+       list_transform(lt, x -> CASE WHEN status = x THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS status_ohe
 FROM cur, lv
 """.replace("x -> ", "lambda x: "))
 def _e2(spark, sf):
