@@ -145,3 +145,34 @@ def test_all_null_and_constant_columns(spark):
     d = spark.createDataFrame([(None, 1.0), (None, 1.0), (None, 1.0)], "a double, b double")
     p = drift.psi(d, d, ["a", "b"], 10, "floor")
     assert {r["feature"]: r["psi"] for r in p.collect()} == {"a": None, "b": None}
+
+
+def test_negative_under_log(spark):
+    d = spark.createDataFrame([(-5.0,), (0.0,), (None,), (1.0,)],
+                              "x double")
+    got = [r[0] for r in d.select(X.log1p0("x")).collect()]
+    assert got[:3] == [0.0, 0.0, None] and got[3] == pytest.approx(math.log(2.0))
+
+
+def test_single_row_statistics(spark):
+    d = spark.createDataFrame([(1, 5.0, "a")], "id int, x double, c string")
+    nd = drift.numeric_drift(d, d, ["x"]).first()
+    assert nd["ref_std"] == 0.0 and nd["drift_score"] == 0.0
+    assert errors.quantile_bins(d, "x", 10, label=None).first()["bin"] == 1
+
+
+def test_level_on_one_side_only(spark):
+    ref = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "c string")
+    cur = spark.createDataFrame([("a",), ("z",), ("z",), (None,)], "c string")
+    r = drift.categorical_drift(ref, cur, ["c"], 10).first()
+    assert r["unknown_rate"] == pytest.approx(0.5)  # 2 of 4 current rows, NULL included
+    shift = {x["category"]: x["shift"] for x in drift.category_shift(ref, cur, "c", 10).collect()}
+    assert shift["z"] == 50.0 and shift["b"] == 25.0 and shift[None] == 0.0
+
+
+def test_quantile_edge_ties_psi(spark):
+    # heavily tied column: floor PSI falls back to distinct values
+    ref = spark.createDataFrame([(float(v),) for v in [1] * 80 + [2] * 10 + [3] * 10], "x double")
+    cur = spark.createDataFrame([(float(v),) for v in [1] * 50 + [2] * 25 + [3] * 25], "x double")
+    p = drift.psi(ref, cur, ["x"], 10, "floor").first()["psi"]
+    assert p is not None and p > 0
