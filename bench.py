@@ -48,8 +48,8 @@ def main() -> None:
     from hearth.plans.registry import all_queries
     from hearth.session import get_spark
 
-    spark = get_spark(master=f"local[{cpus}]", app="hearth-bench",
-                      shuffle_partitions=int(cpus) * 2)
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
+    spark = get_spark(master=f"local[{cpus}]", app="hearth-bench", shuffle_partitions=parts)
     qs = all_queries()
     names = [n for n in HEADLINE if n in qs]
     only = os.environ.get("BENCH_ONLY")
