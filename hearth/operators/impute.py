@@ -74,9 +74,17 @@ def modes(df: DataFrame, cols: Sequence[str]) -> dict:
 
 
 def medians(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Exact (interpolated) median per column in one aggregate."""
+    """Exact (interpolated) median per column: one aggregate, or, under the
+    distributed quantile strategy, one bounded-state plan over all columns
+    unpivoted to (column, value)."""
     if not cols:
         return {}
+    from hearth.operators.quantiles import exact_quantiles, strategy
+    if strategy(df) == "distributed":
+        long = df.select(*[to_num(c).alias(c) for c in cols]).unpivot([], list(cols), "_f", "_x")
+        rows = exact_quantiles(long, "_x", [0.5], ["_f"], out="_q").collect()  # one per column
+        got = {r["_f"]: r["_q"][0] for r in rows}
+        return {c: got.get(c) for c in cols}
     row = df.agg(*[pct(to_num(c), 0.5).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
@@ -193,11 +201,19 @@ class GroupMedianImputer(Estimator, _StatsParams, DefaultParamsReadable, Default
             m._set(stats=json.dumps({"global": 0.0, "by_group": {}}))
             return m
         x = to_num(c)
-        glob = df.agg(pct(x, 0.5).alias("m")).first()["m"]
+        from hearth.operators.quantiles import exact_quantiles, strategy
+        distributed = strategy(df) == "distributed"
+        glob = medians(df, [c])[c]
         by = {}
         if g in df.columns:
-            grp = (df.filter(F.col(g).isNotNull()).groupBy(F.col(g).cast("string").alias("g"))
-                   .agg(pct(x, 0.5).alias("m")).filter(F.col("m").isNotNull()))
+            keyed = df.filter(F.col(g).isNotNull()).select(
+                F.col(g).cast("string").alias("g"), x.alias("_x"))
+            if distributed:  # a hot group is split over range buckets
+                grp = exact_quantiles(keyed, "_x", [0.5], ["g"], out="_q").select(
+                    "g", F.col("_q")[0].alias("m"))
+            else:
+                grp = keyed.groupBy("g").agg(pct("_x", 0.5).alias("m"))
+            grp = grp.filter(F.col("m").isNotNull())
             rows = grp.limit(MAX_GROUP_LEVELS + 1).collect()
             if len(rows) > MAX_GROUP_LEVELS:
                 raise ValueError(f"{g} has more than {MAX_GROUP_LEVELS} levels")

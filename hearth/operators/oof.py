@@ -83,7 +83,7 @@ def oof_group_mean(df: DataFrame, by: str, y: str, fold_col: str = "fold",
 
 def oof_predict(df: DataFrame, make_pipeline: Callable[[], object], fold_col: str,
                 id_col: str, k: int, pred_col: str = "prediction", out: str = "pred_log",
-                test: DataFrame | None = None, checkpoint: bool = True
+                test: DataFrame | None = None, checkpoint: bool = True, parallel: int = 4
                 ) -> tuple[DataFrame, DataFrame | None, list]:
     """Fit ``make_pipeline()`` on every fold's training rows and
     predict the held-out rows.  Returns (oof, test_avg, models).
@@ -92,12 +92,14 @@ def oof_predict(df: DataFrame, make_pipeline: Callable[[], object], fold_col: st
     materialised rows instead of recomputing the lineage; test predictions
     are the mean over the K fold models (G3)."""
     base = cut_lineage(df) if checkpoint else df
-    parts, models = [], []
-    for i in range(k):
-        model = make_pipeline().fit(base.filter(F.col(fold_col) != i))
-        models.append(model)
-        parts.append(model.transform(base.filter(F.col(fold_col) == i))
-                     .select(id_col, F.lit(i).alias(fold_col), F.col(pred_col).alias(out)))
+    # the K fits are independent Spark jobs: submit them concurrently
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, k))) as ex:
+        models = list(ex.map(
+            lambda i: make_pipeline().fit(base.filter(F.col(fold_col) != i)), range(k)))
+    parts = [m.transform(base.filter(F.col(fold_col) == i))
+             .select(id_col, F.lit(i).alias(fold_col), F.col(pred_col).alias(out))
+             for i, m in enumerate(models)]
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)

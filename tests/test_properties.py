@@ -115,3 +115,19 @@ def test_quantile_strategies_agree_on_operators(spark):
         set_quantile_strategy("auto")
     assert a == quantile_edges(s, "price", 10).first()["edges"]
     assert p == drift.psi(*events_split(spark, SF), ["value"], 10, "floor").first()["psi"]
+
+
+def test_imputers_under_distributed_quantiles(spark):
+    from hearth.operators.impute import GroupMedianImputer, MedianImputer
+    from hearth.operators.quantiles import set_quantile_strategy
+    from hearth.sources.bindings import house
+    h = house(spark, SF)
+    base = (MedianImputer(inputCols=["LotFrontage", "GrLivArea"]).fit(h)._stats(),
+            GroupMedianImputer(inputCol="LotFrontage", groupCol="Neighborhood").fit(h)._stats())
+    try:
+        set_quantile_strategy("distributed")
+        dist_ = (MedianImputer(inputCols=["LotFrontage", "GrLivArea"]).fit(h)._stats(),
+                 GroupMedianImputer(inputCol="LotFrontage", groupCol="Neighborhood").fit(h)._stats())
+    finally:
+        set_quantile_strategy("auto")
+    assert base == dist_
