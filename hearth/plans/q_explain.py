@@ -24,8 +24,6 @@ cur AS (SELECT * FROM sales WHERE yr_built >= 1998)"""
 def _fitted(spark, sf, est, linear=True):
     d = model_frame(spark, sf)
     m = pipe(d, est, linear)().fit(d)
-    x = Pipeline(stages=m.stages[:-1]).fit(d).transform(d) if False else None
-    del x
     feats = m.transform(d.limit(1))
     return m, explain.slot_names(feats, "features")
 
