@@ -98,7 +98,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Reference = 2024-01-01..15, current = 2024-01-16..30 (pushed into the scan)."""
     e = events(spark, sf_dir)
-    cut = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    # wall-clock literal of the same type as the column, so the split does not
+    # depend on the session time zone
+    ts_type = e.schema["ts"].dataType.simpleString()
+    cut = F.lit("2024-01-16 00:00:00").cast(ts_type)
     return e.filter(F.col("ts") < cut), e.filter(F.col("ts") >= cut)
 
 
