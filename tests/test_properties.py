@@ -131,3 +131,14 @@ def test_imputers_under_distributed_quantiles(spark):
     finally:
         set_quantile_strategy("auto")
     assert base == dist_
+
+
+def test_event_split_independent_of_session_zone(spark):
+    before = [d.count() for d in events_split(spark, SF)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        after = [d.count() for d in events_split(spark, SF)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert before == after
