@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.exprs import hash_uniform, pct
-from hearth.operators.quantiles import exact_quantiles, strategy
+from hearth.operators.quantiles import exact_quantiles, strategy, with_quantiles
 
 EPS_STD = 1e-9
 MISSING_SCORE = 10.0
@@ -38,12 +38,12 @@ def _long_cat(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _num_side(df: DataFrame, cols: Sequence[str], p: str) -> DataFrame:
     long = _long_num(df, cols)
     x = F.col("x")
-    return long.groupBy("feature").agg(
+    return with_quantiles(long, ["feature"], [
         F.count(F.lit(1)).alias(f"{p}_rows"), F.count(x).alias(f"{p}_n"),
         F.avg(x).alias(f"{p}_mean"),
         F.coalesce(F.stddev_samp(x), F.lit(0.0)).alias(f"{p}_std"),
-        pct(x, [0.05, 0.5, 0.95]).alias(f"{p}_q"),
-        (1.0 - F.count(x) / F.count(F.lit(1))).alias(f"{p}_na_rate"))
+        (1.0 - F.count(x) / F.count(F.lit(1))).alias(f"{p}_na_rate")],
+        [("x", [0.05, 0.5, 0.95], f"{p}_q")])
 
 
 def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:

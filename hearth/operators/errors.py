@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions.exprs import pct, right_closed_bin
-from hearth.operators.quantiles import exact_quantiles, strategy
+from hearth.operators.quantiles import exact_quantiles, strategy, with_quantiles
 
 
 def error_frame(preds: DataFrame, truth: DataFrame | None, id_col: str, target: str,
@@ -61,11 +61,11 @@ def error_frame(preds: DataFrame, truth: DataFrame | None, id_col: str, target:
 
 def error_kpis(err: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """L2: RMSE, MAE, p90 and p95 of the absolute raw error."""
-    return err.groupBy(*by).agg(
-        F.sqrt(F.avg(F.pow("residual_raw", 2))).alias("rmse"),
-        F.avg("abs_error_raw").alias("mae"),
-        pct("abs_error_raw", 0.9).alias("p90_abs"),
-        pct("abs_error_raw", 0.95).alias("p95_abs"))
+    g = with_quantiles(err, by, [F.sqrt(F.avg(F.pow("residual_raw", 2))).alias("rmse"),
+                                 F.avg("abs_error_raw").alias("mae")],
+                       [("abs_error_raw", [0.9, 0.95], "_q")])
+    return g.select(*by, "rmse", "mae", F.col("_q")[0].alias("p90_abs"),
+                    F.col("_q")[1].alias("p95_abs"))
 
 
 def compare_models(err: DataFrame, model_col: str = "model") -> DataFrame:
@@ -127,10 +127,13 @@ def segment_errors(err: DataFrame, by: str | Sequence[str], with_p90: bool = Fal
     """N, MAE, MAPE and median true value per segment."""
     by = [by] if isinstance(by, str) else list(by)
     aggs = [F.count(F.lit(1)).alias("n"), F.avg("abs_error_raw").alias("mae"),
-            F.avg("ape_raw").alias("mape"), pct("y_true", 0.5).alias("median_true")]
+            F.avg("ape_raw").alias("mape")]
+    qs = [("y_true", [0.5], "_qm")] + ([("abs_error_raw", [0.9], "_qp")] if with_p90 else [])
+    g = with_quantiles(err, by, aggs, qs)
+    out = [*by, "n", "mae", "mape", F.col("_qm")[0].alias("median_true")]
     if with_p90:
-        aggs.append(pct("abs_error_raw", 0.9).alias("p90_abs"))
-    return err.groupBy(*by).agg(*aggs)
+        out.append(F.col("_qp")[0].alias("p90_abs"))
+    return g.select(*out)
 
 
 def worst_segment(err: DataFrame, by: str) -> DataFrame:

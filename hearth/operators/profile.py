@@ -206,11 +206,12 @@ def data_overview(train: DataFrame, test: DataFrame | None, target: str,
 def feature_profile(df: DataFrame, cols: Sequence[str], min_values: int = 20) -> DataFrame:
     """p05, p50, p95 and IQR (at least 1e-9) per column; columns with
     fewer than ``min_values`` values are skipped.  One aggregate."""
-    aggs = [F.struct(F.count(F.col(f"`{c}`")).alias("n"),
-                     pct(F.col(f"`{c}`").cast("double"), [0.05, 0.25, 0.5, 0.75, 0.95]).alias("q"))
-            .alias(c) for c in cols]
-    long = df.agg(*aggs).unpivot([], list(cols), "feature", "s")
-    return long.filter(F.col("s.n") >= min_values).select(
-        "feature", F.col("s.q")[0].alias("p05"), F.col("s.q")[2].alias("p50"),
-        F.col("s.q")[4].alias("p95"),
-        F.greatest(F.col("s.q")[3] - F.col("s.q")[1], F.lit(1e-9)).alias("iqr"))
+    from hearth.operators.quantiles import with_quantiles
+    long = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).unpivot(
+        [], list(cols), "feature", "_x")
+    g = with_quantiles(long, ["feature"], [F.count("_x").alias("n")],
+                       [("_x", [0.05, 0.25, 0.5, 0.75, 0.95], "q")])
+    return g.filter(F.col("n") >= min_values).select(
+        "feature", F.col("q")[0].alias("p05"), F.col("q")[2].alias("p50"),
+        F.col("q")[4].alias("p95"),
+        F.greatest(F.col("q")[3] - F.col("q")[1], F.lit(1e-9)).alias("iqr"))

@@ -66,6 +66,38 @@ def _join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     return a.join(br, cond).drop(*[f"__{k}" for k in keys])
 
 
+def left_join_ns(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on ``keys`` where NULL keys match."""
+    if not keys:
+        return a.join(b, how="left")
+    br = b.select(*[F.col(k).alias(f"__{k}") for k in keys],
+                  *[c for c in b.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = a[k].eqNullSafe(br[f"__{k}"])
+        cond = c if cond is None else cond & c
+    return a.join(br, cond, "left").drop(*[f"__{k}" for k in keys])
+
+
+def with_quantiles(df: DataFrame, by: Sequence[str], aggs: list, qspecs: list) -> DataFrame:
+    """Grouped aggregate ``aggs`` plus quantile arrays ``qspecs`` =
+    [(value column, probs, output name)].  Small inputs: one aggregate with
+    Spark's exact percentile.  Large inputs (strategy 'distributed' or
+    'auto' above the threshold): the quantiles come from the bounded-state
+    distributed computation and are joined back per group (NULL groups
+    included)."""
+    from hearth.functions.exprs import pct
+    by = list(by)
+    if strategy(df) != "distributed":
+        qa = [pct(c, [float(p) for p in probs]).alias(name) for c, probs, name in qspecs]
+        return (df.groupBy(*by) if by else df.groupBy()).agg(*aggs, *qa)
+    base = (df.groupBy(*by) if by else df.groupBy()).agg(*aggs)
+    for c, probs, name in qspecs:
+        q = exact_quantiles(df, c, probs, by, out=name)
+        base = left_join_ns(base, q, by) if by else base.join(F.broadcast(q), how="left")
+    return base
+
+
 def ranked_values(df: DataFrame, v: str, by: Sequence[str] = (), buckets: int = 64
                   ) -> tuple[DataFrame, DataFrame]:
     """Distinct values with their count and the number of rows strictly
