@@ -138,9 +138,10 @@ def segment_errors(err: DataFrame, by: str | Sequence[str], with_p90: bool = Fal
 
 def worst_segment(err: DataFrame, by: str) -> DataFrame:
     """The segment with the highest mean absolute error (one row)."""
-    g = err.filter(F.col(by).isNotNull()).groupBy(by).agg(
+    g = with_quantiles(err.filter(F.col(by).isNotNull()), [by], [
         F.count(F.lit(1)).alias("n"), F.avg("abs_error_raw").alias("mean_abs"),
-        pct("abs_error_raw", 0.9).alias("p90_abs"), F.avg("ape_raw").alias("mean_ape"))
+        F.avg("ape_raw").alias("mean_ape")], [("abs_error_raw", [0.9], "_q")])
+    g = g.select(by, "n", "mean_abs", F.col("_q")[0].alias("p90_abs"), "mean_ape")
     return g.orderBy(F.desc("mean_abs"), F.asc(by)).limit(1)
 
 
@@ -177,10 +178,11 @@ def category_risk(err: DataFrame, c: str, min_n: int = 10,
     """Per-level errors of a category, only when the category is filled
     on more than ``min_coverage`` of the rows; levels need n >= min_n."""
     cov = err.agg(F.avg(F.col(c).isNotNull().cast("double")).alias("_cov"))
-    g = (err.filter(F.col(c).isNotNull()).groupBy(c).agg(
+    g = with_quantiles(err.filter(F.col(c).isNotNull()), [c], [
         F.count(F.lit(1)).alias("n"), F.avg("abs_error_raw").alias("mae"),
-        F.avg("ape_raw").alias("mape"), pct("y_true", 0.5).alias("median_true"))
-        .filter(F.col("n") >= min_n))
+        F.avg("ape_raw").alias("mape")], [("y_true", [0.5], "_q")])
+    g = g.select(c, "n", "mae", "mape", F.col("_q")[0].alias("median_true")).filter(
+        F.col("n") >= min_n)
     return (g.join(F.broadcast(cov), how="inner")  # one-row coverage scalar
             .filter(F.col("_cov") > min_coverage).drop("_cov"))
 
@@ -189,9 +191,10 @@ def top_segments(err: DataFrame, features: DataFrame, id_col: str, by: str,
                  k: int = 25) -> DataFrame:
     """The k worst levels of ``by`` by MAE after joining the features."""
     j = join_features(err, features, id_col, [by])
-    g = j.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.avg("abs_error_raw").alias("mae"),
-                          F.avg("ape_raw").alias("mape"),
-                          pct("y_true", 0.5).alias("median_price"))
+    g = with_quantiles(j, [by], [F.count(F.lit(1)).alias("n"),
+                                 F.avg("abs_error_raw").alias("mae"),
+                                 F.avg("ape_raw").alias("mape")], [("y_true", [0.5], "_q")])
+    g = g.select(by, "n", "mae", "mape", F.col("_q")[0].alias("median_price"))
     return g.orderBy(F.desc("mae"), F.asc(by)).limit(k)
 
 

@@ -38,8 +38,8 @@ def melt(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = (),
 def box_summary(df: DataFrame, c: str, by: str) -> DataFrame:
     """M3: quartiles, median and 1.5*IQR whiskers per level.  Two passes:
     quartiles per level, then the extreme values inside the whisker fences."""
-    q = df.groupBy(by).agg(F.count(F.col(c)).alias("n"),
-                           pct(c, [0.25, 0.5, 0.75]).alias("_q"))
+    from hearth.operators.quantiles import with_quantiles
+    q = with_quantiles(df, [by], [F.count(F.col(c)).alias("n")], [(c, [0.25, 0.5, 0.75], "_q")])
     q = q.select(by, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
     q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
