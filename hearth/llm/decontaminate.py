@@ -110,7 +110,6 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, window: int, sizes: list[
 
     def work(batches):
         for batch in batches:
-            ids = batch.column(0)
             for at, rows, data, offsets in text_slices(batch, "t"):
                 data, words, first = _words(data, offsets)
                 out: list[list] = [[] for _ in range(rows)]
@@ -122,23 +121,24 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, window: int, sizes: list[
                         q = p - int(first[row])
                         lo = max(0, q - (window - k))
                         out[row].append({"h": h, "at": q, "lo": lo, "words": b" ".join(known[row][lo:q + window]).decode()})
-                yield pa.record_batch([ids.slice(at, rows), pa.array(np.diff(first)), pa.array(out, pa.list_(hit_type))], names=["id", "n_words", "hits"])
+                own = batch.slice(at, rows)
+                yield pa.record_batch([own.column(0), own.column(1), pa.array(np.diff(first)), pa.array(out, pa.list_(hit_type))], names=["id", "key", "n_words", "hits"])
 
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("hits", T.ArrayType(T.StructType([
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("key", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("hits", T.ArrayType(T.StructType([
         T.StructField("h", T.LongType()), T.StructField("at", T.LongType()), T.StructField("lo", T.LongType()), T.StructField("words", T.StringType())])))])
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(work, schema)
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("t")).mapInArrow(work, schema)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 3,
                   salts: int = 16, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row for every row of ``docs``: ``id``, ``n_words``, ``n_hit``, ``item_ids``, ``spans``.
+    """One row for every row of ``docs``: ``id, key, n_words, n_hit, item_ids, spans``.
 
     Words are runs of ASCII letters and digits and of all characters beyond ASCII, A-Z lower-cased.
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is
     one window. ``n_hit`` counts the words of the text inside any occurrence of a window,
     ``item_ids`` are the items with occurring windows and ``spans`` the occurrences as
-    ``(start word, words)``. Null, empty and blank texts have no words and no hits; items with a
+    ``(start word, words)``; ``key`` is a hash of the text. Null, empty and blank texts have no words and no hits; items with a
     null id are left out; an empty item table hits nothing; repeated rows and ids each keep
     their own result; a window shared by many items names them all. Other columns are not used.
     """
@@ -177,6 +177,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
             F.greatest(a["to"], s["start"] + s["n"]).alias("to")),
         lambda a: a["hit"])
     return base.join(found, "_row", "left").select(
-        "id", "n_words", covered.alias("n_hit"),
+        "id", "key", "n_words", covered.alias("n_hit"),
         F.coalesce("item_ids", F.array().cast(T.ArrayType(items.schema[item_id].dataType))).alias("item_ids"),
         spans.alias("spans"))

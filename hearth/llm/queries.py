@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.llm.common import read_table
 from hearth.llm.decontaminate import decontaminate
+from hearth.llm.packing import pack
+from hearth.llm.pii import KINDS, personal_data
 from hearth.llm.quality import judge
 from hearth.llm.sharding import shard
 from hearth.llm.simhash import near_duplicates
@@ -39,9 +41,39 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"), "source", "fraction")
 
 
+def _listed(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(read_table(spark, sf_dir, "documents"))
+    kinds = F.col("base.kind")
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), length=2048, end_id=1).withColumnRenamed("id", "doc_id")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
     "op5_quality": op5_quality,
     "op6_sharding": op6_sharding,
+    "op8_pii": op8_pii,
+    "op10_packing": op10_packing,
+    "pipeline": pipeline,
 }
+
+ORACLES: dict[str, str] = {}

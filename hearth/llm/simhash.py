@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearth.llm.common import materialize, spans_of, text_slices
 from hearth.llm.components import connected_components
@@ -98,19 +99,17 @@ _TO_SPACE = bytes(32 if i in (9, 10, 11, 12, 13) else i for i in range(256))
 
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``(id, fp)`` for every row; ``fp`` is the fingerprint as a signed long."""
-    kind = docs.schema[id_col].dataType
+    """``(id, key, fp)`` for every row: the fingerprint as a signed long, and a hash of the text."""
 
     def work(batches):
         for batch in batches:
-            ids = batch.column(0)
             for at, n, data, offsets in text_slices(batch, "t"):
                 fp = np.array([fingerprint(x, shingle, seed) for x in _joined(data, offsets)], np.uint64)
-                yield pa.record_batch([ids.slice(at, n), pa.array(fp.view(np.int64))], names=["id", "fp"])
+                own = batch.slice(at, n)
+                yield pa.record_batch([own.column(0), own.column(1), pa.array(fp.view(np.int64))], names=["id", "key", "fp"])
 
-    from pyspark.sql import types as T
-    schema = T.StructType([T.StructField("id", kind), T.StructField("fp", T.LongType())])
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).mapInArrow(work, schema)
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("key", T.LongType()), T.StructField("fp", T.LongType())])
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("t")).mapInArrow(work, schema)
 
 
 def _segments(max_bits: int, segments: int) -> list[tuple[int, int, int]]:
@@ -172,13 +171,14 @@ def links(fps: DataFrame, max_bits: int = 4, segments: int = 3, bucket_limit: in
 def near_duplicates(docs: DataFrame, max_bits: int = 4, shingle: int = 4, seed: int = 42,
                     segments: int = 3, bucket_limit: int = 512, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``(id, fp, component_id)`` for every row of ``docs``.
+    """``(id, key, fp, root, component_id)`` for every row of ``docs``.
 
     ``fp`` is the SimHash fingerprint (signed long) of the words between space and U+0009..U+000D,
     lower-cased A-Z, in shingles of ``shingle`` words counted with repeats; texts with fewer words
     have one shingle and texts with none (null, empty, blank) the fingerprint zero, which links
-    like any other. Rows whose fingerprints differ in at most ``max_bits`` bits are linked, and
-    ``component_id`` is the smallest id reachable. Repeated rows stay; a null id is never the
+    like any other. Rows whose fingerprints differ in at most ``max_bits`` bits are linked;
+    ``component_id`` is the smallest id reachable, ``root`` the smallest fingerprint and ``key`` a
+    hash of the text. Repeated rows stay; a null id is never the
     smallest unless its whole group has none. Other columns of ``docs`` are not used.
     """
     base = materialize(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
@@ -187,5 +187,5 @@ def near_duplicates(docs: DataFrame, max_bits: int = 4, shingle: int = 4, seed:
     roots = connected_components(edges)
     known = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    final = known.join(least, "root").select("fp", "component_id")
-    return base.join(final, "fp").select("id", "fp", "component_id")
+    final = known.join(least, "root").select("fp", "root", "component_id")
+    return base.join(final, "fp").select("id", "key", "fp", "root", "component_id")
