@@ -9,11 +9,21 @@ from pyspark.sql import functions as F
 
 from hearth.llm.common import read_table
 from hearth.llm.decontaminate import decontaminate
+from hearth.llm.html import extract
 from hearth.llm.packing import pack
 from hearth.llm.pii import KINDS, personal_data
 from hearth.llm.quality import judge
 from hearth.llm.sharding import shard
 from hearth.llm.simhash import near_duplicates
+from hearth.llm.toxicity import remainder
+from hearth.llm.toxicity import score as toxicity_score
+from hearth.llm.urls import filter_urls, seed_labels, split_url
+
+#: the query's site rules
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+#: host words whose URLs seed the rejected model; all other URLs seed the accepted one
+URL_TERMS = ["ad", "ads", "adult", "bet", "bets", "betting", "casino", "gambling", "lottery", "loan", "loans", "pills", "poker", "porn", "sex", "slots", "spam",
+             "track", "tracker", "tracking", "viagra", "xxx"]
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +39,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    labelled = pages.select("url", seed_labels(split_url(F.col("url"))[0], URL_TERMS).alias("accepted"))
+    found = filter_urls(pages, labelled, URL_RULES)
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
+
+
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract(read_table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -41,6 +63,13 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"), "source", "fraction")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels").filter(remainder(F.col("doc_id"), 3) != 1)
+    found = toxicity_score(read_table(spark, sf_dir, "documents"), labels.select("doc_id", "toxic"))
+    return found.select(F.col("id").alias("doc_id"), (remainder(F.col("id"), 3) == 1).alias("held_out"), "score",
+                        (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -69,8 +98,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
+    "op3_urls": op3_urls,
+    "op4_html": op4_html,
     "op5_quality": op5_quality,
     "op6_sharding": op6_sharding,
+    "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
     "op10_packing": op10_packing,
     "pipeline": pipeline,
