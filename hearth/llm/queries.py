@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hearth.llm.common import read_table
 from hearth.llm.decontaminate import decontaminate
 from hearth.llm.html import extract
+from hearth.llm.lm import score as lm_score
 from hearth.llm.packing import pack
 from hearth.llm.pii import KINDS, personal_data
 from hearth.llm.quality import judge
@@ -81,6 +82,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = lm_score(docs, docs.filter(remainder(F.col("doc_id"), 5) != 1))
+    return found.select(F.col("id").alias("doc_id"), (remainder(F.col("id"), 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
@@ -104,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sharding": op6_sharding,
     "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
+    "op9_lm": op9_lm,
     "op10_packing": op10_packing,
     "pipeline": pipeline,
 }
