@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_of", "flag", "ne_flag", "clip_lower", "to_num", "nan_to_null", "na_tokens_to_null",
     "DEFAULT_NA_TOKENS", "hash_uniform", "hash_bucket", "hash_key", "right_closed_bin",
-    "left_closed_bin", "pct", "rnd", "QUANTILE_ACCURACY", "use_approx_quantiles",
-    "quantile_mode", "safe_div", "log1p0", "unlog",
+    "left_closed_bin", "rnd", "safe_div", "log1p0", "unlog",
 ]
 
 # Tokens that pandas' CSV reader treats as missing by default.
@@ -18,26 +17,6 @@ DEFAULT_NA_TOKENS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Rank accuracy of approximate quantiles (relative rank error = 1/accuracy).
-QUANTILE_ACCURACY = 100_000
-_QUANTILE_MODE = {"approx": False}
-
-
-def use_approx_quantiles(flag: bool = True) -> None:
-    """Switch every quantile in the library to ``percentile_approx``.
-
-    Exact ``percentile`` keeps a value->count map per group and merges it in
-    one task; for an ungrouped quantile of a continuous column at 100 TB that
-    map is unbounded, so production runs switch to the approximate form
-    (rank error <= n / QUANTILE_ACCURACY).
-    """
-    _QUANTILE_MODE["approx"] = bool(flag)
-
-
-def quantile_mode() -> str:
-    return "approx" if _QUANTILE_MODE["approx"] else "exact"
-
-
 def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -71,7 +50,7 @@ def nan_to_null(c: str | Column) -> Column:
 
 def na_tokens_to_null(c: str | Column, tokens: Iterable[str] = DEFAULT_NA_TOKENS) -> Column:
     x = col_of(c)
-    return F.when(F.trim(x).isin(list(tokens)), F.lit(None).cast("string")).otherwise(x)
+    return F.when(x.isin(list(tokens)), F.lit(None).cast("string")).otherwise(x)
 
 
 def hash_key(id_col: str | Column, seed: int) -> Column:
@@ -106,22 +85,6 @@ def left_closed_bin(x: str | Column, edges: Column) -> Column:
     return F.least(F.size(F.filter(edges, lambda e: e <= xc)), n - 1)
 
 
-def pct(c: str | Column, p, accuracy: int | None = None) -> Column:
-    """Linearly interpolated quantile(s) (pandas/numpy default).
-
-    ``p`` may be a float or a list of floats. In approximate mode the
-    quantile is ``percentile_approx`` (no interpolation, bounded memory)."""
-    x = col_of(c)
-    if _QUANTILE_MODE["approx"] or accuracy is not None:
-        acc = accuracy or QUANTILE_ACCURACY
-        if isinstance(p, (list, tuple)):
-            return F.percentile_approx(x, [float(v) for v in p], acc)
-        return F.percentile_approx(x, float(p), acc).cast("double")
-    if isinstance(p, (list, tuple)):
-        return F.percentile(x, F.array(*[F.lit(float(v)) for v in p]))
-    return F.percentile(x, F.lit(float(p)))
-
-
 def rnd(c: str | Column, digits: int = 6) -> Column:
     return F.round(col_of(c).cast("double"), digits)
 
@@ -141,7 +104,3 @@ def unlog(c: str | Column) -> Column:
     x = col_of(c)
     return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
         F.greatest(F.expm1(x), F.lit(0.0)))
-
-
-def agg_fused(df: DataFrame, exprs: Sequence[Column]) -> DataFrame:
-    return df.agg(*exprs)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from hearth.functions.exprs import pct, to_num, unlog
-from hearth.operators.quantiles import exact_quantiles, strategy
+from hearth.functions.exprs import to_num, unlog
+from hearth.operators.quantiles import exact_quantiles
 
 
 def align_schema(df: DataFrame, expected: Sequence[str], id_col: str,
@@ -44,12 +44,9 @@ def unlog_pred(df: DataFrame, pred: str, out: str = "pred") -> DataFrame:
 
 
 def thresholds(df: DataFrame, c: str, probs: list[float], names: list[str]) -> DataFrame:
-    """One row with the requested quantiles of ``c`` (exact; distributed when
-    the quantile strategy says so)."""
-    if strategy(df) == "distributed":
-        q = exact_quantiles(df, c, probs, out="_q")
-        return q.select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    return df.agg(*[pct(c, p).alias(n) for p, n in zip(probs, names)])
+    """One row with the requested exact quantiles of ``c``."""
+    q = exact_quantiles(df, c, probs, out="_q")
+    return q.select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
 def trim_quantiles(df: DataFrame, c: str, lo: float = 0.01, hi: float = 0.99) -> DataFrame:

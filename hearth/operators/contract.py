@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearth.operators.quantiles import exact_quantiles, quantile_columns
+
 from hearth.operators.folds import sample_n
 
 # Contract tolerances (relative, absolute) in log space.
@@ -83,11 +85,9 @@ def check_contract(bounds: DataFrame, rescored: DataFrame, id_col: str, pred_col
         rows = rows.select("*", F.expm1("pred").alias("pred_price"),
                            F.expm1("pred_lo").alias("lo_price"), F.expm1("pred_hi").alias("hi_price"))
     rate = F.avg(F.col("pass").cast("double"))
-    summary = rows.agg(rate.alias("pass_rate"),
-                       F.count_if(~F.col("pass")).alias("failed_rows"),
-                       F.count(F.lit(1)).alias("rows"),
-                       F.percentile(F.col("pred_hi") - F.col("pred_lo"), F.lit(0.5))
-                       .alias("median_band_width"))
+    summary = quantile_columns(rows, [], [
+        rate.alias("pass_rate"), F.count_if(~F.col("pass")).alias("failed_rows"), F.count(F.lit(1)).alias("rows")],
+        [(F.col("pred_hi") - F.col("pred_lo"), 0.5, "median_band_width")])
     summary = summary.withColumn("verdict", verdict(F.col("pass_rate"), partial))
     return rows, summary
 
@@ -128,9 +128,9 @@ def detect_log_space(preds: DataFrame, pred_col: str, truth: DataFrame | None =
                      target: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Predictions are log1p-like when their median is in [6, 16] and the
     target's median is above 1000."""
-    m = preds.groupBy(*by).agg(F.percentile(pred_col, F.lit(0.5)).alias("pred_median"))
+    m = quantile_columns(preds, by, [F.count(F.lit(1)).alias("_n")], [(pred_col, 0.5, "pred_median")]).drop("_n")
     if truth is not None and target is not None:
-        t = truth.agg(F.percentile(target, F.lit(0.5)).alias("target_median"))
+        t = exact_quantiles(truth, target, [0.5]).select(F.col("q")[0].alias("target_median"))
         m = m.join(F.broadcast(t), how="inner")
         cond = F.col("pred_median").between(*LOG_BAND) & (F.col("target_median") > 1000)
     else:

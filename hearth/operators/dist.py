@@ -1,7 +1,7 @@
 """Distribution fitting and tests (M8-M10), all single-aggregate plans.
 
 Johnson SU is fitted by the Slifker & Shapiro (1980) four-quantile method
-(one exact-percentile pass) rather than by maximum likelihood, and normality
+rather than by maximum likelihood, and normality
 is tested with Jarque-Bera from the moments (Shapiro-Wilk is a single-machine
 test); both are stated in the README.
 """
@@ -14,7 +14,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.functions.exprs import pct
+from hearth.operators.quantiles import exact_quantiles
 
 SU_Z = 0.524  # Slifker-Shapiro z
 
@@ -39,7 +39,7 @@ def fit_johnson_su(df: DataFrame, c: str, z: float = SU_Z) -> DataFrame:
     R = m*n/p^2 <= 1 means the data are not SU: family 'not SU', NULLs."""
     nd = NormalDist()
     probs = [nd.cdf(-3 * z), nd.cdf(-z), nd.cdf(z), nd.cdf(3 * z)]
-    q = df.agg(pct(F.col(c).cast("double"), probs).alias("q"))
+    q = exact_quantiles(df, c, probs, out="q")
     a, b, cc, d = (F.col("q")[i] for i in range(4))
     m, n, p = d - cc, b - a, cc - b
     r = m * n / (p * p)

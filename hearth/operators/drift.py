@@ -14,8 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.functions.exprs import hash_uniform, pct
-from hearth.operators.quantiles import exact_quantiles, strategy, with_quantiles
+from hearth.functions.exprs import hash_uniform
+from hearth.operators.quantiles import exact_quantiles, with_quantiles
 
 EPS_STD = 1e-9
 MISSING_SCORE = 10.0
@@ -199,29 +199,24 @@ def psi_edges(ref: DataFrame, cols: Sequence[str], bins: int = 10,
     distinct reference values (<= bins+1 of them); still fewer -> no edges."""
     probs = [i / bins for i in range(bins + 1)]
     long = _long_num(ref, cols).filter(F.col("x").isNotNull())
-    mode = strategy(ref)
-    if mode == "distributed":
-        e = exact_quantiles(long, "x", probs, ["feature"], out="_q").select(
-            "feature", F.sort_array(F.array_distinct("_q")).alias("edges"))
-    else:
-        e = long.groupBy("feature").agg(
-            F.sort_array(F.array_distinct(pct("x", probs))).alias("edges"))
+    e = exact_quantiles(long, "x", probs, ["feature"], out="_q").select(
+        "feature", F.sort_array(F.array_distinct("_q")).alias("edges"))
     if smoothing != "floor":
         return e
-    dist = long.distinct()
-    n_u = dist.groupBy("feature").agg(F.count(F.lit(1)).alias("_nu"))
-    few = e.filter(F.size("edges") < 3).join(n_u, "feature").filter(F.col("_nu") >= 3)
-    # quantiles of the distinct values at linspace(0, 1, min(bins+1, n_unique))
-    dd = dist.join(few.select("feature", "_nu"), "feature")
+    e = _small(e)  # one row per feature
+    few = [r["feature"] for r in e.filter(F.size("edges") < 3).collect()]
+    if not few:
+        return e
+    # quantiles of the distinct values at linspace(0, 1, min(bins+1, n_unique)),
+    # for the few features whose edges collapse
+    dist = _long_num(ref, few).filter(F.col("x").isNotNull()).distinct()
+    n_u = dist.groupBy("feature").agg(F.count(F.lit(1)).alias("_nu")).filter(F.col("_nu") >= 3)
+    dd = dist.join(n_u, "feature")
     small = dd.filter(F.col("_nu") <= bins + 1).groupBy("feature").agg(
         F.array_sort(F.collect_set("x")).alias("_fb"))  # <= bins+1 values
     big = dd.filter(F.col("_nu") > bins + 1)
-    if mode == "distributed":
-        large = exact_quantiles(big, "x", probs, ["feature"], out="_q").select(
-            "feature", F.sort_array(F.array_distinct("_q")).alias("_fb"))
-    else:
-        large = big.groupBy("feature").agg(
-            F.sort_array(F.array_distinct(pct("x", probs))).alias("_fb"))
+    large = exact_quantiles(big, "x", probs, ["feature"], out="_q").select(
+        "feature", F.sort_array(F.array_distinct("_q")).alias("_fb"))
     fb = small.unionByName(large)
     out = e.join(fb, "feature", "left").select(
         "feature", F.when(F.size("edges") >= 3, F.col("edges")).otherwise(F.col("_fb"))

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.functions.exprs import pct, right_closed_bin
-from hearth.operators.quantiles import exact_quantiles, strategy, with_quantiles
+from hearth.functions.exprs import right_closed_bin
+from hearth.operators.quantiles import exact_quantiles, quantile_columns, with_quantiles
 
 
 def error_frame(preds: DataFrame, truth: DataFrame | None, id_col: str, target: str,
@@ -82,11 +82,8 @@ def compare_models(err: DataFrame, model_col: str = "model") -> DataFrame:
 def quantile_edges(df: DataFrame, c: str, q: int, by: Sequence[str] = ()) -> DataFrame:
     """Distinct sorted quantile edges P(c, i/q), i = 0..q (duplicates dropped)."""
     probs = [i / q for i in range(q + 1)]
-    if strategy(df) == "distributed":
-        e = exact_quantiles(df, c, probs, by, out="_q")
-        return e.select(*by, F.sort_array(F.array_distinct("_q")).alias("edges"))
-    return df.filter(F.col(c).isNotNull()).groupBy(*by).agg(
-        F.sort_array(F.array_distinct(pct(c, probs))).alias("edges"))
+    e = exact_quantiles(df.filter(F.col(c).isNotNull()), c, probs, by, out="_q")
+    return e.select(*by, F.sort_array(F.array_distinct("_q")).alias("edges"))
 
 
 def quantile_bins(df: DataFrame, c: str, q: int = 10, out: str = "bin",
@@ -148,29 +145,15 @@ def worst_segment(err: DataFrame, by: str) -> DataFrame:
 def risk_table(err: DataFrame, groups: dict[str, str], min_n: int = 1) -> DataFrame:
     """Segment errors over several groupings stacked as (group, segment).
 
-    One pass with GROUPING SETS: each row is expanded once per grouping and
-    collapsed by the map-side partial aggregate before the shuffle."""
-    names = list(groups.values())
-    seg_cols = list(groups.keys())
-    d = err.select(*[F.col(c).cast("string").alias(f"_g{i}") for i, c in enumerate(seg_cols)],
-                   "abs_error_raw", "ape_raw", "y_true")
-    gs = [[F.col(f"_g{i}")] for i in range(len(seg_cols))]
-    g = d.groupingSets(gs, *[F.col(f"_g{i}") for i in range(len(seg_cols))]).agg(
-        F.grouping_id().alias("_gid"),
-        F.count(F.lit(1)).alias("n"), F.avg("abs_error_raw").alias("mae"),
-        F.avg("ape_raw").alias("mape"), pct("y_true", 0.5).alias("median_true"))
-    k = len(seg_cols)
-    group_expr, seg_expr = None, None
-    for i, name in enumerate(names):
-        gid = (1 << k) - 1 - (1 << (k - 1 - i))
-        cond = F.col("_gid") == gid
-        group_expr = (F.when(cond, F.lit(name)) if group_expr is None
-                      else group_expr.when(cond, F.lit(name)))
-        seg_expr = (F.when(cond, F.col(f"_g{i}")) if seg_expr is None
-                    else seg_expr.when(cond, F.col(f"_g{i}")))
-    out = g.select(group_expr.alias("group"), seg_expr.alias("segment"), "n", "mae", "mape",
-                   "median_true")
-    return out.filter(F.col("segment").isNotNull() & (F.col("n") >= min_n))
+    Each row is expanded once per grouping and collapsed by the map-side
+    partial aggregate before the shuffle."""
+    cells = F.explode(F.array(*[F.struct(F.lit(name).alias("group"), F.col(c).cast("string").alias("segment"))
+                                for c, name in groups.items()]))
+    d = err.select(cells.alias("_c"), "abs_error_raw", "ape_raw", "y_true").select("_c.*", "abs_error_raw", "ape_raw", "y_true")
+    g = quantile_columns(d.filter(F.col("segment").isNotNull()), ["group", "segment"], [
+        F.count(F.lit(1)).alias("n"), F.avg("abs_error_raw").alias("mae"), F.avg("ape_raw").alias("mape")],
+        [("y_true", 0.5, "median_true")])
+    return g.filter(F.col("n") >= min_n)
 
 
 def category_risk(err: DataFrame, c: str, min_n: int = 10,

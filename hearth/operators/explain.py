@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions.exprs import hash_key
+from hearth.operators.folds import dense_index
 
 
 def slot_names(df: DataFrame, features_col: str = "features") -> list[str]:
@@ -94,22 +95,6 @@ def ols_inference(df: DataFrame, features_col: str, label: str) -> DataFrame:
     return out.orderBy("p_value", "feature")
 
 
-def row_index(df: DataFrame, order: Column, name: str = "_idx") -> DataFrame:
-    """Dense 0-based index in ``order`` without a single-task window: range
-    partitioning, a per-partition row number, and per-partition offsets
-    (one small row per partition)."""
-    d = df.withColumn("_o", order)
-    ranged = d.repartitionByRange("_o").withColumn("_pid", F.spark_partition_id())
-    counts = ranged.groupBy("_pid").count()
-    offs = counts.select("_pid", F.coalesce(F.sum("count").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_off"))  # one row per partition
-    local = ranged.withColumn("_r", F.row_number().over(
-        Window.partitionBy("_pid").orderBy("_o")) - 1)
-    return local.join(F.broadcast(offs), "_pid").withColumn(
-        name, F.col("_off") + F.col("_r")).drop("_o", "_pid", "_off", "_r")
-
-
 def permutation_importance(holdout: DataFrame, model, names: Sequence[str], id_col: str,
                            label: str = "label", features_col: str = "features",
                            repeats: int = 8, seed: int = 42) -> DataFrame:
@@ -135,9 +120,9 @@ def permutation_importance(holdout: DataFrame, model, names: Sequence[str], id_c
     rmse0 = (see / n) ** 0.5
     rows = []
     for r in range(repeats):
-        a = row_index(p.select(id_col), hash_key(id_col, seed * 1000 + 2 * r), "_i")
-        b = row_index(p.select(F.col(id_col).alias("_partner")),
-                      hash_key("_partner", seed * 1000 + 2 * r + 1), "_i")
+        a = dense_index(p.select(id_col), hash_key(id_col, seed * 1000 + 2 * r), [id_col], "_i")
+        b = dense_index(p.select(F.col(id_col).alias("_partner")),
+                        hash_key("_partner", seed * 1000 + 2 * r + 1), ["_partner"], "_i")
         pairs = a.join(b, "_i").drop("_i")
         j = (p.join(pairs, id_col)
              .join(p.select(F.col(id_col).alias("_partner"), F.col("_x").alias("_xp")),

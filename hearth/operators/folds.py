@@ -7,10 +7,14 @@ the SQL oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.functions.exprs import hash_bucket, hash_key, hash_uniform, pct, right_closed_bin
+from hearth.functions.exprs import hash_bucket, hash_key, right_closed_bin
+from hearth.operators.quantiles import with_quantiles
 
 
 def assign_folds(df: DataFrame, id_col: str, k: int = 5, seed: int = 42,
@@ -19,25 +23,29 @@ def assign_folds(df: DataFrame, id_col: str, k: int = 5, seed: int = 42,
     return df.withColumn(out, hash_bucket(id_col, seed, k))
 
 
+def dense_index(df: DataFrame, key: Column, ties: Sequence[str], name: str) -> DataFrame:
+    """Dense 0-based index of the rows in the order of ``key`` (uniform 32-bit
+    integers) and ``ties``.
+
+    Rows fall into about sqrt(rows) buckets that follow the key, so a row's
+    index is its place in its bucket plus the rows of earlier buckets; the
+    bucket is a column of the row, never the number of a partition, and no
+    task holds more than one bucket or the table of bucket sizes."""
+    d = df.withColumn("_k", key)
+    buckets = max(1, math.isqrt(df.count()))
+    d = d.withColumn("_b", F.floor(F.col("_k") * buckets / F.lit(4294967296.0)))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    starts = d.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    place = F.row_number().over(Window.partitionBy("_b").orderBy("_k", *ties)) - 1
+    return d.join(starts, "_b").withColumn(name, F.col("_off") + place).drop("_b", "_k", "_off")
+
+
 def assign_balanced_folds(df: DataFrame, id_col: str, k: int = 5, seed: int = 42,
                           out: str = "fold") -> DataFrame:
-    """G1 variant with fold sizes differing by at most one: rank rows by
-    hash and take the rank modulo k.  The rank is a distributed range sort
-    (``row_number`` over a range-partitioned order would put every row in one
-    task, so the global index comes from per-partition counts instead)."""
-    h = df.withColumn("_h", hash_key(id_col, seed)).withColumn("_id", F.col(id_col))
-    ordered = h.repartitionByRange("_h", "_id").sortWithinPartitions("_h", "_id")
-    pid = ordered.withColumn("_pid", F.spark_partition_id())
-    counts = pid.groupBy("_pid").count()  # one row per partition: bounded
-    offs = counts.select(
-        "_pid",
-        (F.sum("count").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    local = pid.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_pid").orderBy("_h", "_id")) - 1)
-    res = local.join(F.broadcast(offs), "_pid").withColumn(
-        out, F.pmod(F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local"), F.lit(k)).cast("int"))
-    return res.drop("_h", "_id", "_pid", "_local", "_off")
+    """G1 variant with fold sizes differing by at most one: the rank of the
+    row's md5 key modulo k."""
+    d = dense_index(df, hash_key(id_col, seed), [id_col], "_i")
+    return d.withColumn(out, F.pmod("_i", F.lit(k)).cast("int")).drop("_i")
 
 
 def holdout_split(df: DataFrame, id_col: str, test_share: float = 0.2,
@@ -69,9 +77,8 @@ def stratified_sample(df: DataFrame, id_col: str, target: str, n: int, q: int =
     if target not in df.columns:
         return sample_n(df, id_col, n, seed)
     probs = [i / q for i in range(q + 1)]
-    stats = df.filter(F.col(target).isNotNull()).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sort_array(F.array_distinct(pct(target, probs))).alias("edges")).first()
+    stats = with_quantiles(df.filter(F.col(target).isNotNull()), [], [F.count(F.lit(1)).alias("rows")], [(target, probs, "_q")]).select(
+        "rows", F.sort_array(F.array_distinct("_q")).alias("edges")).first()
     rows, edges = stats["rows"], stats["edges"]
     if rows < min_rows or edges is None or len(edges) < 4:
         return sample_n(df, id_col, n, seed)
@@ -99,7 +106,3 @@ def stratified_sample(df: DataFrame, id_col: str, target: str, n: int, q: int =
     return (ranked.join(F.broadcast(alloc), "_bin")
             .filter(F.col("_r") <= F.col("_nb"))
             .drop("_h", "_r", "_nb", "_bin"))
-
-
-def uniform(id_col: str, seed: int):
-    return hash_uniform(id_col, seed)

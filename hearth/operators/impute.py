@@ -1,27 +1,30 @@
 """Imputation.
 
 Statistics are fitted on training rows only and applied anywhere.  The
-fitted models keep their statistics as a small JSON param (one value per
-column or per level of a categorical grouping column), so they persist with
-ML persistence and apply as literal expressions: no join at transform time.
+fitted models keep one value per column as a small JSON param and apply it
+as a literal; medians per level of a grouping column are a table that is
+saved with the model and joined at transform time.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLWritable)
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import IntegralType, NumericType
 
-from hearth.functions.exprs import pct, to_num
+from hearth.functions.exprs import to_num
+from hearth.operators.quantiles import quantile_columns
+from hearth.session import checkpoint_dir
 
-MAX_GROUP_LEVELS = 100_000  # a grouping column must be a category
 
 
 def fill_constant(df: DataFrame, cols: Sequence[str], value: str = "None") -> DataFrame:
@@ -74,18 +77,10 @@ def modes(df: DataFrame, cols: Sequence[str]) -> dict:
 
 
 def medians(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Exact (interpolated) median per column: one aggregate, or, under the
-    distributed quantile strategy, one bounded-state plan over all columns
-    unpivoted to (column, value)."""
+    """Exact (interpolated) median per column, in one plan over all columns."""
     if not cols:
         return {}
-    from hearth.operators.quantiles import exact_quantiles, strategy
-    if strategy(df) == "distributed":
-        long = df.select(*[to_num(c).alias(c) for c in cols]).unpivot([], list(cols), "_f", "_x")
-        rows = exact_quantiles(long, "_x", [0.5], ["_f"], out="_q").collect()  # one per column
-        got = {r["_f"]: r["_q"][0] for r in rows}
-        return {c: got.get(c) for c in cols}
-    row = df.agg(*[pct(to_num(c), 0.5).alias(c) for c in cols]).first()
+    row = quantile_columns(df, [], [F.count(F.lit(1)).alias("_n")], [(to_num(F.col(f"`{c}`")), 0.5, c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
@@ -115,7 +110,12 @@ class ModeImputerModel(_FillModel):
 
 
 class MedianImputerModel(_FillModel):
-    pass
+    """Filled columns become doubles: the median of integers may lie between two."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        st = {c: v for c, v in self._stats().items() if v is not None and c in df.columns}
+        return df.select(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float(st[c]))).alias(c) if c in st else F.col(f"`{c}`")
+                           for c in df.columns])
 
 
 class ModeImputer(Estimator, _StatsParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -158,26 +158,54 @@ def other_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
             if not isinstance(f.dataType, NumericType) and f.name not in set(exclude)]
 
 
-class GroupMedianImputerModel(Model, _StatsParams, DefaultParamsReadable, DefaultParamsWritable):
+class _MediansWriter(DefaultParamsWriter):
+    """Saves the group medians as a table beside the model's parameters."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.medians().write.mode("overwrite").parquet(f"{path}/medians")
+
+
+class _MediansReader(DefaultParamsReader):
+    def load(self, path: str):
+        model = super().load(path)
+        return model._set(table=f"{path}/medians")
+
+
+class GroupMedianImputerModel(Model, _StatsParams, MLReadable, MLWritable):
+    """Fills from a table (g, m) with one row per level, joined at transform;
+    it may have any number of levels."""
+
     groupCol = Param(Params._dummy(), "groupCol", "group column", TypeConverters.toString)
+    table = Param(Params._dummy(), "table", "folder of the group medians", TypeConverters.toString)
 
     def __init__(self):
         super().__init__()
 
+    def write(self):
+        return _MediansWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _MediansReader(cls)
+
+    def medians(self) -> DataFrame:
+        spark = SparkSession.active()
+        if not self.isDefined(self.table):
+            return spark.createDataFrame([], "g string, m double")
+        return spark.read.schema("g string, m double").parquet(self.getOrDefault(self.table))
+
     def _transform(self, df: DataFrame) -> DataFrame:
-        st = self._stats()
         c = self.getOrDefault(self.inputCols)[0]
         g = self.getOrDefault(self.groupCol)
         if c not in df.columns:
             return df
-        x = to_num(c)
-        by_group = st["by_group"]
-        fills = []
-        if g in df.columns and by_group:
-            lookup = F.create_map(*[F.lit(v) for kv in by_group.items() for v in kv])
-            fills.append(F.element_at(lookup, F.col(g).cast("string")))
-        fills.append(F.lit(st["global"]).cast("double"))
-        return df.withColumn(c, F.coalesce(x, *fills))
+        fill = F.lit(self._stats()["global"]).cast("double")
+        if g not in df.columns or not self.isDefined(self.table):
+            return df.withColumn(c, F.coalesce(to_num(c), fill))
+        table = self.medians().select(F.col("g").alias("_mg"), F.col("m").alias("_gm"))
+        j = df.join(table, df[g].cast("string") == table["_mg"], "left")
+        return j.withColumn(c, F.coalesce(to_num(c), F.col("_gm"), fill)).drop("_mg", "_gm")
 
 
 class GroupMedianImputer(Estimator, _StatsParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -198,27 +226,15 @@ class GroupMedianImputer(Estimator, _StatsParams, DefaultParamsReadable, Default
         m = GroupMedianImputerModel()
         m._set(inputCols=[c], groupCol=g)
         if c not in df.columns:
-            m._set(stats=json.dumps({"global": 0.0, "by_group": {}}))
-            return m
-        x = to_num(c)
-        from hearth.operators.quantiles import exact_quantiles, strategy
-        distributed = strategy(df) == "distributed"
+            return m._set(stats=json.dumps({"global": 0.0}))
         glob = medians(df, [c])[c]
-        by = {}
+        m._set(stats=json.dumps({"global": glob if glob is not None else 0.0}))
         if g in df.columns:
-            keyed = df.filter(F.col(g).isNotNull()).select(
-                F.col(g).cast("string").alias("g"), x.alias("_x"))
-            if distributed:  # a hot group is split over range buckets
-                grp = exact_quantiles(keyed, "_x", [0.5], ["g"], out="_q").select(
-                    "g", F.col("_q")[0].alias("m"))
-            else:
-                grp = keyed.groupBy("g").agg(pct("_x", 0.5).alias("m"))
-            grp = grp.filter(F.col("m").isNotNull())
-            rows = grp.limit(MAX_GROUP_LEVELS + 1).collect()
-            if len(rows) > MAX_GROUP_LEVELS:
-                raise ValueError(f"{g} has more than {MAX_GROUP_LEVELS} levels")
-            by = {r["g"]: r["m"] for r in rows}
-        m._set(stats=json.dumps({"global": glob if glob is not None else 0.0, "by_group": by}))
+            path = f"{checkpoint_dir(df.sparkSession)}/group-medians-{uuid.uuid4().hex}"
+            keyed = df.filter(F.col(g).isNotNull()).select(F.col(g).cast("string").alias("g"), to_num(c).alias("_x"))
+            grp = quantile_columns(keyed, ["g"], [F.count(F.lit(1)).alias("_n")], [("_x", 0.5, "m")])
+            grp.filter(F.col("m").isNotNull()).select("g", "m").write.parquet(path)
+            m._set(table=path)
         return m
 
 
@@ -228,8 +244,9 @@ def group_median_fill(df: DataFrame, c: str, by: str, fit_on: DataFrame | None =
     The statistics table has one row per level (AQE broadcasts it if small)."""
     src = fit_on if fit_on is not None else df
     x = to_num(c)
-    grp = src.filter(F.col(by).isNotNull()).groupBy(by).agg(pct(x, 0.5).alias("_gm"))
-    glob = src.agg(pct(x, 0.5).alias("_glob"))
+    rows = [F.count(F.lit(1)).alias("_n")]
+    grp = quantile_columns(src.filter(F.col(by).isNotNull()), [by], rows, [(x, 0.5, "_gm")]).drop("_n")
+    glob = quantile_columns(src, [], rows, [(x, 0.5, "_glob")]).drop("_n")
     j = df.join(grp, by, "left").join(F.broadcast(glob), how="inner")
     return j.withColumn(c, F.coalesce(to_num(c), F.col("_gm"), F.col("_glob"))) \
             .drop("_gm", "_glob")
@@ -241,18 +258,11 @@ def defaults_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     spark = df.sparkSession
     present = [c for c in cols if c in df.columns]
     num = set(numeric_columns(df))
-    aggs = []
-    for c in present:
-        if c in num:
-            aggs.append(pct(F.col(f"`{c}`").cast("double"), 0.5).cast("string").alias(c))
-        else:
-            aggs.append(F.lit(None).cast("string").alias(c))  # filled from modes() below
     if present:
+        middle = medians(df, [c for c in present if c in num])
         text_modes = modes(df, [c for c in present if c not in num])
-        wide = df.agg(*aggs)
-        wide = wide.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("NA")).alias(c) if c in num
-                             else F.coalesce(F.lit(text_modes[c]).cast("string"),
-                                             F.lit("NA")).alias(c) for c in present])
+        wide = spark.range(1).select(*[F.coalesce(F.lit(middle[c]).cast("double").cast("string") if c in num
+                                                  else F.lit(text_modes[c]).cast("string"), F.lit("NA")).alias(c) for c in present])
         long = wide.unpivot([], present, "feature", "default")
     else:
         long = spark.createDataFrame([], "feature string, default string")
@@ -270,8 +280,10 @@ def apply_defaults(df: DataFrame, defaults: dict, schema_of: DataFrame | None =
     out = df
     for c, v in defaults.items():
         if c in out.columns:
-            out = out.withColumn(c, F.coalesce(F.col(f"`{c}`"),
-                                               F.lit(v).cast(out.schema[c].dataType)))
+            dtype = out.schema[c].dataType
+            # the default of an integer column may lie between two integers
+            to = "double" if isinstance(dtype, IntegralType) else dtype
+            out = out.withColumn(c, F.coalesce(F.col(f"`{c}`").cast(to), F.lit(v).cast(to)))
         else:
             dtype = schema_of.schema[c].dataType if schema_of is not None and \
                 c in schema_of.columns else None

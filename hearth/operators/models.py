@@ -22,27 +22,23 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NORMAL_SOLVER_MAX_FEATURES = 4096
-
 
 class Ridge(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
             DefaultParamsReadable, DefaultParamsWritable):
     """ridge objective ||y - Xw - b||^2 + alpha ||w||^2 (intercept not
     penalised) expressed through Spark's LinearRegression:
     regParam = alpha * stddev_pop(y) / n, no internal standardisation.  The
-    two statistics come from one aggregate; above 4096 slots the L-BFGS
-    solver is used."""
+    two statistics come from one aggregate; Spark picks the solver from the
+    vector's size."""
 
     alpha = Param(Params._dummy(), "alpha", "ridge penalty", TypeConverters.toFloat)
-    numFeatures = Param(Params._dummy(), "numFeatures", "slots (solver choice)",
-                        TypeConverters.toInt)
 
     @keyword_only
     def __init__(self, alpha=12.0, featuresCol="features", labelCol="label",
-                 predictionCol="prediction", numFeatures=0):
+                 predictionCol="prediction"):
         super().__init__()
         self._setDefault(alpha=12.0, featuresCol="features", labelCol="label",
-                         predictionCol="prediction", numFeatures=0)
+                         predictionCol="prediction")
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame):
@@ -50,12 +46,10 @@ class Ridge(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol,
         st = df.agg(F.count(F.col(y)).alias("n"), F.stddev_pop(F.col(y)).alias("s")).first()
         n, s = st["n"], st["s"] or 0.0
         reg = float(self.getOrDefault(self.alpha)) * s / max(n, 1)
-        slots = self.getOrDefault(self.numFeatures)
-        solver = "l-bfgs" if slots > NORMAL_SOLVER_MAX_FEATURES else "normal"
         lr = LinearRegression(featuresCol=self.getOrDefault(self.featuresCol), labelCol=y,
                               predictionCol=self.getOrDefault(self.predictionCol),
                               regParam=reg, elasticNetParam=0.0, standardization=False,
-                              solver=solver, maxIter=200, tol=1e-10)
+                              solver="auto", maxIter=200, tol=1e-10)
         return lr.fit(df)
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from hearth.functions.exprs import pct
 from hearth.session import cut_lineage
 
 
@@ -56,12 +55,12 @@ def histogram(df: DataFrame, c: str, bins: int = 30, log: bool = False) -> DataF
     """M4: equal-width counts like np.histogram (left-closed bins, last one
     closed), optional log1p of the values, with the median as a marker.
 
-    Pass 1 gets min, max and median (one aggregate); pass 2 counts per bin.
+    First min, max and median; then counts per bin.
     Empty bins are included (bins rows from a range)."""
     x = F.log1p(F.col(c)) if log else F.col(c).cast("double")
     d = df.select(x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    st = d.agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"),
-               pct("_x", 0.5).alias("median"))
+    from hearth.operators.quantiles import quantile_columns
+    st = quantile_columns(d, [], [F.min("_x").alias("_mn"), F.max("_x").alias("_mx")], [("_x", 0.5, "median")])
     mn, mx = F.col("_mn"), F.col("_mx")
     lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
     hi = F.when(mn == mx, mx + 0.5).otherwise(mx)

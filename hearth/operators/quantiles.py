@@ -1,158 +1,100 @@
-"""Exact, distributed quantiles.
-
-Spark's exact ``percentile`` aggregate keeps a value->count map per group and
-merges the partial maps in one task; for an ungrouped quantile of a
-continuous column the final task holds every distinct value.  This module
-computes the same linearly interpolated quantiles with bounded task state:
-
-1. value counts per (group, value)  -- partial aggregation, hot values collapse;
-2. range buckets of distinct values from approximate quantiles (bounded edges);
-3. rows strictly below each value = running sum inside its (group, bucket)
-   + counts of earlier buckets (a small per-bucket table);
-4. the values at positions floor/ceil((n - 1) p) are found by joining the few
-   requested positions (groups x probabilities x 2, broadcast) to the bucket
-   that holds them, then interpolated.
+"""Exact, linearly interpolated quantiles with bounded task state.
+
+Spark's exact ``percentile`` merges a value -> count map per group in one task, which grows with
+the distinct values.  Here a quantile sketch per group only gives a narrow bracket around every
+requested position; one aggregate then counts the rows below and above each bracket and the values
+inside it, and the two values at the position are picked from those few counts.  The sketch decides
+how much lies inside a bracket, never the result: a bracket that missed its position raises.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STRATEGY = {"name": "auto"}
-# inputs whose optimizer size estimate exceeds this use the distributed form
-AUTO_BYTES = 8 * 1024 ** 3
-
-
-def set_quantile_strategy(name: str) -> None:
-    """'auto' (default: distributed above AUTO_BYTES of estimated input, else
-    Spark's exact aggregate), 'percentile', 'distributed' or 'approx'
-    (percentile_approx).  Affects the quantile-edge operators (L4 bins, K5
-    PSI edges, B4-B6 thresholds)."""
-    if name not in ("auto", "percentile", "distributed", "approx"):
-        raise ValueError(name)
-    STRATEGY["name"] = name
-    from hearth.functions.exprs import use_approx_quantiles
-    use_approx_quantiles(name == "approx")
-
-
-def strategy(df: DataFrame | None = None) -> str:
-    """Quantile strategy for ``df``; 'auto' resolves from Catalyst's size
-    estimate of the optimized plan (file sizes; no job is run)."""
-    name = STRATEGY["name"]
-    if name != "auto":
-        return name
-    if df is None:
-        return "percentile"
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - e.g. a remote session without plan access
-        return "percentile"
-    return "distributed" if size > AUTO_BYTES else "percentile"
-
-
-def _join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on ``keys`` where NULL keys match (a NULL group is a group)."""
-    if not keys:
-        return a.join(b, how="inner")
-    br = b.select(*[F.col(k).alias(f"__{k}") for k in keys],
-                  *[c for c in b.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = a[k].eqNullSafe(br[f"__{k}"])
-        cond = c if cond is None else cond & c
-    return a.join(br, cond).drop(*[f"__{k}" for k in keys])
+from hearth.functions.exprs import col_of
 
+# Relative rank error of the sketch, and half the width of a bracket in multiples of it.
+SKETCH_ACCURACY = 10_000
+BRACKET = 20
 
-def left_join_ns(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on ``keys`` where NULL keys match."""
+
+def _join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL keys match (a NULL group is a group); one-row ``b`` without."""
     if not keys:
-        return a.join(b, how="left")
-    br = b.select(*[F.col(k).alias(f"__{k}") for k in keys],
-                  *[c for c in b.columns if c not in keys])
+        return a.join(F.broadcast(b), how=how)
+    br = b.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in b.columns if c not in keys])
     cond = None
     for k in keys:
         c = a[k].eqNullSafe(br[f"__{k}"])
         cond = c if cond is None else cond & c
-    return a.join(br, cond, "left").drop(*[f"__{k}" for k in keys])
+    return a.join(br, cond, how).drop(*[f"__{k}" for k in keys])
+
+
+def _value(c: str | Column) -> Column:
+    x = col_of(c).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def with_quantiles(df: DataFrame, by: Sequence[str], aggs: list, qspecs: list) -> DataFrame:
     """Grouped aggregate ``aggs`` plus quantile arrays ``qspecs`` =
-    [(value column, probs, output name)].  Small inputs: one aggregate with
-    Spark's exact percentile.  Large inputs (strategy 'distributed' or
-    'auto' above the threshold): the quantiles come from the bounded-state
-    distributed computation and are joined back per group (NULL groups
-    included)."""
-    from hearth.functions.exprs import pct
-    by = list(by)
-    if strategy(df) != "distributed":
-        qa = [pct(c, [float(p) for p in probs]).alias(name) for c, probs, name in qspecs]
-        return (df.groupBy(*by) if by else df.groupBy()).agg(*aggs, *qa)
-    base = (df.groupBy(*by) if by else df.groupBy()).agg(*aggs)
-    for c, probs, name in qspecs:
-        q = exact_quantiles(df, c, probs, by, out=name)
-        base = left_join_ns(base, q, by) if by else base.join(F.broadcast(q), how="left")
-    return base
-
-
-def ranked_values(df: DataFrame, v: str, by: Sequence[str] = (), buckets: int = 64
-                  ) -> tuple[DataFrame, DataFrame]:
-    """Distinct values with their count and the number of rows strictly
-    below them within the group: returns (ranked(by, _b, v, _c, _below_all),
-    offsets(by, _b, _off, _bt))."""
+    [(value column, probs, output name)]; NULL and NaN are no values, a group
+    without values has a NULL array."""
     by = list(by)
-    c = df.groupBy(*by, v).agg(F.count(F.lit(1)).alias("_c"))
-    probs = [i / buckets for i in range(1, buckets)]
-    e = c.groupBy(*by).agg(F.percentile_approx(v, probs, 10000).alias("_e"))
-    cb = _join(c, e, by)  # edges: <= buckets per group
-    cb = cb.withColumn("_b", F.size(F.filter("_e", lambda x: x <= F.col(v)))).drop("_e")
-    w_in = Window.partitionBy(*by, "_b").orderBy(v).rowsBetween(Window.unboundedPreceding, -1)
-    below = cb.withColumn("_below", F.coalesce(F.sum("_c").over(w_in), F.lit(0)))
-    bt = cb.groupBy(*by, "_b").agg(F.sum("_c").alias("_bt"))
-    w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    off = bt.select(*by, "_b", "_bt", F.coalesce(F.sum("_bt").over(w_off), F.lit(0))
-                    .alias("_off"))
-    ranked = _join(below, off.select(*by, "_b", "_off"), [*by, "_b"]).select(
-        *by, "_b", v, "_c", (F.col("_off") + F.col("_below")).alias("_lo"))
-    return ranked, off
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-                    out: str = "q", buckets: int = 64) -> DataFrame:
-    """Linearly interpolated quantiles (numpy/pandas default) per group as an
-    array in ``probs`` order: (by..., out)."""
-    grouped = bool(by)
-    by = list(by) if grouped else ["_g"]
-    src = df if grouped else df.withColumn("_g", F.lit(0))
-    d = src.select(*by, F.col(col).cast("double").alias("_v")).filter(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    ranked, off = ranked_values(d, "_v", by, buckets)
-    n = off.groupBy(*by).agg(F.sum("_bt").alias("_n"))
-    req = n.select(*by, "_n", F.posexplode(F.array(*[F.lit(float(p)) for p in probs]))
-                   .alias("_i", "_p"))
-    req = req.withColumn("_h", (F.col("_n") - 1) * F.col("_p"))
-    req = req.select(*by, "_i", "_h", F.explode(F.array(
-        F.struct(F.lit(0).alias("_side"), F.floor("_h").cast("long").alias("_k")),
-        F.struct(F.lit(1).alias("_side"), F.ceil("_h").cast("long").alias("_k")))).alias("_r"))
-    req = req.select(*by, "_i", "_h", "_r._side", "_r._k")
-    # the bucket holding position k: small x small (groups x probs x 2 vs groups x buckets)
-    rb = _join(req, off, by)
-    rb = rb.filter((F.col("_k") >= F.col("_off")) & (F.col("_k") < F.col("_off") + F.col("_bt")))
-    rb = rb.select(*by, "_b", "_i", "_h", "_side", "_k")
-    hit = _join(ranked, F.broadcast(rb), [*by, "_b"]).filter(
-        (F.col("_k") >= F.col("_lo")) & (F.col("_k") < F.col("_lo") + F.col("_c")))
-    g = hit.groupBy(*by, "_i").agg(
-        F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_vhi"),
-        F.first("_h").alias("_h"))
-    h = F.col("_h")
+    width = BRACKET / SKETCH_ACCURACY
+    specs = [(_value(c), [float(p) for p in probs], name) for c, probs, name in qspecs]
+    sketches = [
+        F.percentile_approx(x, [max(0.0, p - width) for p in probs] + [min(1.0, p + width) for p in probs], SKETCH_ACCURACY).alias(f"_s{i}")
+        for i, (x, probs, _) in enumerate(specs)]
+    base = df.groupBy(*by).agg(*aggs, *sketches)
+    brackets = base.select(*by, *[f"_s{i}" for i in range(len(specs))])
+    src = _join(df.select(*by, *[x.alias(f"_v{i}") for i, (x, _, _) in enumerate(specs)]), brackets, by)
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(b).alias("b"), F.lit(p).alias("p"), F.col(f"_v{i}").alias("v"),
+                 F.get(f"_s{i}", b).alias("lo"), F.get(f"_s{i}", b + len(probs)).alias("hi"))
+        for i, (_, probs, _) in enumerate(specs) for b, p in enumerate(probs)]))
+    rows = src.select(*by, cells.alias("_c")).select(*by, "_c.*").filter(F.col("v").isNotNull())
+    side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
+    rows = rows.select(*by, "i", "b", "p", side.alias("side"), "v").withColumn("x", F.when(F.col("side") == 0, F.col("v")))
+    counts = rows.groupBy(*by, "i", "b", "p", "side", "x").agg(F.count(F.lit(1)).alias("c"), F.max("v").alias("most"), F.min("v").alias("least"))
+    part = Window.partitionBy(*by, "i", "b")
+    before = part.orderBy("side", "x").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("at", F.coalesce(F.sum("c").over(before), F.lit(0)))
+    counts = counts.withColumn("h", (F.sum("c").over(part) - 1) * F.col("p"))
+
+    def held(k: Column) -> Column:
+        """The value at position k, known inside the bracket and right beside it."""
+        inside = (F.col("side") == 0) & (F.col("at") <= k) & (k < F.col("at") + F.col("c"))
+        return F.max(F.when(inside, F.col("x")).when((F.col("side") == -1) & (k == F.col("c") - 1), F.col("most"))
+                     .when((F.col("side") == 1) & (k == F.col("at")), F.col("least")))
+
+    h = F.col("h")
+    found = counts.groupBy(*by, "i", "b").agg(F.max(h).alias("h"), held(F.floor(h)).alias("lo"), held(F.ceil(h)).alias("hi"))
+    lo, hi = F.col("lo"), F.col("hi")
     # same interpolation arithmetic as Spark's percentile aggregate
-    q = F.when((F.ceil(h) == F.floor(h)) | (F.col("_vlo") == F.col("_vhi")), F.col("_vlo")).otherwise(
-        (F.ceil(h) - h) * F.col("_vlo") + (h - F.floor(h)) * F.col("_vhi"))
-    g = g.select(*by, "_i", q.alias("_q"))
-    res = g.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))),
-                                         lambda s: s["_q"]).alias(out))  # <= len(probs) each
-    return res if grouped else res.drop("_g")
+    q = F.when(lo.isNull() | hi.isNull(), F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")).when(
+        (F.ceil(h) == F.floor(h)) | (lo == hi), lo).otherwise((F.ceil(h) - h) * lo + (h - F.floor(h)) * hi)
+    found = found.select(*by, "i", F.struct("b", q.alias("q")).alias("s"))
+
+    def array_of(i: int, name: str) -> Column:
+        got = F.array_sort(F.collect_list(F.when(F.col("i") == i, F.col("s"))))  # one entry a probability
+        return F.when(F.size(got) > 0, F.transform(got, lambda s: s["q"])).alias(name)
+
+    table = found.groupBy(*by).agg(*[array_of(i, name) for i, (_, _, name) in enumerate(specs)])
+    return _join(base.drop(*[f"_s{i}" for i in range(len(specs))]), table, by, "left")
+
+
+def exact_quantiles(df: DataFrame, col: str | Column, probs: Sequence[float], by: Sequence[str] = (),
+                    out: str = "q") -> DataFrame:
+    """Quantiles (numpy/pandas default) per group as an array in ``probs``
+    order: (by..., out); one row without groups."""
+    return with_quantiles(df, by, [F.count(F.lit(1)).alias("_rows")], [(col, list(probs), out)]).drop("_rows")
+
+
+def quantile_columns(df: DataFrame, by: Sequence[str], aggs: list, columns: list) -> DataFrame:
+    """``with_quantiles`` for single quantiles [(value column, prob, output name)] as plain columns."""
+    g = with_quantiles(df, by, aggs, [(c, [p], f"_q{i}") for i, (c, p, _) in enumerate(columns)])
+    return g.withColumns({name: F.get(f"_q{i}", F.lit(0)) for i, (_, _, name) in enumerate(columns)}).drop(
+        *[f"_q{i}" for i in range(len(columns))])

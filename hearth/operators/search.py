@@ -164,7 +164,7 @@ def perf_baseline(spark: SparkSession, df: DataFrame, id_col: str, target: str,
 
     def make():
         return Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
-                                Ridge(alpha=alpha, numFeatures=len(feats))])
+                                Ridge(alpha=alpha)])
     cv, folds = _cv_once(d, make, id_col, "label", k, seed)
     return spark.createDataFrame(
         [("log1p(target)", f"Ridge(alpha={alpha})", k, seed, cv, tolerance)],

@@ -197,8 +197,8 @@ MED_COLS = ["TotalBsmtSF", "LotFrontage", "YrSold", "GrLivArea"]
 m AS (SELECT {", ".join(f'quantile_cont("{c}", 0.5) AS "{c}"' for c in MED_COLS)} FROM house)
 SELECT h."Id", round(coalesce(h."TotalBsmtSF", m."TotalBsmtSF"), 6) AS "TotalBsmtSF",
        round(coalesce(h."LotFrontage", m."LotFrontage"), 6) AS "LotFrontage",
-       coalesce(h."YrSold", CAST(m."YrSold" AS BIGINT)) AS "YrSold",
-       coalesce(h."GrLivArea", CAST(m."GrLivArea" AS BIGINT)) AS "GrLivArea"
+       coalesce(CAST(h."YrSold" AS DOUBLE), m."YrSold") AS "YrSold",
+       coalesce(CAST(h."GrLivArea" AS DOUBLE), m."GrLivArea") AS "GrLivArea"
 FROM house h, m
 """)
 def _c6(spark, sf):
@@ -258,7 +258,7 @@ ref AS (SELECT * FROM house WHERE "YearBuilt" < 1998),
 d AS (SELECT quantile_cont("GrLivArea", 0.5) AS g,
              (SELECT "KitchenQual" FROM ref WHERE "KitchenQual" IS NOT NULL GROUP BY 1
               ORDER BY COUNT(*) DESC, 1 LIMIT 1) AS k FROM ref)
-SELECT "Id", coalesce("GrLivArea", CAST(d.g AS BIGINT)) AS "GrLivArea",
+SELECT "Id", coalesce(CAST("GrLivArea" AS DOUBLE), d.g) AS "GrLivArea",
        coalesce("KitchenQual", d.k) AS "KitchenQual" FROM inc, d
 """)
 def _c10(spark, sf):
@@ -271,7 +271,6 @@ def _c10(spark, sf):
         .alias("GrLivArea"),
         F.when(F.col("Id") % 4 == 0, F.lit(None)).otherwise(F.col("KitchenQual"))
         .alias("KitchenQual"))
-    prof["GrLivArea"] = str(int(float(prof["GrLivArea"])))
     return impute.apply_defaults(inc, prof)
 
 

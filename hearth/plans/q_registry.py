@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions.exprs import rnd
+from hearth.operators.impute import medians
 from hearth.operators import registry as reg
 from hearth.plans.registry import query
 from hearth.plans.sqlparts import RUNS_CTE, SALES_CTE
@@ -232,7 +233,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY rmse_mean, rmse_s
       FROM sm), med WHERE rn = 1
 """)
 def _h10(spark, sf):
-    med = sales(spark, sf).agg(F.percentile("price", F.lit(0.5)).alias("m")).first()["m"]
+    med = medians(sales(spark, sf).select("price"), ["price"])["price"]
     best, _ranked = reg.stage_summary(_summary(spark, sf), med)
     return best.select("stage", "model", "candidate", "rmse_mean", "rmse_std",
                        rnd("money_error", 4).alias("money_error"))

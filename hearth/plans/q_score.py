@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from hearth.functions.exprs import rnd
+from hearth.operators.impute import medians
 from hearth.operators import profile, registry, score
 from hearth.plans.q_flagship import ERR_SQL, oof_errors
 from hearth.plans.registry import query
@@ -124,9 +125,7 @@ SELECT id, score, CASE WHEN n = 0 THEN 'Medium' WHEN score >= 75 THEN 'High'
 """)
 def _i5(spark, sf):
     ref, cur = sales_split(spark, sf)
-    row = ref.agg(*[F.percentile(F.col(k).cast("double"), F.lit(0.5)).alias(k)
-                    for k in D_KEYS]).first()
-    return score.default_distance_score(cur, row.asDict(), D_KEYS, "id")
+    return score.default_distance_score(cur, medians(ref, D_KEYS), D_KEYS, "id")
 
 
 @query("i6_typical_range", f"""WITH {ERR_SQL.strip()},
