@@ -7,6 +7,6 @@ run it; the driver only ever sees bounded statistics (per-fold sums, quantile
 edges, model coefficients).
 """
 
-from hearth.session import get_spark, checkpoint_dir, cut_lineage
+from hearth.session import checkpoint_dir, cut_lineage, drop_tables, get_spark
 
-__all__ = ["get_spark", "checkpoint_dir", "cut_lineage"]
+__all__ = ["get_spark", "checkpoint_dir", "cut_lineage", "drop_tables"]

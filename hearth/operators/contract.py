@@ -72,11 +72,12 @@ def contract_rows(contract: DataFrame, id_field: str) -> DataFrame:
 
 
 def check_contract(bounds: DataFrame, rescored: DataFrame, id_col: str, pred_col: str,
-                   partial: float = PARTIAL_DEMO, log_space: bool = True
-                   ) -> tuple[DataFrame, DataFrame]:
+                   partial: float = PARTIAL_DEMO, log_space: bool = True,
+                   strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """Per-row pass (lo <= pred <= hi) with price-space columns, and a
     summary row: pass rate, failed rows, median band width, verdict
-    (pass = 1.0, partial >= threshold, else fail)."""
+    (pass = 1.0, partial >= threshold, or > with ``strict`` as in the second
+    variant, else fail)."""
     j = bounds.select(id_col, "pred_lo", "pred_hi").join(
         rescored.select(id_col, F.col(pred_col).alias("pred")), id_col)
     ok = (F.col("pred") >= F.col("pred_lo")) & (F.col("pred") <= F.col("pred_hi"))
@@ -88,12 +89,13 @@ def check_contract(bounds: DataFrame, rescored: DataFrame, id_col: str, pred_col
     summary = quantile_columns(rows, [], [
         rate.alias("pass_rate"), F.count_if(~F.col("pass")).alias("failed_rows"), F.count(F.lit(1)).alias("rows")],
         [(F.col("pred_hi") - F.col("pred_lo"), 0.5, "median_band_width")])
-    summary = summary.withColumn("verdict", verdict(F.col("pass_rate"), partial))
+    summary = summary.withColumn("verdict", verdict(F.col("pass_rate"), partial, strict))
     return rows, summary
 
 
-def verdict(rate: Column, partial: float = PARTIAL_DEMO) -> Column:
-    return (F.when(rate == 1.0, F.lit("pass")).when(rate >= partial, F.lit("partial"))
+def verdict(rate: Column, partial: float = PARTIAL_DEMO, strict: bool = False) -> Column:
+    reached = rate > partial if strict else rate >= partial
+    return (F.when(rate == 1.0, F.lit("pass")).when(reached, F.lit("partial"))
             .otherwise(F.lit("fail")))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions.exprs import hash_key
+from hearth.operators.features import FeatureSpec
 from hearth.operators.folds import dense_index
 
 
@@ -147,34 +148,6 @@ def permutation_importance(holdout: DataFrame, model, names: Sequence[str], id_c
 QUALITY_LEVEL = {"Ex": "Excellent", "Gd": "Good", "TA": "Typical/Average", "Fa": "Fair",
                  "Po": "Poor", "NA": "Not applicable / none"}
 YESNO_LEVEL = {"Y": "Yes", "N": "No"}
-# Descriptions of the features this library derives.
-ENGINEERED = {
-    "HouseAge": "Engineered: years between sale and construction.",
-    "IsNewHouse": "Engineered: 1 when the house is at most 5 years old at sale.",
-    "RemodAge": "Engineered: years between sale and remodel.",
-    "IsRemodeled": "Engineered: 1 when the remodel year differs from the build year.",
-    "TotalSF": "Engineered: basement + first + second floor area.",
-    "TotalBathrooms": "Engineered: full baths + half of the half baths, basement included.",
-    "TotalPorchSF": "Engineered: sum of all porch areas.",
-    "HasBasement": "Engineered: 1 when there is basement area.",
-    "HasGarage": "Engineered: 1 when there is garage area.",
-    "HasFireplace": "Engineered: 1 when there is a fireplace.",
-    "HasPool": "Engineered: 1 when there is pool area.",
-    "HasPorch": "Engineered: 1 when there is porch area.",
-    "HasDeck": "Engineered: 1 when there is deck area.",
-    "HasMasonryVeneer": "Engineered: 1 when there is masonry veneer area.",
-    "LuxuryAmenityScore": "Engineered: count of pool, veneer, deck, porch and fireplace flags.",
-    "QualGrLiv": "Engineered: overall quality times living area.",
-    "QualTotalSF": "Engineered: overall quality times total area.",
-    "QualGarage": "Engineered: overall quality times garage area.",
-    "IsHighQuality": "Engineered: 1 when overall quality is at least 7.",
-    "IsLargeHouse": "Engineered: 1 when living area is at least 2000.",
-    "IsLuxury": "Engineered: 1 when quality is at least 8 and living area at least 2500.",
-    "GrLivAreaBin": "Engineered: living-area bucket (small / mid / large).",
-    "Neighborhood_Qual": "Engineered: neighbourhood combined with overall quality.",
-}
-
-
 def _lookup(d: dict, key: Column) -> Column:
     if not d:
         return F.lit(None).cast("string")
@@ -183,34 +156,24 @@ def _lookup(d: dict, key: Column) -> Column:
 
 def describe_features(df: DataFrame, field_desc: dict, col: str = "feature",
                       engineered: dict | None = None) -> DataFrame:
-    """Human text for an encoded slot name.
-
-    Nested 'prefix__' parts are stripped; then: engineered dictionary;
-    '<field>_log'; one-hot 'Field_Level' (with quality / yes-no level names);
-    raw field; 'Has*' / 'Is*' / '*Bin' fallbacks; generic text.  The
-    dictionaries are small literal maps evaluated per row (no join)."""
-    eng = engineered if engineered is not None else ENGINEERED
-    s = F.regexp_replace(F.col(col), r"^.*__", "")
-    base = F.regexp_replace(s, r"_log$", "")
-    field = F.substring_index(s, "_", 1)
-    level = F.expr("substr({0}, instr({0}, '_') + 1)".format(f"regexp_replace(`{col}`, '^.*__', '')"))
-    fd = _lookup(field_desc, field)
-    ql, yn = _lookup(QUALITY_LEVEL, level), _lookup(YESNO_LEVEL, level)
-    one_hot = (F.when(fd.isNull(), F.concat(F.lit("Categorical indicator: "), s, F.lit(".")))
-               .when(ql.isNotNull(), F.concat(field, F.lit(" = "), ql, F.lit(" ("), level,
-                                              F.lit("). "), fd))
-               .when(yn.isNotNull(), F.concat(field, F.lit(" = "), yn, F.lit(" ("), level,
-                                              F.lit("). "), fd))
-               .otherwise(F.concat(field, F.lit(" = "), level, F.lit(". "), fd)))
-    desc = (F.when(_lookup(eng, s).isNotNull(), _lookup(eng, s))
-            .when(s.endswith("_log"), F.concat(
-                F.lit("Engineered: log transform of "), base, F.lit(". "),
-                F.coalesce(_lookup(field_desc, base), F.concat(base, F.lit(" (raw field)")))))
-            .when(s.contains("_"), one_hot)
-            .when(_lookup(field_desc, s).isNotNull(), _lookup(field_desc, s))
-            .when(s.startswith("Has"), F.concat(F.lit("Engineered indicator for an amenity: "),
-                                                s, F.lit(".")))
-            .when(s.startswith("Is"), F.concat(F.lit("Engineered flag: "), s, F.lit(".")))
-            .when(s.endswith("Bin"), F.concat(F.lit("Engineered bucket: "), s, F.lit(".")))
-            .otherwise(F.concat(F.lit("Model feature: "), s, F.lit("."))))
-    return df.withColumn("description", desc)
+    """A text for each encoded slot name, composed from its parts.
+
+    Parts before a double underscore are cut off from the left, one by one.
+    What remains is a derived column (told by its formula in ``FeatureSpec``),
+    the log of a column, a level of a column, a column, or else told by its
+    name alone.  The dictionaries are small literal maps evaluated per row."""
+    formulas = engineered if engineered is not None else FeatureSpec().formulas()
+    d = df.withColumn("_s", F.regexp_replace(col, r"^(?:.*?__)+", ""))
+    s = F.col("_s")
+    source = F.regexp_replace(s, r"_log$", "")
+    field, level = F.substring_index(s, "_", 1), F.expr("substr(_s, instr(_s, '_') + 1)")
+    named = F.concat(level, F.coalesce(F.concat(F.lit(" ("), F.coalesce(_lookup(QUALITY_LEVEL, level), _lookup(YESNO_LEVEL, level)), F.lit(")")), F.lit("")))
+    kind = F.when(s.rlike("^(Has|Is)"), "flag").when(s.endswith("Bin"), "bucket").otherwise("column")
+    texts = [
+        F.concat(s, F.lit(" = "), _lookup(formulas, s)),
+        F.when(s.endswith("_log"), F.concat_ws(": ", F.concat(F.lit("log1p of "), source), _lookup(field_desc, source))),
+        F.when(s.contains("_"), F.coalesce(F.concat(field, F.lit(" is "), named, F.lit(": "), _lookup(field_desc, field)), F.concat(F.lit("indicator "), s))),
+        _lookup(field_desc, s),
+        F.concat(kind, F.lit(" "), s),
+    ]
+    return d.select(*df.columns, F.coalesce(*texts).alias("description"))

@@ -59,6 +59,31 @@ class FeatureSpec:
     neighborhood: str = "Neighborhood"
     log_cols: Sequence[str] = field(default_factory=lambda: list(LOG_COLS))
     enable_logs: bool = True
+    # Thresholds of the derived flags.
+    new_age: int = 5
+    high_quality: int = 7
+    large_area: int = 2000
+    luxury_quality: int = 8
+    luxury_area: int = 2500
+
+    def formulas(self) -> dict[str, str]:
+        """How each derived column follows from the columns of this spec."""
+        area = " + ".join([self.bsmt_sf, self.first_sf, self.second_sf])
+        porch = " + ".join(self.porches)
+        positive = {"HasBasement": self.bsmt_sf, "HasGarage": self.garage_area, "HasFireplace": self.fireplaces,
+                    "HasPool": self.pool_area, "HasPorch": porch, "HasDeck": self.wood_deck, "HasMasonryVeneer": self.veneer_area}
+        return {
+            "HouseAge": f"{self.year_sold} - {self.year_built}", "IsNewHouse": f"HouseAge <= {self.new_age}",
+            "RemodAge": f"{self.year_sold} - {self.year_remod}", "IsRemodeled": f"{self.year_remod} <> {self.year_built}",
+            "TotalSF": area, "TotalPorchSF": porch,
+            "TotalBathrooms": f"{self.full_bath} + {self.bsmt_full_bath} + ({self.half_bath} + {self.bsmt_half_bath}) / 2",
+            **{name: f"{columns} > 0" for name, columns in positive.items()},
+            "LuxuryAmenityScore": "HasPool + HasMasonryVeneer + HasDeck + HasPorch + HasFireplace",
+            "QualGrLiv": f"{self.quality} * {self.living_area}", "QualTotalSF": f"{self.quality} * TotalSF",
+            "QualGarage": f"{self.quality} * {self.garage_area}",
+            "IsHighQuality": f"{self.quality} >= {self.high_quality}", "IsLargeHouse": f"{self.living_area} >= {self.large_area}",
+            "IsLuxury": f"{self.quality} >= {self.luxury_quality} and {self.living_area} >= {self.luxury_area}",
+            "GrLivAreaBin": f"bucket of {self.living_area}", "Neighborhood_Qual": f"{self.neighborhood} and {self.quality}"}
 
 
 def _c(df_cols: set, name: str) -> Column:
@@ -72,7 +97,7 @@ def age_features(cols: set, s: FeatureSpec) -> dict[str, Column]:
     if {s.year_sold, s.year_built} <= cols:
         age = clip_lower(to_num(s.year_sold) - to_num(s.year_built), 0)
         out["HouseAge"] = age
-        out["IsNewHouse"] = flag(age <= 5)
+        out["IsNewHouse"] = flag(age <= s.new_age)
     if {s.year_sold, s.year_remod} <= cols:
         out["RemodAge"] = clip_lower(to_num(s.year_sold) - to_num(s.year_remod), 0)
     if {s.year_built, s.year_remod} <= cols:
@@ -104,9 +129,9 @@ def engineer_columns(cols: set, s: FeatureSpec) -> dict[str, Column]:
     out["QualGrLiv"] = q * area                                            # D8
     out["QualTotalSF"] = q * total_sf
     out["QualGarage"] = q * c(s.garage_area)
-    out["IsHighQuality"] = flag(q >= 7)                                    # D9
-    out["IsLargeHouse"] = flag(area >= 2000)
-    out["IsLuxury"] = flag((q >= 8) & (area >= 2500))
+    out["IsHighQuality"] = flag(q >= s.high_quality)                                    # D9
+    out["IsLargeHouse"] = flag(area >= s.large_area)
+    out["IsLuxury"] = flag((q >= s.luxury_quality) & (area >= s.luxury_area))
     if s.living_area in cols:                                              # D10
         out["GrLivAreaBin"] = bucket_expr(F.col(f"`{s.living_area}`"), AREA_EDGES, AREA_LABELS)
     if s.enable_logs:                                                      # D11

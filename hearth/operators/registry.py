@@ -42,14 +42,16 @@ def fingerprint(df: DataFrame, id_col: str, cols: Sequence[str] | None = None,
                 head: int = 200) -> DataFrame:
     """H2: rows, columns, names, dtypes, md5 of the first ``head`` rows in
     key order (TakeOrdered, bounded), and an order-independent hash of the
-    whole table (bit_xor of per-row xxhash64; one partial aggregate)."""
+    whole table (decimal sum of per-row xxhash64, so repeated rows count;
+    one partial aggregate)."""
     cols = list(cols or df.columns)
     txt = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols])
     top = (df.select(F.col(id_col).alias("_k"), txt.alias("_t")).orderBy("_k").limit(head)
            .agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_t"))),
                                                 lambda s: s["_t"]), "\n")).alias("head_md5")))
     whole = df.agg(F.count(F.lit(1)).alias("rows"),
-                   F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in cols])).alias("table_hash"))
+                   F.coalesce(F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in cols]).cast("decimal(20,0)")), F.lit(0))
+                   .cast("string").alias("table_hash"))
     spark = df.sparkSession
     meta = spark.createDataFrame(
         [(len(cols), cols, {f.name: f.dataType.simpleString() for f in df.schema.fields

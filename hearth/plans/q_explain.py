@@ -154,7 +154,7 @@ def _names_df(spark, sf):
     b = s.select(F.concat(F.lit("cat__status_"), F.col("status")).alias("feature"))
     c = s.select(F.concat(F.lit("p__q__priority_"), F.col("priority")).alias("feature"))
     fixed = spark.createDataFrame(
-        [(x,) for x in ["num__qty", "ext_log", "acctbal_log", "HouseAge", "HasSauna", "IsCorner",
+        [(x,) for x in ["num__qty", "a___b", "ext_log", "acctbal_log", "HouseAge", "HasSauna", "IsCorner",
                         "AreaBin", "other", "Kitchen_TA", "Central_Y", "quality"]],
         "feature string")
     return a.unionByName(b).unionByName(c).filter(F.col("feature").isNotNull()).distinct() \
@@ -167,34 +167,29 @@ def _case(d: dict, key: str) -> str:
 
 
 def _n8_sql() -> str:
-    names = ", ".join(f"('{x}')" for x in ["num__qty", "ext_log", "acctbal_log", "HouseAge",
+    names = ", ".join(f"('{x}')" for x in ["num__qty", "a___b", "ext_log", "acctbal_log", "HouseAge",
                                             "HasSauna", "IsCorner", "AreaBin", "other",
                                             "Kitchen_TA", "Central_Y", "quality"])
     fd_s, fd_f, fd_b = _case(FIELDS, "s"), _case(FIELDS, "field"), _case(FIELDS, "base")
-    eng = _case(explain.ENGINEERED, "s")
+    eng = _case(explain.FeatureSpec().formulas(), "s")
     ql, yn = _case(explain.QUALITY_LEVEL, "level"), _case(explain.YESNO_LEVEL, "level")
     return f"""WITH {SALES_CTE.strip()},
 nm AS (SELECT DISTINCT 'cat__segment_' || segment AS feature FROM sales WHERE segment IS NOT NULL
        UNION SELECT DISTINCT 'cat__status_' || status FROM sales WHERE status IS NOT NULL
        UNION SELECT DISTINCT 'p__q__priority_' || priority FROM sales WHERE priority IS NOT NULL
        UNION ALL SELECT * FROM (VALUES {names}) v(feature)),
-a AS (SELECT feature, regexp_replace(feature, '^.*__', '') AS s FROM nm),
+a AS (SELECT feature, regexp_replace(feature, '^(?:.*?__)+', '') AS s FROM nm),
 b AS (SELECT feature, s, regexp_replace(s, '_log$', '') AS base, split_part(s, '_', 1) AS field,
              substr(s, instr(s, '_') + 1) AS level FROM a)
 SELECT feature, CASE
-  WHEN {eng} IS NOT NULL THEN {eng}
-  WHEN ends_with(s, '_log') THEN 'Engineered: log transform of ' || base || '. ' ||
-       coalesce({fd_b}, base || ' (raw field)')
-  WHEN contains(s, '_') THEN CASE
-       WHEN {fd_f} IS NULL THEN 'Categorical indicator: ' || s || '.'
-       WHEN {ql} IS NOT NULL THEN field || ' = ' || {ql} || ' (' || level || '). ' || {fd_f}
-       WHEN {yn} IS NOT NULL THEN field || ' = ' || {yn} || ' (' || level || '). ' || {fd_f}
-       ELSE field || ' = ' || level || '. ' || {fd_f} END
+  WHEN {eng} IS NOT NULL THEN s || ' = ' || {eng}
+  WHEN ends_with(s, '_log') THEN 'log1p of ' || base || coalesce(': ' || {fd_b}, '')
+  WHEN contains(s, '_') THEN CASE WHEN {fd_f} IS NULL THEN 'indicator ' || s
+       ELSE field || ' is ' || level || coalesce(' (' || coalesce({ql}, {yn}) || ')', '') || ': ' || {fd_f} END
   WHEN {fd_s} IS NOT NULL THEN {fd_s}
-  WHEN starts_with(s, 'Has') THEN 'Engineered indicator for an amenity: ' || s || '.'
-  WHEN starts_with(s, 'Is') THEN 'Engineered flag: ' || s || '.'
-  WHEN ends_with(s, 'Bin') THEN 'Engineered bucket: ' || s || '.'
-  ELSE 'Model feature: ' || s || '.' END AS description
+  WHEN starts_with(s, 'Has') OR starts_with(s, 'Is') THEN 'flag ' || s
+  WHEN ends_with(s, 'Bin') THEN 'bucket ' || s
+  ELSE 'column ' || s END AS description
 FROM b"""
 
 

@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.functions.exprs import log1p0, rnd
+from hearth.functions.exprs import hash_key, log1p0, rnd
 from hearth.operators.errors import error_frame, quantile_bins, segment_errors
-from hearth.operators.folds import assign_folds
+from hearth.operators.folds import assign_balanced_folds, assign_folds, dense_index
 from hearth.operators.oof import fold_summary, oof_group_mean, oof_ridge1
 from hearth.plans.registry import query
 from hearth.plans.sqlparts import SALES_CTE, fold_sql, quantiles_sql, rc_bin_sql, ridge1_sql
@@ -140,6 +140,26 @@ def _g1(spark, sf_dir):
     return d.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("id_sum"))
 
 
+_RANKED = f"""
+WITH {SALES_CTE.strip()},
+k AS (SELECT id, price, ('0x' || substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 8))::BIGINT AS h FROM sales),
+r AS (SELECT id, price, row_number() OVER (ORDER BY h, id) - 1 AS i FROM k)"""
+
+
+@query("g1_balanced_folds", _RANKED + """
+SELECT id, price, CAST(i % 5 AS INTEGER) AS fold FROM r
+""")
+def _g1b(spark, sf_dir):
+    return assign_balanced_folds(sales(spark, sf_dir).select("id", "price"), "id", 5, 42)
+
+
+@query("g1_dense_index", _RANKED + """
+SELECT id, price, i AS idx FROM r
+""")
+def _g1i(spark, sf_dir):
+    return dense_index(sales(spark, sf_dir).select("id", "price"), hash_key("id", 42), ["id"], "idx")
+
+
 @query("g4_fold_summary", f"""
 WITH {PRED_SQL.strip()},
 pe AS (SELECT p.model, p.fold, (p.pred_log - ln(1 + s.price)) AS r FROM preds p JOIN sales s ON p.id = s.id),

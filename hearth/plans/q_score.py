@@ -88,8 +88,8 @@ def _i4_sql() -> str:
                     f"WHEN {present} AND {v} > {a}.p95 THEN least(18.0, 8.0 + 10.0 * ({v} - {a}.p95) / {a}.iqr) "
                     f"ELSE 0.0 END")
         used.append(f"CAST({present} AS INTEGER)")
-        reasons.append(f"CASE WHEN {present} AND {v} < {a}.p05 THEN '{k} is below typical range (p05~' || printf('%.1f', {a}.p05) || ')' "
-                       f"WHEN {present} AND {v} > {a}.p95 THEN '{k} is above typical range (p95~' || printf('%.1f', {a}.p95) || ')' END")
+        reasons.append(f"CASE WHEN {present} AND {v} < {a}.p05 THEN '{k} under p05 ' || printf('%.1f', {a}.p05) "
+                       f"WHEN {present} AND {v} > {a}.p95 THEN '{k} over p95 ' || printf('%.1f', {a}.p95) END")
     return f"""{SPLIT},
 p AS ({_prof_sql()}),
 s AS (SELECT c.id, ({" + ".join(pens)}) AS pen, ({" + ".join(used)}) AS used,
@@ -99,7 +99,8 @@ t AS (SELECT id, used, reasons,
              CASE WHEN used = 0 THEN 60 ELSE greatest(0, least(100, CAST(round_even(100.0 - pen, 0) AS INTEGER))) END AS typicality
       FROM s)
 SELECT id, typicality, CASE WHEN used = 0 THEN 'Medium' WHEN typicality >= 80 THEN 'High'
-       WHEN typicality >= 55 THEN 'Medium' ELSE 'Low' END AS label, reasons FROM t
+       WHEN typicality >= 55 THEN 'Medium' ELSE 'Low' END AS label,
+       CASE WHEN used = 0 THEN ['no usable input'] ELSE reasons END AS reasons FROM t
 """
 
 
@@ -107,7 +108,9 @@ SELECT id, typicality, CASE WHEN used = 0 THEN 'Medium' WHEN typicality >= 80 TH
 def _i4(spark, sf):
     ref, cur = sales_split(spark, sf)
     prof = profile.feature_profile(ref, KEYS)
-    return score.typicality_score(cur, prof, KEYS, "id")
+    d = score.typicality_score(cur, prof, KEYS, "id")
+    return d.withColumn("reasons", F.transform("reasons", lambda r: F.concat_ws(
+        " ", r["feature"], r["side"], F.format_string("%.1f", r["bound"]))))
 
 
 D_KEYS = ["ext", "qty", "quality", "yr_built"]

@@ -4,59 +4,58 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "hearth",
               shuffle_partitions: int | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings every query assumes.
-
-    On a cluster the master, memory and checkpoint directory come from the
-    cluster configuration; the values here are only defaults for local runs.
-    """
-    master = master or os.environ.get("SPARK_MASTER", "local[*]")
-    parts = shuffle_partitions or int(os.environ.get("HEARTH_SHUFFLE_PARTITIONS", "8"))
-    spark = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("HEARTH_DRIVER_MEMORY", "8g"))
-        .getOrCreate()
-    )
+    """Build (or reuse) a session.
+
+    Master, memory and partitions are set only where the caller or the
+    environment names them; everything else comes from the cluster's
+    configuration (or spark-submit).  Without any master the session is local."""
+    builder = SparkSession.builder.appName(app)
+    master = master or os.environ.get("SPARK_MASTER")
+    if master or not os.environ.get("PYSPARK_SUBMIT_ARGS"):
+        builder = builder.master(master or "local[*]")
+    if memory := os.environ.get("HEARTH_DRIVER_MEMORY"):
+        builder = builder.config("spark.driver.memory", memory)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    spark = builder.config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, creating a scratch one only
-    when the cluster did not name one (local tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``,
+    or the context's checkpoint folder.  Where neither is set, a local master
+    (driver and executors are one process) gets a scratch folder; any other
+    master is refused, since each executor would write to its own disk."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="hearth-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint directory.
-
-    Used between the iterations of fold loops and searches so that a lost
-    executor recomputes from the checkpoint instead of the whole lineage.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="hearth-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: a lost
+    executor reads the files again, and later reads take only their columns.
+    The tables lie under ``tables/`` of the shared folder until
+    ``drop_tables``."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(spark: SparkSession) -> bool:
+    """Delete the tables that ``cut_lineage`` wrote; frames built on them end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/tables")
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -75,9 +75,9 @@ def sales_split(spark: SparkSession, sf_dir: str, materialize: bool = True
     """Reference (orders before 1998) and incoming (from 1998) windows.
 
     Monitoring plans read both windows several times (statistics, edges,
-    counts, null rates); the joined sales frame is checkpointed once into the
-    shared checkpoint directory so the lineitem aggregation and the joins
-    run once instead of once per consumer."""
+    counts, null rates); the joined sales frame is written once as Parquet to
+    the shared folder, so the lineitem aggregation and the joins run once and
+    every consumer reads only its columns."""
     s = sales(spark, sf_dir)
     if materialize:
         from hearth.session import cut_lineage

@@ -72,7 +72,7 @@ def windowed_psi(stream: DataFrame, ts_col: str, cols: Sequence[str], edges: Dat
     all_bins = edges.select("feature", F.explode(F.sequence(F.lit(1), F.size("edges") - 1))
                             .alias("bin"))  # features x bins, static
 
-    def score(batch: DataFrame, _epoch: int) -> None:
+    def score(batch: DataFrame, epoch: int) -> None:
         tot = batch.groupBy("w", "feature").agg(F.sum("a_n").alias("_t"))
         grid = tot.select("w", "feature").join(all_bins, "feature")  # windows x bins
         j = (grid.join(batch, ["w", "feature", "bin"], "left")
@@ -83,7 +83,8 @@ def windowed_psi(stream: DataFrame, ts_col: str, cols: Sequence[str], edges: Dat
         out = j.groupBy("w", "feature").agg(F.sum(term).alias("psi")).select(
             F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
             "feature", "psi", psi_band(F.col("psi")).alias("status"))
-        out.write.mode("append").parquet(sink)
+        # a batch that runs again after a failure replaces what it wrote
+        out.write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
 
     w = (counts.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .foreachBatch(score))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hearth.operators import dist, drift, folds, models, score
 from hearth.operators.profile import average_rank, spearman
+from hearth.session import cut_lineage
 from hearth.sources.bindings import events_split, sales
 
 SF = "/root/testdata/sf0.001"
@@ -92,45 +93,112 @@ def test_average_rank_hot_value(spark):
         assert r[v] == pytest.approx(sum(pos) / len(pos))
 
 
-def test_distributed_quantiles_equal_spark_percentile(spark):
+def _percentiles(df, col, probs, by):
+    good = df.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
+    rows = good.groupBy(*by).agg(F.percentile(col, F.array(*[F.lit(p) for p in probs]))).collect()
+    return {tuple(r[:-1]): r[-1] for r in rows}
+
+
+def test_quantiles_equal_spark_percentile(spark):
     from hearth.operators.quantiles import exact_quantiles
     s = sales(spark, SF)
     probs = [0.0, 0.05, 0.1, 0.25, 0.333, 0.5, 0.9, 1.0]
-    for col, by in (("price", []), ("acctbal", []), ("qty", ["nbhd"])):
-        a = {tuple(r[:-1]): r[-1] for r in exact_quantiles(s, col, probs, by, buckets=8).collect()}
-        b = {tuple(r[:-1]): r[-1] for r in s.filter(F.col(col).isNotNull()).groupBy(*by).agg(
-            F.percentile(col, F.array(*[F.lit(p) for p in probs]))).collect()}
-        assert a == b
+    for col, by in (("price", []), ("acctbal", []), ("qty", ["nbhd"]), ("price", ["nbhd", "segment"])):
+        got = {tuple(r[:-1]): r[-1] for r in exact_quantiles(s, col, probs, by).collect() if r[-1] is not None}
+        assert got == _percentiles(s, col, probs, by)
 
 
-def test_quantile_strategies_agree_on_operators(spark):
-    from hearth.operators.errors import quantile_edges
-    from hearth.operators.quantiles import set_quantile_strategy
-    s = sales(spark, SF)
-    try:
-        set_quantile_strategy("distributed")
-        a = quantile_edges(s, "price", 10).first()["edges"]
-        p = drift.psi(*events_split(spark, SF), ["value"], 10, "floor").first()["psi"]
-    finally:
-        set_quantile_strategy("auto")
-    assert a == quantile_edges(s, "price", 10).first()["edges"]
-    assert p == drift.psi(*events_split(spark, SF), ["value"], 10, "floor").first()["psi"]
-
-
-def test_imputers_under_distributed_quantiles(spark):
-    from hearth.operators.impute import GroupMedianImputer, MedianImputer
-    from hearth.operators.quantiles import set_quantile_strategy
-    from hearth.sources.bindings import house
-    h = house(spark, SF)
-    base = (MedianImputer(inputCols=["LotFrontage", "GrLivArea"]).fit(h)._stats(),
-            GroupMedianImputer(inputCol="LotFrontage", groupCol="Neighborhood").fit(h)._stats())
+def test_quantiles_on_tied_null_and_skewed_groups(spark):
+    from hearth.operators.quantiles import exact_quantiles
+    # a null group, a hot group with ties, groups of one and two rows, NaN, infinities, no values
+    d = spark.range(60_000, numPartitions=7).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit("hot"))
+        .otherwise(F.concat(F.lit("g"), (F.col("id") % 4001).cast("string"))).alias("g"),
+        F.when(F.col("id") % 10 == 0, F.lit(None)).when(F.col("id") % 10 < 6, F.lit(5.0))
+        .when(F.col("id") == 11, F.lit(float("nan"))).when(F.col("id") == 17, F.lit(float("inf")))
+        .otherwise(F.rand(3) * 1000).alias("x"))
+    d = d.unionByName(spark.createDataFrame([("none", None), ("one", 1.0), ("two", 1.0), ("two", 4.0)], "g string, x double"))
+    d = cut_lineage(d)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.777, 0.999, 1.0]
+    for by in ([], ["g"]):
+        got = {tuple(r[:-1]): r[-1] for r in exact_quantiles(d, "x", probs, by).collect()}
+        want = _percentiles(d, "x", probs, by)
+        assert {k: v for k, v in got.items() if v is not None} == want
+        assert by == [] or got[("none",)] is None
+
+
+def test_group_medians_over_many_levels(spark, tmp_path):
+    from hearth.operators.impute import GroupMedianImputer, GroupMedianImputerModel
+    d = spark.range(300_000, numPartitions=8).select(
+        (F.col("id") % 120_000).cast("string").alias("level"), F.when(F.col("id") >= 240_000, F.lit(None)).otherwise(F.col("id") % 7).alias("v"))
+    model = GroupMedianImputer(inputCol="v", groupCol="level").fit(d)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    back = GroupMedianImputerModel.load(str(tmp_path / "m"))
+    assert back.medians().count() == 120_000
+    want = d.filter("v is not null").groupBy("level").agg(F.percentile("v", F.lit(0.5)).alias("m"))
+    filled = back.transform(d.filter("v is null")).join(want, "level")
+    assert filled.count() == 60_000 and filled.filter("v <> m").count() == 0
+
+
+def test_medians_of_integers_stay_fractional(spark):
+    from hearth.operators.impute import MedianImputer, apply_defaults
+    d = spark.createDataFrame([(1,), (2,), (None,)], "a bigint")
+    assert sorted(r["a"] for r in MedianImputer(inputCols=["a"]).fit(d).transform(d).collect()) == [1.0, 1.5, 2.0]
+    assert sorted(r["a"] for r in apply_defaults(d, {"a": "1.5"}).collect()) == [1.0, 1.5, 2.0]
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_dense_index_and_balanced_folds_keep_every_row(spark, coalesce):
+    n = 1_000_000
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     try:
-        set_quantile_strategy("distributed")
-        dist_ = (MedianImputer(inputCols=["LotFrontage", "GrLivArea"]).fit(h)._stats(),
-                 GroupMedianImputer(inputCol="LotFrontage", groupCol="Neighborhood").fit(h)._stats())
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        d = spark.range(n, numPartitions=11).withColumn("payload", F.md5(F.col("id").cast("string")))
+        i = cut_lineage(folds.dense_index(d, folds.hash_key("id", 7), ["id"], "i"))
+        r = i.agg(F.count("*").alias("n"), F.countDistinct("i").alias("d"), F.min("i").alias("lo"), F.max("i").alias("hi"),
+                  F.countDistinct("id").alias("ids"), F.sum((F.md5(F.col("id").cast("string")) != F.col("payload")).cast("int")).alias("bad")).first()
+        assert tuple(r) == (n, n, 0, n - 1, n, 0)
+        sizes = [r["count"] for r in folds.assign_balanced_folds(d, "id", 7, 42).groupBy("fold").count().collect()]
+        assert sum(sizes) == n and max(sizes) - min(sizes) <= 1
     finally:
-        set_quantile_strategy("auto")
-    assert base == dist_
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_table_hash_counts_repeated_rows(spark):
+    from hearth.operators.registry import fingerprint
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y")], "id int, v string")
+    b = spark.createDataFrame([(1, "x"), (3, "z"), (3, "z")], "id int, v string")
+    assert fingerprint(a, "id").first()["table_hash"] != fingerprint(b, "id").first()["table_hash"]
+
+
+def test_contract_verdict_variants(spark):
+    from hearth.operators.contract import verdict
+    d = spark.createDataFrame([(0.7,), (0.71,), (1.0,)], "r double")
+    got = d.select(verdict(F.col("r"), 0.7), verdict(F.col("r"), 0.7, strict=True)).collect()
+    assert [tuple(r) for r in got] == [("partial", "fail"), ("partial", "partial"), ("pass", "pass")]
+
+
+def test_typicality_without_usable_input(spark):
+    prof = spark.createDataFrame([("a", 1.0, 2.0, 3.0, 2.0)], "feature string, p05 double, p50 double, p95 double, iqr double")
+    d = spark.createDataFrame([(1, None), (2, 9.0), (3, 2.0)], "id int, a double")
+    got = {r["id"]: [(x["feature"], x["side"], x["bound"]) for x in r["reasons"]] for r in score.typicality_score(d, prof, ["a"], "id").collect()}
+    assert got == {1: [(None, "no usable input", None)], 2: [("a", "over p95", 3.0)], 3: []}
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace as N
+    from hearth.session import checkpoint_dir
+    conf = N(get=lambda key, default=None: default)
+    far = N(conf=conf, sparkContext=N(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError):
+        checkpoint_dir(far)
+
+
+def test_later_reads_take_only_their_columns(spark):
+    from hearth.sources.bindings import sales_split
+    ref, _cur = sales_split(spark, SF)
+    plan = ref.select("price")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<price:double,yr_built:bigint>" in plan
 
 
 def test_event_split_independent_of_session_zone(spark):
