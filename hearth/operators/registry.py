@@ -68,6 +68,40 @@ def list_runs(runs: DataFrame, model: str | None = None) -> DataFrame:
     return d.orderBy("model", "run_id")
 
 
+EVENTS = "scope string, model string, alias string, run_id string, cv_rmse double, ts timestamp, event string"
+
+
+def write_part(df: DataFrame, path: str) -> None:
+    """Write one part of a table, replacing what an earlier try left there."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def read_runs(spark: SparkSession, root: str) -> DataFrame:
+    """All run records of a training folder."""
+    return spark.read.option("basePath", f"{root}/runs").parquet(f"{root}/runs/run=*").drop("run")
+
+
+def read_events(spark: SparkSession, root: str) -> DataFrame:
+    """All alias events of a training folder; empty before the first run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/events")
+    if not path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+        return spark.createDataFrame([], EVENTS)
+    return spark.read.schema(EVENTS).parquet(f"{root}/events")
+
+
+def promote(runs: DataFrame, aliases: DataFrame, model: str, run_id: str) -> DataFrame:
+    """H4-H6: alias events of a new run: it becomes ``latest``, and ``best``
+    where no run was or where its CV RMSE is strictly lower, for its family
+    and over all models.  Event time is the run's, so a replay changes nothing."""
+    new = runs.filter((F.col("model") == model) & (F.col("run_id") == run_id)).select(
+        F.explode(F.array(F.lit("family"), F.lit("global"))).alias("scope"), "model", "run_id", "cv_rmse", "ts")
+    best = aliases.filter((F.col("alias") == "best") & ((F.col("scope") == "global") | (F.col("model") == model)))
+    best = best.select("scope", F.col("cv_rmse").alias("_best"))  # at most two rows
+    better = new.join(best, "scope", "left").filter(F.col("cv_rmse").isNotNull() & (F.col("_best").isNull() | (F.col("cv_rmse") < F.col("_best"))))
+    cols = ["scope", "model", "alias", "run_id", "cv_rmse", "ts"]
+    return new.withColumn("alias", F.lit("latest")).select(cols).unionByName(better.withColumn("alias", F.lit("best")).select(cols))
+
+
 def alias_event(spark: SparkSession, scope: str, model: str, alias: str, run_id: str,
                 cv_rmse: float | None, path: str | None = None) -> DataFrame:
     """H4 set_alias / promote: one appended event row."""
@@ -80,7 +114,13 @@ def alias_event(spark: SparkSession, scope: str, model: str, alias: str, run_id:
 
 
 def current_aliases(events: DataFrame) -> DataFrame:
-    """H4: current alias = the latest event per (scope, model, alias)."""
+    """H4: current alias = the latest event per (scope, model, alias); the
+    global aliases have one holder over all models."""
+    family = F.when(F.col("scope") == "global", F.lit("global")).otherwise(F.col("model"))
+    if "event" in events.columns:
+        return events.groupBy("scope", family.alias("_family"), "alias").agg(
+            F.max_by(F.struct("model", "run_id", "cv_rmse"), F.struct("ts", "run_id")).alias("_cur")).select(
+            "scope", F.col("_cur.model").alias("model"), "alias", F.col("_cur.run_id").alias("run_id"), F.col("_cur.cv_rmse").alias("cv_rmse"))
     return events.groupBy("scope", "model", "alias").agg(
         F.max_by(F.struct("run_id", "cv_rmse"), F.struct("ts", "run_id")).alias("_cur")
     ).select("scope", "model", "alias", F.col("_cur.run_id").alias("run_id"),

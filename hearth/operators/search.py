@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hearth.operators.folds import assign_folds
 from hearth.operators.oof import fold_summary, oof_predict, oof_ridge1
+from hearth.operators.registry import run_ts
 from hearth.session import cut_lineage
 
 DETAIL_SCHEMA = ("stage string, model string, candidate string, seed int, cv_rmse double, "
@@ -126,17 +127,22 @@ def weight_sweep(a: DataFrame, b: DataFrame, truth: DataFrame, id_col: str, labe
 
 def train_run(spark: SparkSession, df: DataFrame, make: Callable[[], object], model: str,
               id_col: str, label: str, k: int, seed: int, root: str, run_id: str,
-              features: Sequence[str]) -> DataFrame:
-    """The training job: OOF predictions, metrics, final fit on all rows,
-    persisted model, run record and alias events.  Returns the run record."""
-    from hearth.operators.registry import fingerprint, register_run
-    from hearth.sources.io import save_model, write_predictions
+              features: Sequence[str], test: DataFrame | None = None) -> DataFrame:
+    """The training job: out-of-fold and (fold-averaged) test predictions,
+    metrics, final fit on all rows, persisted model, run record and alias
+    events (latest and best, of the family and of all).  Returns the record.
+
+    Everything is written under the run's id, so a job that runs again
+    replaces its own results and registers nothing twice."""
+    from hearth.operators.registry import current_aliases, fingerprint, promote, read_events, read_runs, write_part
+    from hearth.sources.io import save_model, write_metrics
     d = assign_folds(df, id_col, k, seed)
-    oof, _t, _m = oof_predict(d, make, "fold", id_col, k)
+    oof, averaged, _m = oof_predict(d, make, "fold", id_col, k, test=test)
+    part = f"model={model}/run_id={run_id}"
+    write_part(oof.select(id_col, "fold", "pred_log"), f"{root}/predictions/split=oof/{part}")
+    if averaged is not None:
+        write_part(averaged, f"{root}/predictions/split=test/{part}")
     j = oof.join(d.select(id_col, label), id_col)
-    write_predictions(oof.select(F.lit(model).alias("model"), F.lit(run_id).alias("run_id"),
-                                 F.lit("oof").alias("split"), id_col, "fold", "pred_log"),
-                      os.path.join(root, "predictions"), mode="append")
     summ = fold_summary(j, label, "pred_log").first()
     final = make().fit(d)
     path = save_model(final, os.path.join(root, "models"), model, run_id)
@@ -144,11 +150,15 @@ def train_run(spark: SparkSession, df: DataFrame, make: Callable[[], object], mo
     rec = spark.createDataFrame(
         [(model, run_id, float(summ["oof_rmse"]), [float(x["rmse"]) for x in summ["fold_rmse"]],
           {"seed": str(seed), "n_splits": str(k), "model_name": model}, list(features),
-          int(fp["rows"]), fp["head_md5"], path)],
+          int(fp["rows"]), fp["head_md5"], fp["table_hash"], path)],
         "model string, run_id string, cv_rmse double, fold_rmse array<double>, "
-        "args map<string,string>, features array<string>, rows bigint, head_md5 string, "
+        "args map<string,string>, features array<string>, rows bigint, head_md5 string, table_hash string, "
         "artifact string")
-    return register_run(rec, os.path.join(root, "runs"))
+    write_metrics(rec.select("model", "run_id", "cv_rmse", "fold_rmse"), f"{root}/metrics/{part}")
+    write_part(rec.withColumn("ts", run_ts(F.col("run_id"))), f"{root}/runs/run={model}-{run_id}")
+    aliases = current_aliases(read_events(spark, root).filter(F.col("event") != f"{model}-{run_id}"))
+    write_part(promote(read_runs(spark, root), aliases, model, run_id), f"{root}/events/event={model}-{run_id}")
+    return read_runs(spark, root).filter((F.col("model") == model) & (F.col("run_id") == run_id))
 
 
 def perf_baseline(spark: SparkSession, df: DataFrame, id_col: str, target: str, k: int = 3,

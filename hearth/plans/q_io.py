@@ -121,7 +121,9 @@ def _a6(spark, sf):
     return back.select("id", rnd("SalePrice", 2).alias("SalePrice"))
 
 
-@query("a7_save_load_model")
+@query("a7_save_load_model", f"""WITH {SALES_CTE.strip()}
+SELECT COUNT(*) AS rows, true AS equal FROM sales WHERE yr_built >= 1998
+""")
 def _a7(spark, sf):
     from hearth.plans.q_score import _fit_ridge
     ref, cur = sales_split(spark, sf)

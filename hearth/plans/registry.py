@@ -39,4 +39,4 @@ def all_oracles() -> dict[str, str]:
 def _load() -> None:
     # importing the plan modules registers their queries
     from hearth.plans import (  # noqa: F401
-        q_flagship, q_columns, q_profile, q_drift, q_errors, q_registry, q_score, q_contract, q_models, q_explain, q_io)
+        q_flagship, q_columns, q_profile, q_drift, q_errors, q_registry, q_score, q_contract, q_models, q_closed, q_explain, q_io)
