@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from hearth.operators.ranks import edge_count, with_average_rank
 from hearth.session import cut_lineage
 
 
@@ -117,49 +118,20 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return a_b.unionByName(b_a)
 
 
-def average_rank(df: DataFrame, by: Sequence[str], v: str, out: str = "rank",
-                 buckets: int = 64) -> DataFrame:
-    """Average rank (ties share the mean of their positions, 1-based) of every
-    distinct ``v`` within each ``by`` group, computed without a single-task
-    window: values are pre-aggregated to (value, count) so a hot value is
-    one row, range-bucketed on approximate per-group quantiles, ranked by a
-    running sum inside each (group, bucket), and shifted by the counts of
-    earlier buckets (one small row per group and bucket).
-    Returns (by..., v, out)."""
-    by = list(by)
-    c = df.groupBy(*by, v).agg(F.count(F.lit(1)).alias("_c"))
-    probs = [i / buckets for i in range(1, buckets)]
-    e = c.groupBy(*by).agg(F.percentile_approx(v, probs, 10000).alias("_e"))
-    # edges: one row of <= buckets doubles per group
-    cb = c.join(e, by, "inner") if by else c.join(F.broadcast(e), how="inner")
-    cb = cb.withColumn("_b", F.size(F.filter("_e", lambda x: x <= F.col(v)))).drop("_e")
-    w_in = (Window.partitionBy(*by, "_b").orderBy(v)
-            .rowsBetween(Window.unboundedPreceding, -1))
-    below = cb.withColumn("_below", F.coalesce(F.sum("_c").over(w_in), F.lit(0)))
-    bt = cb.groupBy(*by, "_b").agg(F.sum("_c").alias("_bt"))
-    w_off = (Window.partitionBy(*by).orderBy("_b")
-             .rowsBetween(Window.unboundedPreceding, -1))  # <= buckets rows per group
-    off = bt.select(*by, "_b", F.coalesce(F.sum("_bt").over(w_off), F.lit(0)).alias("_off"))
-    r = below.join(off, [*by, "_b"])
-    return r.select(*by, v, (F.col("_off") + F.col("_below") + (F.col("_c") + 1) / 2.0)
-                    .alias(out))
-
-
 def spearman(df: DataFrame, cols: Sequence[str], target: str, min_pairs: int = 2) -> DataFrame:
     """M6: Spearman rank correlation (average ranks for ties, NULL pairs
     dropped per column) of every column with the target, for all columns in
-    one plan: unpivot to (feature, x, y) pairs, distributed average ranks of
-    x and of y within each feature, then Pearson on the ranks per feature."""
+    one plan: (feature, x, y) pairs, average ranks of x and of y within each
+    feature on the pairs themselves, then Pearson on the ranks per feature."""
     y = F.col(f"`{target}`").cast("double")
     wide = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols], y.alias("_y"))
     pairs = (wide.unpivot(["_y"], list(cols), "feature", "_x")
              .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
-    # the pairs feed four consumers: materialise them once in the shared
-    # checkpoint directory instead of recomputing the upstream plan each time
+    # the pairs are read for the edges, the counts and the ranks: written once
     pairs = cut_lineage(pairs)
-    rx = average_rank(pairs, ["feature"], "_x", "_rx")
-    ry = average_rank(pairs, ["feature"], "_y", "_ry")
-    j = pairs.join(rx, ["feature", "_x"]).join(ry, ["feature", "_y"])
+    edges = edge_count(pairs.count() // max(1, len(cols)))
+    j = with_average_rank(pairs, ["feature"], "_x", "_rx", edges)
+    j = with_average_rank(cut_lineage(j), ["feature"], "_y", "_ry", edges)
     g = j.groupBy("feature").agg(F.corr("_rx", "_ry").alias("_r"),
                                  F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession

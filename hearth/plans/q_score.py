@@ -163,7 +163,7 @@ FROM cur c, n
 """)
 def _i7t(spark, sf):
     ref, cur = sales_split(spark, sf)
-    r = score.percentile_rank(ref, "quality", cur.select("id", "quality"), "quality", buckets=4)
+    r = score.percentile_rank(ref, "quality", cur.select("id", "quality"), "quality")
     return r.select("id", rnd("pct_rank", 9).alias("pct_rank"))
 
 

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearth.operators import dist, drift, folds, models, score
-from hearth.operators.profile import average_rank, spearman
+from hearth.operators.profile import spearman
+from hearth.operators.ranks import with_average_rank
 from hearth.session import cut_lineage
 from hearth.sources.bindings import events_split, sales
 
@@ -82,15 +83,24 @@ def test_partition_invariance(spark):
     assert ra == pytest.approx(rb)
 
 
-def test_average_rank_hot_value(spark):
-    # one value holds a third of the rows: it collapses to one (value, count) row
-    vals = [5.0] * 30 + [float(i) for i in range(60)]
-    d = spark.createDataFrame([("f", v) for v in vals], "feature string, x double")
-    r = {row["x"]: row["rank"] for row in average_rank(d, ["feature"], "x", buckets=4).collect()}
-    s = sorted(vals)
-    for v in (0.0, 5.0, 59.0):
-        pos = [i + 1 for i, t in enumerate(s) if t == v]
-        assert r[v] == pytest.approx(sum(pos) / len(pos))
+@pytest.mark.parametrize("edges", [1, 4, 50])
+def test_average_rank_hot_value(spark, edges):
+    # one value holds a third of the rows; others are tied or alone, infinite or negative zero
+    vals = [5.0] * 60 + [float(i % 37) for i in range(100)] + [0.1 * i for i in range(20)] + [float("inf"), float("-inf"), -0.0, 0.0]
+    d = spark.createDataFrame([(f, v) for f in "fg" for v in vals if f == "f" or v < 9], "feature string, x double").repartition(5)
+    got = with_average_rank(d, ["feature"], "x", "rank", edges).collect()
+    for f in "fg":
+        s = sorted(v for v in vals if f == "f" or v < 9)
+        want = {v: sum(i + 1 for i, t in enumerate(s) if t == v) / s.count(v) for v in set(s)}
+        mine = [r for r in got if r["feature"] == f]
+        assert len(mine) == len(s) and all(r["rank"] == want[r["x"]] for r in mine)
+
+
+def test_percentile_rank_of_odd_probes(spark):
+    ref = spark.createDataFrame([(v,) for v in [1.0, 2.0, 2.0, 2.0, 3.0, None, float("nan")]], "v double")
+    probes = spark.createDataFrame([(i, v) for i, v in enumerate([0.0, 1.0, 2.0, 2.5, 3.0, 9.0, None, 2.0])], "id int, p double")
+    got = {r["id"]: r["pct_rank"] for r in score.percentile_rank(ref, "v", probes, "p").collect()}
+    assert got == {0: 0.0, 1: 0.0, 2: 20.0, 3: 80.0, 4: 80.0, 5: 100.0, 6: None, 7: 20.0}
 
 
 def _percentiles(df, col, probs, by):
