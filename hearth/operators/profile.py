@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from hearth.operators.ranks import edge_count, with_average_rank
+from hearth.operators.ranks import edge_count, edges_of, number, with_average_rank, with_buckets
 from hearth.session import cut_lineage
 
 
@@ -123,15 +123,14 @@ def spearman(df: DataFrame, cols: Sequence[str], target: str, min_pairs: int = 2
     dropped per column) of every column with the target, for all columns in
     one plan: (feature, x, y) pairs, average ranks of x and of y within each
     feature on the pairs themselves, then Pearson on the ranks per feature."""
-    y = F.col(f"`{target}`").cast("double")
-    wide = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols], y.alias("_y"))
-    pairs = (wide.unpivot(["_y"], list(cols), "feature", "_x")
-             .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
-    # the pairs are read for the edges, the counts and the ranks: written once
-    pairs = cut_lineage(pairs)
-    edges = edge_count(pairs.count() // max(1, len(cols)))
-    j = with_average_rank(pairs, ["feature"], "_x", "_rx", edges)
-    j = with_average_rank(cut_lineage(j), ["feature"], "_y", "_ry", edges)
+    wide = df.select(*[number(F.col(f"`{c}`")).alias(f"x{i}") for i, c in enumerate(cols)], number(F.col(f"`{target}`")).alias("y"))
+    # read for the edges, the counts and the ranks: written once
+    wide = cut_lineage(wide.filter(F.col("y").isNotNull()))
+    names = [f"x{i}" for i in range(len(cols))]
+    wide = with_buckets(wide, edges_of(wide, [*names, "y"], edge_count(wide.count())))
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(x).alias("_x"), F.col(f"_b{x}").alias("_bx")) for c, x in zip(cols, names)]))
+    pairs = wide.select(cells.alias("_c"), F.col("y").alias("_y"), F.col("_by")).select("_c.*", "_y", "_by").filter(F.col("_x").isNotNull())
+    j = with_average_rank(with_average_rank(pairs, ["feature"], "_x", "_bx", "_rx"), ["feature"], "_y", "_by", "_ry")
     g = j.groupBy("feature").agg(F.corr("_rx", "_ry").alias("_r"),
                                  F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession

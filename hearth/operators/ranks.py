@@ -3,7 +3,8 @@
 A sketch gives edges in the order of the values, about the square root of the rows in number.  Every
 row lies on an edge or strictly between two.  Rows on an edge all have that value, so the counts of
 the buckets alone give their rank; a value that a third of the rows share is always an edge.  Rows
-between two edges are ranked by a window over their bucket, whose size the edges bound.
+between two edges are ranked by a window over their bucket, whose size the edges bound.  Any edges
+give the same ranks.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,51 +23,55 @@ def edge_count(rows: int) -> int:
     return max(1, min(MOST_EDGES, math.isqrt(rows) // 4))
 
 
-def bucket(v: Column, edges: Column) -> Column:
-    """Even for the gap before edge b / 2, odd for the edge (b - 1) / 2, by binary search."""
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(MOST_EDGES.bit_length()))])
-    n = F.size(edges)
-    at = F.aggregate(steps, F.lit(0), lambda a, s: F.when((a + s <= n) & (F.get(edges, a + s - 1) <= v), a + s).otherwise(a))
-    return F.when(F.get(edges, at - 1) == v, 2 * at - 1).otherwise(2 * at)
+def number(c: str | Column) -> Column:
+    """The column as double, negative zero as zero, NaN as NULL."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double") + F.lit(0.0)
+    return F.when(~F.isnan(x), x)
 
 
-def with_bucket(df: DataFrame, by: Sequence[str], v: str, edges: DataFrame) -> DataFrame:
-    """``df`` with ``_b``; ``edges`` has one row (``by``..., ``_e``) per group, of at most MOST_EDGES values."""
-    j = df.join(F.broadcast(edges), list(by)) if by else df.join(F.broadcast(edges))
-    return j.withColumn("_b", bucket(F.col(v), F.col("_e"))).drop("_e")
+def edges_of(df: DataFrame, cols: Sequence[str], count: int) -> dict[str, list[float]]:
+    """Edges of every column: at most ``count`` finite values each."""
+    probs = [i / (count + 1) for i in range(1, count + 1)]
+    row = df.agg(*[F.percentile_approx(c, probs, 10 * (count + 1)).alias(c) for c in cols]).first()
+    return {c: sorted({e for e in row[c] or [] if math.isfinite(e)}) or [0.0] for c in cols}
 
 
-def edges_of(df: DataFrame, by: Sequence[str], v: str, count: int) -> DataFrame:
-    probs = [i / (count + 1) for i in range(1, count + 1)]
-    return df.groupBy(*by).agg(F.array_sort(F.array_distinct(F.percentile_approx(v, probs, 10 * (count + 1)))).alias("_e"))
+def with_buckets(df: DataFrame, edges: dict[str, list[float]], prefix: str = "_b") -> DataFrame:
+    """Add ``prefix + column``: even for the gap before edge b / 2, odd for the edge (b - 1) / 2."""
+    cols = list(edges)
+    cut = Bucketizer(inputCols=cols, outputCols=[f"_cut{c}" for c in cols], handleInvalid="keep",
+                     splitsArray=[[-math.inf, *edges[c], math.inf] for c in cols]).transform(df)
+    for c in cols:
+        at = F.col(f"_cut{c}").cast("int")
+        values = F.expr("array(" + ", ".join(f"{e!r}D" for e in edges[c]) + ")")
+        cut = cut.withColumn(prefix + c, F.when(F.get(values, at - 1) == F.col(c), 2 * at - 1).otherwise(2 * at))
+    return cut.drop(*[f"_cut{c}" for c in cols])
 
 
-def starts_of(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+def starts_of(rows: DataFrame, by: Sequence[str], b: str) -> DataFrame:
     """Per group two arrays over the buckets: rows before (``_before``) and rows in (``_in``) each."""
-    c = rows.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    c = rows.groupBy(*by, F.col(b).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # the buckets of a group
     c = c.withColumn("_at", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    held = F.map_from_entries(F.collect_list(F.struct("_b", F.struct("_at", "_n"))))
-    g = c.groupBy(*by).agg(held.alias("_m"), F.max("_b").alias("_top"), F.sum("_n").alias("_rows"))
-    every = F.transform(F.sequence(F.lit(0), F.lit(2 * MOST_EDGES + 1)), lambda b: F.col("_m")[b])
+    g = c.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_b", F.struct("_at", "_n")))).alias("_m"), F.sum("_n").alias("_rows"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(2 * MOST_EDGES + 1)), lambda i: F.col("_m")[i])
     # an empty bucket starts where the next one does
     filled = F.aggregate(F.reverse(every), F.struct(F.array().cast("array<bigint>").alias("x"), F.col("_rows").alias("next")),
                          lambda a, s: F.struct(F.concat(F.array(F.coalesce(s["_at"], a["next"])), a["x"]).alias("x"), F.coalesce(s["_at"], a["next"]).alias("next")),
                          lambda a: a["x"])
-    return g.select(*by, filled.alias("_before"), F.transform(every, lambda s: F.coalesce(s["_n"], F.lit(0))).alias("_in"), F.col("_rows"))
+    return g.select(*by, filled.alias("_before"), F.transform(every, lambda s: F.coalesce(s["_n"], F.lit(0))).alias("_in"), "_rows")
 
 
-def with_average_rank(df: DataFrame, by: Sequence[str], v: str, out: str, count: int) -> DataFrame:
+def with_average_rank(df: DataFrame, by: Sequence[str], v: str, b: str, out: str) -> DataFrame:
     """Rows with their 1-based rank in the group; equal values share the mean of their places.
 
-    ``by`` has few groups (columns of a table); ``v`` is neither NULL nor NaN."""
+    ``b`` is the bucket of ``v``; ``by`` has few groups (columns of a table)."""
     cols = [*df.columns, out]
-    rows = with_bucket(df, by, v, edges_of(df, by, v, count))
-    starts = F.broadcast(starts_of(rows, by))
-    rows = rows.join(starts, list(by)) if by else rows.join(starts)
-    rows = rows.withColumn("_start", F.get("_before", F.col("_b"))).withColumn("_held", F.get("_in", F.col("_b"))).drop("_before", "_in", "_rows")
-    on = rows.filter(F.col("_b") % 2 == 1).withColumn(out, F.col("_start") + (F.col("_held") + 1) / 2)
-    w = Window.partitionBy(*by, "_b").orderBy(v)
+    starts = F.broadcast(starts_of(df, by, b))  # one row of bounded arrays per group
+    rows = df.join(starts, list(by)) if by else df.join(starts)
+    rows = rows.withColumn("_start", F.get("_before", F.col(b))).withColumn("_held", F.get("_in", F.col(b))).drop("_before", "_in", "_rows")
+    on = rows.filter(F.col(b) % 2 == 1).withColumn(out, F.col("_start") + (F.col("_held") + 1) / 2)
+    w = Window.partitionBy(*by, b).orderBy(v)
     last = F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    between = rows.filter(F.col("_b") % 2 == 0).withColumn(out, F.col("_start") + (F.rank().over(w) + last) / 2)
+    between = rows.filter(F.col(b) % 2 == 0).withColumn(out, F.col("_start") + (F.rank().over(w) + last) / 2)
     return on.select(cols).unionByName(between.select(cols))

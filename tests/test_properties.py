@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hearth.operators import dist, drift, folds, models, score
 from hearth.operators.profile import spearman
-from hearth.operators.ranks import with_average_rank
+from hearth.operators.ranks import edges_of, number, with_average_rank, with_buckets
 from hearth.session import cut_lineage
 from hearth.sources.bindings import events_split, sales
 
@@ -88,7 +88,8 @@ def test_average_rank_hot_value(spark, edges):
     # one value holds a third of the rows; others are tied or alone, infinite or negative zero
     vals = [5.0] * 60 + [float(i % 37) for i in range(100)] + [0.1 * i for i in range(20)] + [float("inf"), float("-inf"), -0.0, 0.0]
     d = spark.createDataFrame([(f, v) for f in "fg" for v in vals if f == "f" or v < 9], "feature string, x double").repartition(5)
-    got = with_average_rank(d, ["feature"], "x", "rank", edges).collect()
+    d = d.withColumn("x", number("x"))
+    got = with_average_rank(with_buckets(d, edges_of(d, ["x"], edges)), ["feature"], "x", "_bx", "rank").collect()
     for f in "fg":
         s = sorted(v for v in vals if f == "f" or v < 9)
         want = {v: sum(i + 1 for i, t in enumerate(s) if t == v) / s.count(v) for v in set(s)}
