@@ -15,12 +15,16 @@ def get_spark(master: str | None = None, app: str = "hearth",
 
     Master, memory and partitions are set only where the caller or the
     environment names them; everything else comes from the cluster's
-    configuration (or spark-submit).  Without any master the session is local."""
+    configuration (or spark-submit).  A plain Python process without any of
+    these gets a local session with 8 GB."""
     builder = SparkSession.builder.appName(app)
     master = master or os.environ.get("SPARK_MASTER")
-    if master or not os.environ.get("PYSPARK_SUBMIT_ARGS"):
-        builder = builder.master(master or "local[*]")
-    if memory := os.environ.get("HEARTH_DRIVER_MEMORY"):
+    memory = os.environ.get("HEARTH_DRIVER_MEMORY")
+    if not os.environ.get("PYSPARK_SUBMIT_ARGS"):
+        master, memory = master or "local[*]", memory or "8g"
+    if master:
+        builder = builder.master(master)
+    if memory:
         builder = builder.config("spark.driver.memory", memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -13,7 +13,10 @@ SUBSET = [
     "k1_numeric_drift", "k2_categorical_drift", "k5_psi_floor", "k7_category_shift",
     "l8_risk_table", "m6_spearman", "m10_normality_test", "h7_resolve", "i4_typicality_score",
     "i7_percentile_rank", "j3_check_contract", "o1_stratified_sample", "g7_weight_sweep",
-    "n8_describe_features", "a8_read_summary",
+    "n8_describe_features", "a8_read_summary", "c6_median_imputer", "c10_apply_defaults",
+    "g1_balanced_folds", "g1_dense_index", "g3_fold_avg_one_feature", "g6_two_stage_search", "g9_train_aliases",
+    "i1_score_one_feature", "m11_pca_two_columns", "n5_signed_one_feature", "n6_ols_one_regressor", "n7_permutation_one_feature",
+    "l13_error_correlates", "m3_box_summary", "k9_drift_summary",
 ]
 
 

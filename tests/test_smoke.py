@@ -14,7 +14,7 @@ def test_entry_runs(spark):
 def test_every_survey_id_has_a_query():
     import __spark_entry__ as e
     q, o = e.queries(), e.oracle_sql()
-    ids = {re.match(r"([a-o]\d+)_", k).group(1) for k in q}
+    ids = {m.group(1) for k in q if (m := re.match(r"([a-o]\d+)_", k))}
     expected = ({f"a{i}" for i in range(1, 9)} | {f"b{i}" for i in range(1, 10)}
                 | {f"c{i}" for i in range(1, 11)} | {f"d{i}" for i in range(1, 15)}
                 | {f"e{i}" for i in range(1, 5)} | {f"f{i}" for i in range(1, 11)}
