@@ -82,7 +82,7 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.aggregate(steps, start, add, lambda a: a["term"] + F.log(a["sum"]))
 
 
-def certified_cutoffs(labelled: DataFrame, alpha: float = 0.02, delta: float = 0.05, weight: float = 20.0) -> DataFrame:
+def certified_cutoffs(labelled: DataFrame, alpha: float = 0.02, delta: float = 0.05, weight: float = 200.0) -> DataFrame:
     """``(stratum, rule, cutoff)``: reject where the signal's bin is above the cutoff.
 
     ``labelled`` has ``stratum``, the ``bin_*`` columns and ``quality`` (1 good, 0 bad).
@@ -107,7 +107,7 @@ def certified_cutoffs(labelled: DataFrame, alpha: float = 0.02, delta: float = 0
     return best.filter("best.gain > 0").select("stratum", "rule", "best.cutoff")
 
 
-def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, weight: float = 20.0,
+def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, weight: float = 200.0,
           id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", label_col: str = "quality") -> DataFrame:
     """The signals of every row with ``kept`` and the names of the rules that reject it (``failed``).
 
