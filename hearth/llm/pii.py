@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.llm.common import materialize
+from hearth.llm.common import materialize, row_key
 from hearth.llm.quality import _once
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -63,14 +63,14 @@ def _valid() -> Column:
         .otherwise(False))
 
 
-def strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Matches of all rules and shapes: ``_row, kind, start, end, value, before``, in code points.
+def search(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, key, hits`` for every row: the matches of all rules and shapes, in order of each kind.
 
-    ``docs`` has the row key ``_row``. A rule's matches and the text between them follow one
-    another, so a match ends at the sum of the lengths up to it.
+    A hit has its ``kind``, its number ``i``, the ``value``, the length of the ``gap`` since the
+    last match of its kind (or the start of the text) and the end of the text ``before`` it.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.select("_row", text.alias("t")).filter(F.col("t").rlike("[0-9@]|[tT][\\])}]"))
+    d = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"), text.alias("t"))
     has = {"email": F.contains("t", F.lit("@")), "phone": F.contains("t", F.lit("+")), "address": F.col("t").rlike(r"(?:at|AT)[\])}]")}
     digit = F.col("t").rlike("[0-9]")
     rules = BASE | SHAPES
@@ -84,7 +84,16 @@ def strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             F.right(F.get(f"p_{k}", i), F.lit(_CONTEXT)).alias("before")))).otherwise(
                 F.array().cast("array<struct<kind:string,i:int,value:string,gap:int,before:string>>"))
 
-    hits = d.select("_row", F.explode(F.concat(*[found(k) for k in rules])).alias("x")).select("_row", "x.*")
+    return d.select("id", "key", F.concat(*[found(k) for k in rules]).alias("hits"))
+
+
+def strings(searched: DataFrame) -> DataFrame:
+    """Matches as rows: ``_row, kind, start, end, value, before``, in code points.
+
+    ``searched`` has ``hits`` and a row key ``_row`` that no other row has. A rule's matches and
+    the text between them follow one another, so a match ends at the sum of the lengths up to it.
+    """
+    hits = searched.select("_row", F.explode("hits").alias("x")).select("_row", "x.*")
     upto = W.partitionBy("_row", "kind").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
     hits = hits.withColumn("end", F.sum(F.col("gap") + F.length("value")).over(upto))
     return hits.select("_row", "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value", "before")
@@ -158,10 +167,9 @@ def personal_data(docs: DataFrame, support: int = 8, confidence: float = 0.9, ro
     empty texts have none; texts of any length are searched whole; repeated rows are searched one
     by one, and count once as evidence; an empty table learns nothing. Other columns are not used.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("t"))
-    # one search for each distinct text of an id
-    rows = rows.withColumn("_row", F.xxhash64(F.lit(7), "id", "t"))
-    found = materialize(_instances(strings(rows, "id", "t")), "strings")
+    # a key of its own for each row, fixed by writing it: rows that agree in id and text stay apart
+    rows = materialize(row_key(search(docs, id_col, text_col)), "searched")
+    found = materialize(_instances(strings(rows)), "strings")
     learned = bootstrap(found, support, confidence, rounds)
     kind = F.coalesce("kind", "learned")
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("k")).cast("int")

@@ -70,3 +70,10 @@ def test_redaction_and_edges(spark, no_docs):
 def test_repeated_rows_keep_their_count(docs, doc_rows):
     got = Counter(r["id"] for r in personal_data(docs).select("id").collect())
     assert got == Counter(d for d, *_ in doc_rows)
+
+
+def test_repeated_rows_keep_their_places(spark):
+    text = "mail me@x.org or you@y.org and 1.2.3.4 then 5.6.7.8 end"
+    rows = [(1, text), (1, text), (1, text), (None, text), (None, text), (2, "no " + text)]
+    got = [(r["id"], tuple(map(tuple, r["base"]))) for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=str) == sorted(((i, brute(t)) for i, t in rows), key=str)
