@@ -215,15 +215,34 @@ def stack_ridge(oof: DataFrame, truth: DataFrame, test: DataFrame, models: Seque
     return meta.transform(te).select(id_col, F.col("prediction").alias(pred_col)), meta
 
 
+def best_round(errors: Sequence[float], rounds: int) -> int:
+    """Trees up to the lowest error before ``rounds`` trees in a row bring no lower one."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= rounds:
+            break
+    return best + 1
+
+
 def early_stopping_cv(df: DataFrame, make_gbt: Callable[[], GBTRegressor], fold_col: str,
                       k: int, label: str = "label", features: str = "features",
-                      tol: float = 1e-4) -> DataFrame:
+                      tol: float = 1e-4, rounds: int | None = None) -> DataFrame:
     """per fold, boosting stops on the held-out fold
-    (validationIndicatorCol); best iteration = number of trees kept.  Returns
-    per-fold (fold, best_iteration, rmse) plus mean/std in the summary."""
+    (validationIndicatorCol); best iteration = number of trees kept.  With
+    ``rounds`` all trees are fitted on the other folds and the best iteration
+    is the last that the held-out error improved at within that many trees.
+    Returns per-fold (fold, best_iteration, rmse)."""
     spark = df.sparkSession
     rows = []
     for i in range(k):
+        if rounds is not None:
+            m = make_gbt().setParams(labelCol=label, featuresCol=features).fit(df.filter(F.col(fold_col) != i))
+            errors = m.evaluateEachIteration(df.filter(F.col(fold_col) == i), "squared")
+            best = best_round(errors, rounds)
+            rows.append((i, best, float(errors[best - 1]) ** 0.5))
+            continue
         d = df.withColumn("_is_val", F.col(fold_col) == i)
         m = make_gbt().setParams(validationIndicatorCol="_is_val", validationTol=tol,
                                  labelCol=label, featuresCol=features).fit(d)

@@ -94,3 +94,14 @@ def test_early_stopping_iterations(spark, frame):
     per = models.early_stopping_cv(x, lambda: models.boosted_depth(20, step=0.3), "fold", 3)
     assert per.count() == 3
     assert all(1 <= r["best_iteration"] <= 20 for r in per.collect())
+
+
+def test_early_stopping_by_rounds(spark, frame):
+    from hearth.operators.folds import assign_folds
+    from hearth.plans.q_models import prep
+    assert models.best_round([3.0, 2.0, 2.5, 1.0, 1.2, 1.1, 0.5], 2) == 4
+    assert models.best_round([3.0, 2.0, 2.5, 2.4, 0.1], 2) == 2 and models.best_round([1.0], 5) == 1
+    d = assign_folds(frame, "id", 2, 42)
+    x = Pipeline(stages=prep(d, False)).fit(d).transform(d)
+    rows = models.early_stopping_cv(x, lambda: models.boosted_depth(6, step=0.3), "fold", 2, rounds=3).collect()
+    assert [r["fold"] for r in rows] == [0, 1] and all(1 <= r["best_iteration"] <= 6 and r["rmse"] > 0 for r in rows)
