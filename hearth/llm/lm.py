@@ -1,11 +1,15 @@
 """Language-model scores: a unigram base and a log-bilinear model trained by noise contrast.
 
-Both count tokens over all training documents. The log-bilinear model predicts a token's class
-from the two classes before it: frequent tokens and the end of a text are classes of their own,
-other tokens share a class by their ending. It is trained in numpy by noise-contrastive estimation
-on a bounded sample of training text; scores are normalised exactly, by one matrix product over
-all classes for every different context of a batch. A token of a shared class then takes its
-smoothed share of the class's count.
+Both learn from all training documents. The log-bilinear model predicts a token's class from the
+two classes before it: frequent tokens and the end of a text are classes of their own, other
+tokens share a class by their ending. Classes lie in groups; a group and then its member are
+predicted, so that scores are normalised exactly at the cost of twice the root of the classes. A
+token of a shared class then takes its smoothed share of the class's count.
+
+Training is noise-contrastive estimation in rounds, each over its own part of the training texts
+by a hash: tasks sum gradients over the tokens of the round's texts, the sums are added up in
+Spark, and their total, whose size is that of the model, makes one step on the driver. A pass over
+all rounds has used every training token once.
 
 Frequent tokens and class totals travel with the tasks (bounded by parameters). The counts of the
 rest, which grow with the corpus, stay in a table: tasks emit, for every token of a block of
@@ -15,6 +19,9 @@ partial sums per document. A hot token is either a class of its own or one row a
 
 from __future__ import annotations
 
+import math
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from hearth.llm.common import as_long, materialize, span_hashes, spans_of, text_slices
+from hearth.llm.common import as_long, materialize, shared_dir, span_hashes, spans_of, text_slices
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -125,119 +132,249 @@ def contexts(classes: np.ndarray, first: np.ndarray, start: int) -> np.ndarray:
 
 
 class LogBilinear:
-    """P(w | a, b) is proportional to exp((r_a * A + r_b * B) . q_w + bias_w)."""
+    """P(w | a, b) = P(group of w | a, b) P(w | its group, a, b), each proportional to exp(h . q + bias).
+
+    ``h = r_a * A + r_b * B`` for the classes a and b before w. About as many groups as there are
+    classes in a group, so that both parts are normalised exactly at the cost of twice the root.
+    """
+
+    NAMES = ("r", "q", "far", "near", "bias", "top", "top_bias")
+    #: noise tokens expected for every observed one
+    NOISE = 20.0
 
     def __init__(self, classes: int, unigram: np.ndarray, size: int = 24, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.classes = classes
-        self.noise = (unigram + 0.5) / (unigram.sum() + 0.5 * classes)
+        self.width = max(1, math.isqrt(max(0, classes - 1)) + 1)
+        self.groups = -(-classes // self.width)
+        noise = (unigram + 0.5) / (unigram.sum() + 0.5 * classes)
+        self.share = np.append(noise, 0.0)
+        self.top_noise = np.add.reduceat(noise, np.arange(0, classes, self.width))
+        self.noise = noise / self.top_noise[np.arange(classes) // self.width]
         self.r = rng.normal(0, 0.1, (classes + 1, size))
         self.q = rng.normal(0, 0.1, (classes, size))
+        self.top = rng.normal(0, 0.1, (self.groups, size))
         self.far, self.near = np.eye(size) * 0.5, np.eye(size) * 0.5
-        self.bias = np.log(self.noise)
+        self.bias, self.top_bias = np.log(self.noise), np.log(self.top_noise)
+        self.sizes = {n: np.full_like(getattr(self, n), 1e-4) for n in self.NAMES}
+
+    def _members(self, g: int) -> slice:
+        return slice(g * self.width, min((g + 1) * self.width, self.classes))
+
+    def zeros(self) -> list[np.ndarray]:
+        """Sums of gradients: by far and near class, of q and top with their biases, and the tokens."""
+        size = self.r.shape[1]
+        return [np.zeros(s) for s in ((self.classes + 1, size), (self.classes + 1, size), (self.classes, size + 1), (self.groups, size + 1), 1)]
 
-    def hidden(self, context: np.ndarray) -> np.ndarray:
-        a, b = np.divmod(context, self.classes + 1)
-        return self.r[a] @ self.far + self.r[b] @ self.near
+    def _rows(self) -> list[np.ndarray]:
+        """By far class, near class, class and group, with biases in the last column."""
+        wide = ((self.r @ self.far, 1.0), (self.r @ self.near, 0.0), (self.q, self.bias), (self.top, self.top_bias))
+        return [np.column_stack((x, np.broadcast_to(more, len(x)))).astype(np.float32) for x, more in wide]
 
-    def fit(self, context: np.ndarray, word: np.ndarray, count: np.ndarray, epochs: int = 4, batch: int = 4096, noises: int = 256, rate: float = 0.1, seed: int = 11) -> None:
-        """Noise-contrastive estimation: tell observed tokens from ``noises`` shared random ones.
+    def add(self, total: list[np.ndarray], context: np.ndarray, word: np.ndarray) -> None:
+        """Add the noise-contrastive gradients of observed tokens: tell them from the noise.
 
-        Scores are compared with the log of the expected noise; normalising constants are taken as
-        one while training. Steps are scaled by the running size of each weight's gradients.
+        The noise is not drawn: its expectation is taken over all groups and over all members of
+        the token's group. Normalising constants are taken as one while training.
         """
-        rng = np.random.default_rng(seed)
-        if not len(word):
+        order = _sorted(word, self.classes)
+        a, b = np.divmod(context[order], self.classes + 1)
+        w = word[order]
+        far, near, q, top = self._rows()
+        hid = far[a] + near[b]
+        down = _contrast(hid, top, self.NOISE * self.top_noise, w // self.width, total[3])
+        bounds = np.searchsorted(w, np.arange(self.groups + 1) * self.width)
+        for g in np.flatnonzero(np.diff(bounds)).tolist():
+            at, own = slice(bounds[g], bounds[g + 1]), self._members(g)
+            down[at] += _contrast(hid[at], q[own], self.NOISE * self.noise[own], w[at] - own.start, total[2][own])
+        for into, at in ((total[0], a), (total[1], b)):
+            order = _sorted(at, self.classes + 1)
+            _scatter(into, at[order], down[order, :-1])
+        total[4] += len(w)
+
+    def step(self, total: list[np.ndarray], rate: float) -> None:
+        """One step along gradient sums, scaled by the running size of each weight's gradients.
+
+        A row's gradient is a mean over its expected tokens, drawn to zero where they are few.
+        """
+        far, near, q, top, (m,) = total
+        if not m:
             return
+        own = m * self.share + 20
+        top_own = m * self.top_noise + 20
+        g = {"r": (far @ self.far.T + near @ self.near.T) / own[:, None], "far": self.r.T @ far / m, "near": self.r.T @ near / m,
+             "q": q[:, :-1] / own[:-1, None], "bias": q[:, -1] / own[:-1], "top": top[:, :-1] / top_own[:, None], "top_bias": top[:, -1] / top_own}
+        for x, step in g.items():
+            self.sizes[x] += step * step
+            getattr(self, x)[...] += rate * step / np.sqrt(self.sizes[x])
+
+    def fit(self, context: np.ndarray, word: np.ndarray, count: np.ndarray, epochs: int = 4, batch: int = 4096, rate: float = 0.1, seed: int = 11) -> None:
+        """The same training on arrays in one process, a step a batch."""
+        rng = np.random.default_rng(seed)
         order = np.repeat(np.arange(len(word)), count)
-        names = ("r", "q", "far", "near", "bias")
-        sizes = {n: np.full_like(getattr(self, n), 1e-6) for n in names}
-        k = 20.0
         for _ in range(epochs):
             rng.shuffle(order)
             for at in range(0, len(order), batch):
                 pick = order[at:at + batch]
-                a, b = np.divmod(context[pick], self.classes + 1)
-                w = word[pick]
-                n = rng.choice(self.classes, noises, p=self.noise)
-                ra, rb = self.r[a], self.r[b]
-                hid = ra @ self.far + rb @ self.near
-                data = _sigmoid(-((hid * self.q[w]).sum(1) + self.bias[w] - np.log(k * self.noise[w])))
-                other = -_sigmoid(hid @ self.q[n].T + self.bias[n] - np.log(k * self.noise[n])) * (k / noises)
-                m = len(pick)
-                g = {x: np.zeros_like(getattr(self, x)) for x in names}
-                seen = np.zeros((self.classes, m))
-                seen[w, np.arange(m)] = data
-                g["q"] += seen @ hid
-                np.add.at(g["q"], n, other.T @ hid)
-                g["bias"] += np.bincount(w, data, self.classes) + np.bincount(n, other.sum(0), self.classes)
-                down = data[:, None] * self.q[w] + other @ self.q[n]
-                g["far"] += ra.T @ down
-                g["near"] += rb.T @ down
-                into = np.zeros((self.classes + 1, m))
-                into[a, np.arange(m)] = 1
-                g["r"] += into @ (down @ self.far.T)
-                into[a, np.arange(m)] = 0
-                into[b, np.arange(m)] = 1
-                g["r"] += into @ (down @ self.near.T)
-                for x in names:
-                    step = g[x] / m
-                    sizes[x] += step * step
-                    getattr(self, x)[...] += rate * step / np.sqrt(sizes[x])
-
-    def log10(self, context: np.ndarray, word: np.ndarray, batch: int = 4096) -> np.ndarray:
-        """Normalised log10 probabilities, one matrix product a batch of different contexts."""
-        different, place = np.unique(context, return_inverse=True)
-        order = np.argsort(place, kind="stable")
-        bounds = np.searchsorted(place[order], np.arange(0, len(different) + batch, batch))
+                total = self.zeros()
+                self.add(total, context[pick], word[pick])
+                self.step(total, rate)
+
+    def log10(self, context: np.ndarray, word: np.ndarray, batch: int = 1 << 17) -> np.ndarray:
+        """Normalised log10 probabilities, one matrix product a group of a batch."""
         out = np.empty(len(word))
-        q, bias = self.q.T.astype(np.float32), self.bias.astype(np.float32)
-        for i, at in enumerate(range(0, len(different), batch)):
-            s = self.hidden(different[at:at + batch]).astype(np.float32) @ q + bias
-            top = s.max(axis=1, keepdims=True)
-            total = np.log(np.exp(s - top).sum(axis=1, dtype=np.float64)) + top[:, 0]
-            pick = order[bounds[i]:bounds[i + 1]]
-            row = place[pick] - at
-            out[pick] = s[row, word[pick]] - total[row]
+        far, near, q, top = self._rows()
+        order = _sorted(word, self.classes)
+        for at in range(0, len(word), batch):
+            pick = order[at:at + batch]
+            a, b = np.divmod(context[pick], self.classes + 1)
+            w = word[pick]
+            hid = far[a] + near[b]
+            logp = _log_share(hid, top, w // self.width)
+            bounds = np.searchsorted(w, np.arange(self.groups + 1) * self.width)
+            for g in np.flatnonzero(np.diff(bounds)).tolist():
+                mine, own = slice(bounds[g], bounds[g + 1]), self._members(g)
+                logp[mine] += _log_share(hid[mine], q[own], w[mine] - own.start)
+            out[pick] = logp
         return out / np.log(10)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+#: rows of scores that stay in a core's cache
+_CACHED = 4096
+
+
+def _contrast(hid: np.ndarray, q: np.ndarray, noise: np.ndarray, target: np.ndarray, into: np.ndarray) -> np.ndarray:
+    """Add to the gradient of ``q``, given the noise expected of its rows; the gradient of ``hid``."""
+    out = np.empty_like(hid)
+    even = (1 / noise).astype(np.float32)
+    noise = noise.astype(np.float32)
+    minus = -q.T
+    for at in range(0, len(hid), _CACHED):
+        h, t = hid[at:at + _CACHED], target[at:at + _CACHED]
+        row = np.arange(len(t))
+        # the noise of every class by the odds that the model takes it for observed
+        x = h @ minus
+        with np.errstate(over="ignore"):
+            np.exp(x, out=x)
+        x += even
+        np.reciprocal(x, out=x)
+        x[row, t] -= 1 - x[row, t] / noise[t]
+        into -= x.T @ h
+        np.negative(x @ q, out=out[at:at + _CACHED])
+    return out
+
 
+def _log_share(hid: np.ndarray, q: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log of the targets' shares in the sums of exponentials."""
+    out = np.empty(len(hid))
+    q = np.ascontiguousarray(q.T)
+    for at in range(0, len(hid), _CACHED):
+        t = target[at:at + _CACHED]
+        s = hid[at:at + _CACHED] @ q
+        s -= s.max(axis=1, keepdims=True)
+        mine = s[np.arange(len(t)), t].astype(np.float64)
+        np.exp(s, out=s)
+        out[at:at + _CACHED] = mine - np.log(s.sum(axis=1, dtype=np.float64))
+    return out
 
-def _sample_counts(docs: DataFrame, vocabulary) -> DataFrame:
-    """``(context, word, n)`` over the classes of the texts ``t``."""
+
+def _sorted(at: np.ndarray, n: int) -> np.ndarray:
+    """The stable order of places below ``n``; by radix where two bytes hold them."""
+    return np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
+
+
+def _scatter(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Add rows to their places, which are in order."""
+    if len(at):
+        start = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        into[at[start]] += np.add.reduceat(rows, start, axis=0)
+
+
+#: tokens whose gradients are summed at once, and parts in which sums of gradients are added up
+BATCH_TOKENS, PARTS = 1 << 17, 16
+
+
+def _class_rows(docs: DataFrame, vocabulary, rounds: int) -> DataFrame:
+    """``(classes, round)``: the classes of every text ``t``, written a folder a round."""
     def work(batches):
         v = vocabulary.value
-        for _, _, data, offsets in _runs(batches, 0):
+        for (order,), n, data, offsets in _runs(batches, 1):
             h, ending, first = _tokens(data, offsets)
-            classes, _ = v.classify(h, ending)
-            pair, n = np.unique(contexts(classes, first, v.classes) * v.classes + classes, return_counts=True)
-            yield pa.record_batch([pa.array(pair), pa.array(n.astype(np.int64))], names=["pair", "n"])
+            classes = v.classify(h, ending)[0].astype("<i4" if v.classes > 1 << 16 else "<u2")
+            held = [classes[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+            yield pa.record_batch([pa.array(held, pa.binary()), order], names=["classes", "round"])
+
+    spark = docs.sparkSession
+    path = f"{shared_dir(spark)}/llm-classes-{uuid.uuid4().hex}"
+    placed = docs.select(F.pmod("order", F.lit(rounds)).cast("int").alias("round"), "t")
+    # a task writes a file a round
+    placed = placed.coalesce(2 * spark.sparkContext.defaultParallelism).mapInArrow(work, "classes binary, round int")
+    placed.write.partitionBy("round").parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
 
-    return docs.select("t").mapInArrow(work, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
+def _gradient_total(rows: DataFrame, shared) -> list[np.ndarray] | None:
+    """The sums of gradients over the texts' classes, null without texts."""
+    def work(batches):
+        model = shared.value
+        total, held, size = model.zeros(), [], 0
+
+        def summed():
+            first = np.concatenate(([0], np.cumsum([len(x) for x in held])))
+            classes = np.concatenate(held).astype(np.int64)
+            pair = contexts(classes, first, model.classes)
+            for at in range(0, len(pair), BATCH_TOKENS):
+                model.add(total, pair[at:at + BATCH_TOKENS], classes[at:at + BATCH_TOKENS])
 
-def train(training: DataFrame, frequent: int, sample_tokens: int) -> tuple[DataFrame, Vocabulary, LogBilinear]:
+        for batch in batches:
+            for x in batch.column(0):
+                held.append(np.frombuffer(x.as_buffer(), "<i4" if model.classes > 1 << 16 else "<u2"))
+                size += len(held[-1])
+                if size >= BATCH_TOKENS:
+                    summed()
+                    held, size = [], 0
+        if held:
+            summed()
+        if total[-1][0]:
+            parts = np.array_split(np.concatenate([x.ravel() for x in total]), PARTS)
+            yield pa.record_batch([pa.array(np.arange(PARTS, dtype=np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())], names=["part", "sums"])
+
+    def added(table):
+        sums = sum(np.frombuffer(x.as_buffer()) for x in table.column("sums"))
+        return pa.table([table.column("part").slice(0, 1), pa.array([sums.tobytes()], pa.binary())], names=["part", "sums"])
+
+    rows = rows.select("classes").coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism)
+    found = rows.mapInArrow(work, "part int, sums binary").groupBy("part").applyInArrow(added, "part int, sums binary").collect()
+    if not found:
+        return None
+    flat = np.concatenate([np.frombuffer(r["sums"]) for r in sorted(found, key=lambda r: r["part"])])
+    empty = shared.value.zeros()
+    return [x.reshape(z.shape) for x, z in zip(np.split(flat, np.cumsum([z.size for z in empty])[:-1]), empty)]
+
+
+def train(training: DataFrame, frequent: int, sample_tokens: int | None, rounds: int = 16, rate: float = 0.1) -> tuple[DataFrame, Vocabulary, LogBilinear]:
     """Counts of all training texts ``t`` (with ``order``, a hash of the row), and the model."""
     spark = training.sparkSession
     counts = materialize(token_counts(training), "counts")
     # the end of a text always is a class of its own
     top = counts.filter(F.col("h") == END).unionByName(counts.filter(F.col("h") != END).orderBy(F.desc("n"), "h").limit(frequent))
-    rows = top.select("h", "n").collect()
-    known = [r["h"] for r in rows]
-    totals = counts.filter(~F.col("h").isin(known)).groupBy("ending").agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).collect()
+    top = materialize(top.select("h", "n"), "frequent")
+    rows = top.collect()
+    totals = counts.join(F.broadcast(top.select("h")), "h", "left_anti").groupBy("ending").agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).collect()
     vocabulary = Vocabulary(rows, totals)
     shared = spark.sparkContext.broadcast(vocabulary)
-    share = min(1.0, sample_tokens / max(1, vocabulary.tokens))
-    picked = training.filter((F.pmod("order", F.lit(1 << 20)) < int(share * (1 << 20)) + 1))
-    pairs = _sample_counts(picked, shared).collect()
-    pairs.sort(key=lambda r: r["pair"])
-    pair, n = np.array([r["pair"] for r in pairs], np.int64), np.array([r["n"] for r in pairs], np.int64)
-    unigram = np.concatenate([vocabulary.count, vocabulary.class_tokens])
-    model = LogBilinear(vocabulary.classes, unigram)
-    model.fit(pair // vocabulary.classes, pair % vocabulary.classes, n)
+    if sample_tokens is not None:
+        share = min(1.0, sample_tokens / max(1, vocabulary.tokens))
+        training = training.filter(F.pmod("order", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    # the round does not follow from the bits that pick a sample
+    classes = _class_rows(training.withColumn("order", F.xxhash64("order")), shared, rounds)
+    model = LogBilinear(vocabulary.classes, np.concatenate([vocabulary.count, vocabulary.class_tokens]))
+    for i in range(rounds):
+        now = spark.sparkContext.broadcast(model)
+        total = _gradient_total(classes.filter(F.col("round") == i), now)
+        now.unpersist()
+        if total:
+            model.step(total, rate)
     return counts, vocabulary, model
 
 
@@ -340,14 +477,14 @@ def _keys(block: np.ndarray, place: np.ndarray):
     return (names[key // 65_536], key % 65_536), inverse
 
 
-def score(docs: DataFrame, training: DataFrame, frequent: int = 255, sample_tokens: int = 600_000,
+def score(docs: DataFrame, training: DataFrame, frequent: int = 4095, sample_tokens: int | None = None,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
 
     Tokens are the words between space and U+0009..U+000D, A-Z lower-cased, and one end a text.
-    Counts cover all rows of ``training`` (same columns); ``frequent`` tokens are classes of their
-    own and about ``sample_tokens`` tokens of whole training texts, picked by a hash, train the
-    neural part. Scores are log10 probabilities of the whole text. Null, empty and blank texts are
+    Counts cover all rows of ``training`` (same columns) and so does the neural part, unless
+    ``sample_tokens`` asks for about so many tokens of whole texts, picked by a hash; ``frequent``
+    tokens are classes of their own. Scores are log10 probabilities of the whole text. Null, empty and blank texts are
     their end alone; without training rows every token is unknown and the classes are even;
     repeated rows are scored one by one and count as often. Other columns are not used.
     """

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -78,3 +79,31 @@ def test_a_token_of_many_repeats(spark):
     scale = n + 0.5 * (v + 1)
     assert r["base_score"] == pytest.approx(70_001 * math.log10(0.5 / scale) + math.log10(1.5 / scale), rel=1e-9)
     assert train.select(F.count("*")).first()[0] == 2
+
+
+def test_words_beyond_the_commonest_have_contexts(spark):
+    # a rule between words of one ending, rarer than 300 others: which one follows, not just its ending
+    rng = random.Random(2)
+    common, rare = [f"c{i}" for i in range(300)], [f"{i}rr" for i in range(40)]
+
+    def text(off):
+        i = rng.randrange(40)
+        return " ".join([*rng.choices(common, k=24), rare[i], rare[(i * 7 + off) % 40]])
+
+    train = spark.createDataFrame([(i, text(3)) for i in range(6000)], "doc_id long, text string").repartition(4)
+    ask = spark.createDataFrame([(i, text(3 + i % 2)) for i in range(400)], "doc_id long, text string")
+    gain = [0.0, 0.0]
+    for r in score(ask, train).collect():
+        gain[r["id"] % 2] += (r["score"] - r["base_score"]) / 200
+    assert gain[0] > gain[1] + 0.5
+
+
+def test_gradients_add_up():
+    rng = np.random.default_rng(4)
+    model = LogBilinear(30, rng.integers(1, 50, 30).astype(float), size=8)
+    context, word = rng.integers(0, 31**2, 500), rng.integers(0, 30, 500)
+    whole, parts = model.zeros(), model.zeros()
+    model.add(whole, context, word)
+    for at in range(0, 500, 70):
+        model.add(parts, context[at:at + 70], word[at:at + 70])
+    assert all(np.allclose(a, b, rtol=1e-3, atol=1e-3) for a, b in zip(whole, parts)) and whole[-1][0] == 500
