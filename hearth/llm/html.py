@@ -2,7 +2,8 @@
 
 A page is cut into blocks at block-level tags. The first pass decides a block from where it stands
 (menus, headers, footers, sidebars, forms, adverts, notices and comments are out), its link
-density, its length and its density of stop words. Short blocks and others in doubt stay open. In
+density, its length and its density of stop words. Text that is not in Latin letters, or of a page with next to no known stop
+words, is decided by length and link density alone. Short blocks and others in doubt stay open. In
 the second pass an open block takes the label of the nearest decided block of its own region (the
 earlier one at equal distance); a region is the innermost article or main element, or else the
 rest of the page. A page with text in an article or main element has its text there only.
@@ -43,6 +44,11 @@ de la le et les des en un du une que est pour qui dans par au sur pas plus ne se
 el los y del las por con para su al lo como más pero sus entre cuando muy sin sobre ser este son
 """.split())
 SHORT, LONG = 70, 200
+#: share of stop words below which a page is taken to be in none of these languages
+FEW = 0.08
+_LATIN = re.compile(r"[A-Za-z\u00aa\u00ba\u00c0-\u024f\u1e00-\u1eff]")
+#: Han, kana, Hangul and full-width letters
+_WIDE = re.compile(r"[\u2e80-\u9fff\ua960-\ua97f\uac00-\ud7ff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]")
 
 
 class _Block:
@@ -129,19 +135,36 @@ def blocks_of(html: str) -> list[_Block]:
     return out
 
 
-def _first_pass(b: _Block) -> bool | None:
+def _length(text: str) -> int:
+    """Characters; those of scripts that write a syllable or a word in one count twice."""
+    return len(text) + len(_WIDE.findall(text))
+
+
+def _density(text: str) -> float:
+    words = _LETTERS.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def _unknown(blocks: list[_Block]) -> bool:
+    """Whether the page's text has next to no stop words of the known languages."""
+    text = [b.text for b in blocks if not b.out and b.linked <= 0.5 * len(b.text) and _length(b.text) >= SHORT]
+    return _density(" ".join(text)) < FEW
+
+
+def _first_pass(b: _Block, unknown: bool) -> bool | None:
     """True for main text, False for the rest, None while open."""
     if b.out:
         return False
     size = len(b.text)
     if b.linked > 0.5 * size:
         return None if b.region else False
-    if size < SHORT:
+    if _length(b.text) < SHORT:
         return None
-    words = _LETTERS.findall(b.text.lower())
-    dense = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    dense = _density(b.text)
     if dense >= 0.2 or dense >= 0.1 and size >= LONG:
         return True
+    if unknown or 2 * len(_LATIN.findall(b.text)) < len("".join(_LETTERS.findall(b.text))):
+        return True if b.linked <= 0.3 * size else None
     return None if b.region else False
 
 
@@ -149,7 +172,8 @@ def main_text(html: str) -> str:
     """The article's blocks joined by newlines; empty if there is none."""
     blocks = blocks_of(html)
     inside = any(b.region and not b.out for b in blocks)
-    labels = [False if inside and not b.region else _first_pass(b) for b in blocks]
+    unknown = _unknown(blocks)
+    labels = [False if inside and not b.region else _first_pass(b, unknown) for b in blocks]
     n = len(blocks)
     # nearest decided neighbours in the block's region, from the left and from the right
     left: list[tuple[int, bool] | None] = [None] * n

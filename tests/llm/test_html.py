@@ -44,3 +44,19 @@ def test_nulls_and_no_rows(spark):
     df = spark.createDataFrame([(1, None, None), (None, "u", ""), (1, None, None)], "page_id long, url string, html string")
     assert sorted((tuple(r) for r in extract(df).collect()), key=str) == sorted([(1, None, ""), (None, "u", ""), (1, None, "")], key=str)
     assert extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("line", [
+    "Вчера в городе открылась новая библиотека, в которой собраны книги на многих языках, и первые читатели уже пришли за ними.",
+    "昨天市里新开了一座图书馆，馆内收藏了多种语言的书籍，第一批读者已经来到这里借阅，工作人员说以后还会增加更多的座位。",
+    "昨日、市内に新しい図書館が開館し、さまざまな言語の本が集められ、最初の利用者がすでに本を借りに訪れているという。",
+    "افتتحت أمس في المدينة مكتبة جديدة تضم كتبا بلغات كثيرة وقد جاء إليها القراء الأوائل لاستعارة الكتب منذ الصباح الباكر",
+    "Wczoraj w mieście otwarto nową bibliotekę, gdzie zebrano książki w wielu językach, a pierwsi czytelnicy już przyszli po nie rano.",
+    "Dün şehirde birçok dilde kitapların toplandığı yeni bir kütüphane açıldı ve ilk okuyucular sabah erkenden kitap almaya geldi.",
+])
+def test_text_of_other_languages_in_plain_blocks(line):
+    links = "<div><a href=1>" + line[:50] + "</a> <a href=2>" + line[50:] + "</a></div>"
+    assert main_text(f"<body>{links}<div><p>{line}</p><h2>T</h2><p>{line}</p></div><footer><p>{line}</p></footer></body>") == f"{line}\nT\n{line}"
+    if not re.search("[A-Za-z]", line):
+        # beside a text in a known language too
+        assert main_text(f"<body><p>{LONG}</p><p>{line}</p></body>") == f"{LONG}\n{line}"
