@@ -29,12 +29,17 @@ _REGION = {"article", "main"}
 _HOLDERS = _OUTSIDE | _REGION | {"div", "section", "ul", "ol", "dl", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "li", "details", "figure", "center", "body"}
 _BLOCKS = _HOLDERS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "dt", "dd", "hr", "address", "figcaption", "summary", "caption", "html", "legend"}
 #: words of class, id and role that mark a part as not being the article
-_MARKS = re.compile(
-    r"(?<![a-z])(?:ads?|adverts?|advertis\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-bar|widget|menu|nav|navbar|navigation|breadcrumbs?|header|masthead|footer"
-    r"|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommended"
-    r"|comments?|comment-list|replies|disqus|discussion|respond|toolbar|pagination|pager|copyright|complementary|contentinfo)(?![a-z])", re.I)
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_STRONG = frozenset("""ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors promo promos promotion cookie cookies consent gdpr newsletter
+subscribe signup login share sharing sidebar comment comments replies disqus related recommended breadcrumb breadcrumbs pagination pager""".split())
+#: those that parts of an article bear too: in an article or main their blocks are decided like others
+_WEAK = frozenset("""banner widget widgets menu nav navbar navigation header masthead footer notice notification notifications alert popup modal overlay search social respond discussion
+toolbar copyright complementary contentinfo""".split())
+#: words beside a mark that leave it one; any other word makes the whole no mark ("entry-header", "with-sidebar")
+_BESIDE = frozenset("""site page main global top bottom left right side bar list item items box block container wrapper wrap inner outer area section button buttons link links post posts
+form slot unit primary secondary mobile desktop sticky fixed row col content text icon icons media body""".split())
+_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_WRAPPED = re.compile(r"<(?:article|main)[\s>]", re.I)
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: common words of English, German, French and Spanish
 STOP_WORDS = frozenset("""
@@ -51,26 +56,53 @@ _LATIN = re.compile(r"[A-Za-z\u00aa\u00ba\u00c0-\u024f\u1e00-\u1eff]")
 _WIDE = re.compile(r"[\u2e80-\u9fff\ua960-\ua97f\uac00-\ud7ff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff]")
 
 
+#: how a mark puts a part out: in an article or main not at all, or everywhere; or it is not shown
+_NONE, _DOUBT, _OUT, _NEVER = range(4)
+
+
 class _Block:
-    __slots__ = ("text", "linked", "out", "region")
+    __slots__ = ("text", "linked", "out", "region", "doubt")
+
+    def __init__(self, text, linked, mark, region):
+        self.text, self.linked, self.region = text, linked, region
+        self.out = mark >= _OUT or mark == _DOUBT and not region
+        self.doubt = mark == _DOUBT
+
 
-    def __init__(self, text, linked, out, region):
-        self.text, self.linked, self.out, self.region = text, linked, out, region
+def _mark_of(name: str) -> int:
+    """The mark of a class, an id or a label, whose words all have to be marks or go with them."""
+    words = [w for w in re.split(r"[\s_-]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if w]
+    if not all(w in _STRONG or w in _WEAK or w in _BESIDE for w in words):
+        return _NONE
+    return _OUT if any(w in _STRONG for w in words) else _DOUBT if any(w in _WEAK for w in words) else _NONE
 
 
-def _marked(attributes: str) -> bool:
+def _marked(tag: str, attributes: str) -> int:
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return False
-    return any(_MARKS.search(m) for m in _ATTRIBUTE.findall(attributes)) or bool(_HIDDEN.search(attributes))
+        return _NONE
+    if _HIDDEN.search(attributes):
+        return _NEVER
+    mark = _NONE
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), value.strip("\"'")
+        # the id of a heading names its section
+        if name == "id" and len(tag) == 2 and tag[0] == "h":
+            continue
+        for x in value.split() if name in ("class", "role") else [value]:
+            mark = max(mark, _mark_of(x))
+    return mark
 
 
-def blocks_of(html: str) -> list[_Block]:
-    """Blocks in page order, with white space made single spaces and references decoded."""
+def blocks_of(html: str, lift: int = _DOUBT) -> list[_Block]:
+    """Blocks in page order, with white space made single spaces and references decoded.
+
+    Marks up to ``lift`` do not hold for an article or main inside the marked part.
+    """
     out: list[_Block] = []
-    # open holders: (tag, everything in it is out, its region)
-    stack: list[tuple[str, bool, int]] = [("", False, 0)]
+    # open holders: (tag, the strongest mark on it or around it, its region)
+    stack: list[tuple[str, int, int]] = [("", _NONE, 0)]
     parts: list[str] = []
-    state = {"linked": 0, "out": False, "breaks": 0}
+    state = {"linked": 0, "mark": _NONE, "breaks": 0}
     links = regions = 0
 
     def close():
@@ -78,9 +110,9 @@ def blocks_of(html: str) -> list[_Block]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                out.append(_Block(text, state["linked"], stack[-1][1] or state["out"], stack[-1][2]))
+                out.append(_Block(text, state["linked"], max(stack[-1][1], state["mark"]), stack[-1][2]))
             parts = []
-        state["linked"], state["breaks"], state["out"] = 0, 0, False
+        state["linked"], state["breaks"], state["mark"] = 0, 0, _NONE
 
     for m in _TOKEN.finditer(html):
         text = m.group(5)
@@ -111,7 +143,7 @@ def blocks_of(html: str) -> list[_Block]:
         close()
         links = 0
         if tag not in _HOLDERS:
-            state["out"] = not ending and _marked(attributes)
+            state["mark"] = _NONE if ending else _marked(tag, attributes)
             continue
         if ending:
             for i in range(len(stack) - 1, 0, -1):
@@ -123,14 +155,19 @@ def blocks_of(html: str) -> list[_Block]:
             continue
         if tag in ("li", "tr", "td", "th") and stack[-1][0] == tag:
             stack.pop()
-        _, outside, region = stack[-1]
+        _, around, region = stack[-1]
         # a heading group inside an article belongs to the article
-        foreign = tag in _OUTSIDE and not (tag == "header" and region)
-        marked = tag not in ("body", "main") and _marked(attributes) and not (tag == "article" and not re.search("comment", attributes, re.I))
-        if tag in _REGION and not outside:
+        if tag in _OUTSIDE and not (tag == "header" and region):
+            around = _NEVER
+        mark = _NONE if tag in ("body", "main") else _marked(tag, attributes)
+        if tag == "article" and mark < _NEVER and not re.search("comment", attributes, re.I):
+            mark = _NONE
+        if tag in _REGION and around <= lift:
+            around = _NONE
+        if tag in _REGION and around < _OUT:
             regions += 1
             region = regions
-        stack.append((tag, outside or foreign or marked, region))
+        stack.append((tag, max(around, mark), region))
     close()
     return out
 
@@ -157,7 +194,7 @@ def _first_pass(b: _Block, unknown: bool) -> bool | None:
         return False
     size = len(b.text)
     if b.linked > 0.5 * size:
-        return None if b.region else False
+        return None if b.region and not b.doubt else False
     if _length(b.text) < SHORT:
         return None
     dense = _density(b.text)
@@ -172,6 +209,11 @@ def main_text(html: str) -> str:
     """The article's blocks joined by newlines; empty if there is none."""
     blocks = blocks_of(html)
     inside = any(b.region and not b.out for b in blocks)
+    if not inside and _WRAPPED.search(html):
+        # the only article may stand in a part with a mark
+        lifted = blocks_of(html, _OUT)
+        if any(b.region and not b.out for b in lifted):
+            blocks, inside = lifted, True
     unknown = _unknown(blocks)
     labels = [False if inside and not b.region else _first_pass(b, unknown) for b in blocks]
     n = len(blocks)

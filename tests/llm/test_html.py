@@ -60,3 +60,17 @@ def test_text_of_other_languages_in_plain_blocks(line):
     if not re.search("[A-Za-z]", line):
         # beside a text in a known language too
         assert main_text(f"<body><p>{LONG}</p><p>{line}</p></body>") == f"{LONG}\n{line}"
+
+
+@pytest.mark.parametrize("page,want", [
+    (f'<div class="layout with-sidebar"><article><h1>T</h1><p>{LONG}</p></article></div>', f"T\n{LONG}"),
+    (f'<div class="header"><article><p>{LONG}</p></article></div>', LONG),
+    (f'<div class="sidebar"><main><p>{LONG}</p></main></div>', LONG),
+    (f'<article><div class="entry-header"><h1>T</h1></div><p>{LONG}</p><section id="discussion"><h2 id="search">Search</h2><p>{LONG}</p></section></article>', f"T\n{LONG}\nSearch\n{LONG}"),
+    # what marks are for
+    (f'<div class="site-footer"><p>{LONG}</p></div><div id="cookieNotice"><p>{LONG}</p></div><div><p>{LONG}</p></div>', LONG),
+    (f'<article><p>{LONG}</p></article><div class="comment-list"><article><p>{LONG} Mine.</p></article></div>', LONG),
+    (f'<article><p>{LONG}</p><div class="menu"><a href=1>one of the links</a> <a href=2>two of the links</a></div></article>', LONG),
+])
+def test_marks_beside_and_around_articles(page, want):
+    assert main_text(page) == want
