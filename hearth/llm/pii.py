@@ -3,9 +3,10 @@
 Base rules find emails, IPv4 addresses, card and phone numbers. Their instances seed the method:
 every identifier-shaped string is an instance (base ones known, others not) and the words right
 before it are lexical patterns, which gives a graph of patterns and instances. Round by round a
-pattern is scored by the distinct instances it introduces: those of its main kind against those of
-other kinds and, with half weight, the unknown ones. High-confidence patterns with enough support
-make the unknown instances they introduce known, which feeds the next round, until none is added.
+pattern is scored by the distinct instances it introduces: known ones of its main kind against known
+ones of other kinds and unknown ones whose shape the kind never has. Unknown ones that fit the kind
+say nothing about it, however many. High-confidence patterns with enough support make these known,
+which feeds the next round, until none is added.
 
 Only the words before a string and the string itself leave the text; the graph is aggregated to
 distinct edges before it is joined, so a string or pattern that occurs in a third of all
@@ -30,12 +31,16 @@ BASE = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: identifier-shaped strings that no base rule may have taken: numbers, and addresses written out
+_BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_DOT = r"(?: ?[\[({](?:\.|dot|DOT)[\])}] ?| \. )"
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: identifier-shaped strings that no base rule may have taken: numbers, addresses written out, and
+#: hosts: four bytes with dots in brackets or between spaces, and IPv6
 SHAPES = {
     "number": r"(?<![A-Za-z0-9.+(])[(]?[0-9](?:[ ().:/-]{0,2}[0-9]){6,24}+(?![A-Za-z0-9])",
     "address": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[({](?:at|AT)[\])}] ?[A-Za-z0-9-]{1,63}(?:(?: ?[\[({](?:dot|DOT)[\])}] ?|\.)[A-Za-z0-9-]{1,63})+",
+    "host": rf"(?<![A-Za-z0-9.:-])(?:{_BYTE}(?:{_DOT}{_BYTE}){{3}}|(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}})(?![A-Za-z0-9:-])",
 }
-_BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _CONTEXT = 80
 
 
@@ -71,7 +76,8 @@ def search(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"), text.alias("t"))
-    has = {"email": F.contains("t", F.lit("@")), "phone": F.contains("t", F.lit("+")), "address": F.col("t").rlike(r"(?:at|AT)[\])}]")}
+    has = {"email": F.contains("t", F.lit("@")), "phone": F.contains("t", F.lit("+")), "address": F.col("t").rlike(r"(?:at|AT)[\])}]"),
+           "host": F.col("t").rlike(r"[0-9] ?[\[({](?:\.|dot|DOT)[\])}]|[0-9] \. [0-9]|[0-9A-Fa-f]:(?::|[0-9A-Fa-f]{1,4}:)[0-9A-Fa-f]")}
     digit = F.col("t").rlike("[0-9]")
     rules = BASE | SHAPES
     none = F.array().cast("array<string>")
@@ -109,7 +115,7 @@ def _instances(hits: DataFrame) -> DataFrame:
     free = (F.coalesce("earlier", F.lit(0)) <= F.col("start")) & (F.col("later").isNull() | (F.col("later") >= F.col("end")))
     own = own.filter(F.col("base") | free)
     shape = F.when(F.col("base"), F.lit(None)).otherwise(F.col("kind"))
-    name = F.when(F.col("value").rlike("@"), F.lower("value")).otherwise(F.regexp_replace(F.lower("value"), r"[ ().:/+-]+", ""))
+    name = F.when(F.col("value").rlike("@"), F.lower("value")).when(F.col("kind") == "host", F.regexp_replace(F.lower("value"), " ", "")).otherwise(F.regexp_replace(F.lower("value"), r"[ ().:/+-]+", ""))
     return own.select("_row", F.when(F.col("base"), F.col("kind")).alias("kind"), shape.alias("shape"), "start", "end", "value", "before", name.alias("name"))
 
 
@@ -124,7 +130,7 @@ def _patterns() -> Column:
 
 def _fits(kind: Column, shape: Column, name: Column) -> Column:
     n = F.length(_digits(name))
-    return ((shape == "address") & (kind == "email")) | ((shape == "number") & (
+    return ((shape == "address") & (kind == "email")) | ((shape == "host") & (kind == "ip")) | ((shape == "number") & (
         ((kind == "phone") & (n >= 7) & (n <= 15)) | ((kind == "card") & (n >= 12) & (n <= 19))))
 
 
@@ -139,11 +145,13 @@ def bootstrap(found: DataFrame, support: int = 8, confidence: float = 0.9, round
     for _ in range(rounds):
         seen = edges if learned is None else edges.join(learned, ["name", "shape"], "left").withColumn("kind", F.coalesce("kind", "learned"))
         by_kind = seen.groupBy("pattern").agg(
-            *[F.sum(F.when(F.col("kind") == k, 1).otherwise(0)).alias(k) for k in KINDS], F.sum(F.when(F.col("kind").isNull(), 1).otherwise(0)).alias("unknown"))
-        best = F.greatest(*[F.struct(F.col(k).alias("n"), F.lit(k).alias("kind")) for k in KINDS])
+            *[F.sum(F.when(F.col("kind") == k, 1).otherwise(0)).alias(k) for k in KINDS],
+            *[F.sum(F.when(F.col("kind").isNull() & _fits(F.lit(k), F.col("shape"), F.col("name")), 1).otherwise(0)).alias(f"fit_{k}") for k in KINDS],
+            F.sum(F.when(F.col("kind").isNull(), 1).otherwise(0)).alias("unknown"))
+        best = F.greatest(*[F.struct(F.col(k).alias("n"), F.lit(k).alias("kind"), F.col(f"fit_{k}").alias("fit")) for k in KINDS])
         others = sum((F.col(k) for k in KINDS), F.lit(0)) - F.col("best.n")
-        scored = by_kind.withColumn("best", best).withColumn("score", F.col("best.n") / (F.col("best.n") + others + 0.5 * F.col("unknown")))
-        good = scored.filter((F.col("best.n") >= support) & (F.col("score") >= confidence) & (F.col("unknown") > 0)).select("pattern", F.col("best.kind").alias("learned"), "score")
+        scored = by_kind.withColumn("best", best).withColumn("score", F.col("best.n") / (F.col("best.n") + others + F.col("unknown") - F.col("best.fit")))
+        good = scored.filter((F.col("best.n") >= support) & (F.col("score") >= confidence) & (F.col("best.fit") > 0)).select("pattern", F.col("best.kind").alias("learned"), "score")
         new = edges.filter("kind is null").join(good, "pattern").filter(_fits(F.col("learned"), F.col("shape"), F.col("name")))
         # an instance is accepted with the kind whose patterns together leave the least doubt
         doubt = new.groupBy("name", "shape", "learned").agg(F.sum(F.log(1.0001 - F.col("score"))).alias("doubt"))

@@ -77,3 +77,14 @@ def test_repeated_rows_keep_their_places(spark):
     rows = [(1, text), (1, text), (1, text), (None, text), (None, text), (2, "no " + text)]
     got = [(r["id"], tuple(map(tuple, r["base"]))) for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert sorted(got, key=str) == sorted(((i, brute(t)) for i, t in rows), key=str)
+
+
+def test_unseen_identifiers_may_outnumber_the_seeds(spark):
+    lines = [f"tel. +1 212 555 {i:04d} thanks" for i in range(20)] + [f"host addr 10.0.{i}.7 up" for i in range(20)]
+    unseen = [(f"tel. 030 555 {i:04d} ok", "phone", 5, 17) for i in range(100)] + [(f"host addr 10[.]1[.]{i}[.]9 up", "ip", 10, 23 + len(str(i))) for i in range(100)]
+    unseen += [("host addr 2001:db8::7 up", "ip", 10, 21)]
+    # as many known of one kind, but most of what follows cannot be of it
+    lines += [f"ref +1 313 555 {i:04d}" for i in range(20)] + [f"ref {i:06d}123456789012345" for i in range(40)] + ["ref 030 777 1234"]
+    rows = {r["id"]: r for r in personal_data(spark.createDataFrame(list(enumerate([*lines, *[u[0] for u in unseen]])), "doc_id long, text string")).collect()}
+    assert [[tuple(s)[0::2] + (s["end"],) for s in rows[len(lines) + i]["spans"]] for i in range(len(unseen))] == [[(a, k, z)] for _, k, a, z in unseen]
+    assert all(rows[i]["spans"] == rows[i]["base"] for i in range(len(lines)))
