@@ -15,6 +15,8 @@ documents counts once per edge.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -134,15 +136,18 @@ def _fits(kind: Column, shape: Column, name: Column) -> Column:
         ((kind == "phone") & (n >= 7) & (n <= 15)) | ((kind == "card") & (n >= 12) & (n <= 19))))
 
 
-def bootstrap(found: DataFrame, support: int = 8, confidence: float = 0.9, rounds: int = 5) -> DataFrame:
-    """``(name, learned)``: unknown instances and the kind that confident patterns give them."""
+def bootstrap(found: DataFrame, support: int = 8, confidence: float = 0.9, rounds: int | None = None) -> DataFrame:
+    """``(name, shape, learned)``: unknown instances and the kind that confident patterns give them.
+
+    Rounds go on until one adds none (instances are only added, so that comes), or for ``rounds``.
+    """
     words, patterns = _patterns()
     edges = materialize(
         found.select("name", "shape", "kind", words.alias("w")).select("name", "shape", "kind", F.explode(patterns).alias("pattern"))
         .groupBy("pattern", "name", "shape").agg(F.max("kind").alias("kind")), "edges")
     learned = None
     last = 0
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         seen = edges if learned is None else edges.join(learned, ["name", "shape"], "left").withColumn("kind", F.coalesce("kind", "learned"))
         by_kind = seen.groupBy("pattern").agg(
             *[F.sum(F.when(F.col("kind") == k, 1).otherwise(0)).alias(k) for k in KINDS],
@@ -166,7 +171,7 @@ def bootstrap(found: DataFrame, support: int = 8, confidence: float = 0.9, round
     return learned
 
 
-def personal_data(docs: DataFrame, support: int = 8, confidence: float = 0.9, rounds: int = 5,
+def personal_data(docs: DataFrame, support: int = 8, confidence: float = 0.9, rounds: int | None = None,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, key, base, spans`` for every row of ``docs``.
 

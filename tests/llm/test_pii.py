@@ -88,3 +88,11 @@ def test_unseen_identifiers_may_outnumber_the_seeds(spark):
     rows = {r["id"]: r for r in personal_data(spark.createDataFrame(list(enumerate([*lines, *[u[0] for u in unseen]])), "doc_id long, text string")).collect()}
     assert [[tuple(s)[0::2] + (s["end"],) for s in rows[len(lines) + i]["spans"]] for i in range(len(unseen))] == [[(a, k, z)] for _, k, a, z in unseen]
     assert all(rows[i]["spans"] == rows[i]["base"] for i in range(len(lines)))
+
+
+def test_chains_of_patterns_are_followed_to_their_end(spark):
+    lines = [f"w0 +1 212 555 {i:04d} x" for i in range(8)]
+    for k in range(8):
+        lines += [f"{w} {k + 2}30 555 {i:04d} x" for i in range(8) for w in (f"w{k}", f"w{k + 1}")]
+    rows = personal_data(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert all([s["kind"] for s in r["spans"]] == ["phone"] for r in rows)
