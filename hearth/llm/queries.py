@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.llm.common import read_table
+from hearth.llm.conversations import report
 from hearth.llm.decontaminate import decontaminate
 from hearth.llm.html import extract
 from hearth.llm.lm import score as lm_score
+from hearth.llm.merkle import fold, leaf_of, manifest, siblings
+from hearth.llm.mixing import mix
 from hearth.llm.packing import pack
 from hearth.llm.pii import KINDS, personal_data
 from hearth.llm.quality import judge
@@ -97,6 +100,37 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), length=2048, end_id=1).withColumnRenamed("id", "doc_id")
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mix(read_table(spark, sf_dir, "documents"), shards=64, block=128).taken()
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with the faults that the contract of op12 names; ``present`` is false for dropped ones."""
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    fault = F.crc32(name.cast("binary")) % 20
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    return conversations.select("conv_id", "turn", F.when(fault == 4, "user").otherwise(role).alias("role"), text.alias("text"),
+                                (fault != 0).alias("present"), F.explode(F.array_repeat(F.lit(0), F.when(fault == 3, 2).otherwise(1)))).drop("col")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(read_table(spark, sf_dir, "conversations"))
+    return report(rows, F.col("present")).withColumnRenamed("conv", "conv_id")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    claim = F.when(tampered, leaf_of([F.col(f) + F.lit(1) if f == "n_chars" else F.col(f) for f in fields]))
+    found = manifest(docs, fields, claim=claim)
+    folded = fold(F.coalesce("claim", "leaf"), F.col("path"))
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+                        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -113,6 +147,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_lm": op9_lm,
     "op10_packing": op10_packing,
+    "op11_mixing": op11_mixing,
+    "op12_conversations": op12_conversations,
+    "op13_merkle": op13_merkle,
     "pipeline": pipeline,
 }
 
