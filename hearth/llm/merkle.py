@@ -101,7 +101,7 @@ def manifest(docs: DataFrame, fields: Sequence[str] = ("doc_id", "source", "lang
     group = F.col(group_col).cast("string")
     rows = docs.select(F.coalesce(F.concat(F.lit("="), group), F.lit("-")).alias("stratum"), F.col(id_col).alias("id"),
                        leaf_of([F.col(f) for f in fields]).alias("leaf"), claim.alias("claim"), F.monotonically_increasing_id().alias("row"))
-    ranked = running(materialize(rows, "leaves"), "stratum", ["id", "leaf", "claim", "row"], label="ranked")
+    ranked = running(materialize(rows, "leaves"), "stratum", ["id", "leaf", "row"], label="ranked")
     nodes = ranked.select("stratum", F.col("start").alias("position"), F.col("of").alias("n"), F.col("leaf").alias("h"), F.struct("id", "claim").alias("body"))
     most = ranked.agg(F.max("of")).first()[0] or 1
 
