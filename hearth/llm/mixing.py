@@ -154,7 +154,8 @@ def mix(docs: DataFrame, shards: int = 64, block: int = 128, weights: Sequence[f
     dealt = spark.createDataFrame(dealt, "shard int, src int, held long, place long, first long, count long")
     chunks = dealt.select("shard", "src", "held", "place", "first", "count", F.explode(F.expr(f"sequence(0L, count - 1, {CHUNK}L)")).alias("skip"))
     chunks = chunks.select("shard", "src", "held", *[(F.col(c) + F.col("skip")).alias(c) for c in ("place", "first")], F.least(F.col("count") - F.col("skip"), F.lit(CHUNK)).alias("count"))
-    drawn = _slots(chunks.repartition("shard", "src", "first"), seed)
+    tasks = 1 + sum(slots) // (16 * CHUNK)
+    drawn = _slots(chunks.repartition(tasks, "shard", "src", "first"), seed)
     # the few rows that slots come from say nothing of their number: both sides are sorted, none is broadcast
     pieces = drawn.hint("merge").join(parts, ["src", "index"]).select("shard", "slot", "part", "row", "id", "begin", "words")
     return Mix(rows.drop("stratum", "src", "shuffled"), [(r["stratum"][1:] if r["stratum"] != "~" else None, n, t, k) for r, n, t, k in zip(found, sizes, goal, slots)], pieces)
