@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_of", "flag", "ne_flag", "clip_lower", "to_num", "nan_to_null", "na_tokens_to_null",
     "DEFAULT_NA_TOKENS", "hash_uniform", "hash_bucket", "hash_key", "right_closed_bin",
-    "left_closed_bin", "rnd", "safe_div", "log1p0", "unlog",
+    "left_closed_bin", "at_or_below", "rnd", "safe_div", "log1p0", "unlog",
 ]
 
 # Tokens that pandas' CSV reader treats as missing by default.
@@ -85,6 +85,21 @@ def left_closed_bin(x: str | Column, edges: Column) -> Column:
     return F.least(F.size(F.filter(edges, lambda e: e <= xc)), n - 1)
 
 
+def at_or_below(edges: Column, x: Column, strict: bool = False, most: int = 1023) -> Column:
+    """Number of the sorted ``edges`` (at most ``most``) at or below ``x``, or with ``strict`` below
+    it, found by halving: an index beyond the array compares as NULL."""
+    step, steps = 1, []
+    while step <= most:
+        steps.insert(0, F.lit(step))
+        step *= 2
+
+    def halved(at: Column, s: Column) -> Column:
+        e = F.get(edges, at + s - 1)
+        return at + F.when(e < x if strict else e <= x, s).otherwise(F.lit(0))
+
+    return F.when(x.isNotNull(), F.aggregate(F.array(*steps), F.lit(0), halved))
+
+
 def rnd(c: str | Column, digits: int = 6) -> Column:
     return F.round(col_of(c).cast("double"), digits)
 

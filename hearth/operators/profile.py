@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from hearth.operators.ranks import edge_count, edges_of, number, with_average_rank, with_buckets
+from hearth.operators.ranks import edge_count, edges_of, levels_for, number, with_average_rank, with_buckets
 from hearth.session import cut_lineage
 
 
@@ -127,10 +127,27 @@ def spearman(df: DataFrame, cols: Sequence[str], target: str, min_pairs: int = 2
     # read for the edges, the counts and the ranks: written once
     wide = cut_lineage(wide.filter(F.col("y").isNotNull()))
     names = [f"x{i}" for i in range(len(cols))]
-    wide = with_buckets(wide, edges_of(wide, [*names, "y"], edge_count(wide.count())))
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(x).alias("_x"), F.col(f"_b{x}").alias("_bx")) for c, x in zip(cols, names)]))
-    pairs = wide.select(cells.alias("_c"), F.col("y").alias("_y"), F.col("_by")).select("_c.*", "_y", "_by").filter(F.col("_x").isNotNull())
-    j = with_average_rank(with_average_rank(pairs, ["feature"], "_x", "_bx", "_rx"), ["feature"], "_y", "_by", "_ry")
+    held = wide.agg(F.count(F.lit(1)).alias("y"), *[F.count(x).alias(x) for x in names]).first()
+    rows = held["y"]
+    levels = levels_for(rows)
+    wide = with_buckets(wide, edges_of(wide, [*names, "y"], edge_count(rows)))
+
+    def pairs(frame: DataFrame, own: list[str], *more: str) -> DataFrame:
+        cells = F.explode(F.array(*[F.struct(F.lit(cols[int(x[1:])]).alias("feature"), F.col(x).alias("_x"), F.col(f"_b{x}").alias("_bx")) for x in own]))
+        return frame.select(cells.alias("_c"), *more).select("_c.*", *more).filter(F.col("_x").isNotNull())
+
+    # columns without gaps pair with all of y, so that y is ranked once for all of them
+    full, gaps = [x for x in names if held[x] == rows], [x for x in names if held[x] < rows]
+    parts = []
+    if full:
+        j = pairs(with_average_rank(wide, [], "y", "_by", "_ry", levels), full, "_ry")
+        parts.append(with_average_rank(j, ["feature"], "_x", "_bx", "_rx", levels))
+    if gaps:
+        j = with_average_rank(pairs(wide, gaps, "y", "_by"), ["feature"], "y", "_by", "_ry", levels)
+        parts.append(with_average_rank(j, ["feature"], "_x", "_bx", "_rx", levels))
+    j = parts[0].select("feature", "_rx", "_ry")
+    for more in parts[1:]:
+        j = j.unionByName(more.select("feature", "_rx", "_ry"))
     g = j.groupBy("feature").agg(F.corr("_rx", "_ry").alias("_r"),
                                  F.count(F.lit(1)).alias("n"))
     spark = df.sparkSession

@@ -1,10 +1,12 @@
 """Exact, linearly interpolated quantiles with bounded task state.
 
 Spark's exact ``percentile`` merges a value -> count map per group in one task, which grows with
-the distinct values.  Here a quantile sketch per group only gives a narrow bracket around every
-requested position; one aggregate then counts the rows below and above each bracket and the values
-inside it, and the two values at the position are picked from those few counts.  The sketch decides
-how much lies inside a bracket, never the result: a bracket that missed its position raises.
+the distinct values.  Here a quantile sketch per group gives a narrow bracket around every requested
+position.  Each value gets the number of its interval among the sorted bracket bounds; values
+inside a bracket are counted one by one, the others per interval.  Where a bracket may hold more
+than ``MOST`` different values it is narrowed: 64 splitters of its different values cut it into cells,
+and only cells that hold a position stay open, until each holds at most ``MOST``.  The counts
+alone decide the result; sketches and splitters only decide how much is counted one by one.
 """
 
 from __future__ import annotations
@@ -14,11 +16,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.functions.exprs import col_of
+from hearth.functions.exprs import at_or_below, col_of
+from hearth.session import cut_lineage
 
 # Relative rank error of the sketch, and half the width of a bracket in multiples of it.
 SKETCH_ACCURACY = 10_000
 BRACKET = 20
+# Different values of one bracket that the last step sorts in one task, and splitters of a narrowing.
+MOST = 50_000
+SPLITTERS = 63
 
 
 def _join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -38,41 +44,106 @@ def _value(c: str | Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def _counted(df: DataFrame, base: DataFrame, by: list[str], specs: list) -> DataFrame:
+    """``by, i, place, open, x, c, least, most``: cells of every group and column in the order of
+    ``place`` and ``x``.  An open cell is one value inside a bracket, any other an interval."""
+    rows = _join(df.select(*by, *[x.alias(f"_v{i}") for i, (x, _, _) in enumerate(specs)]),
+                 base.select(*by, *[f"_s{i}" for i in range(len(specs))]), by)
+
+    def interval(i: int) -> Column:
+        v, m = F.col(f"_v{i}"), len(specs[i][1])
+        if m > 16:
+            lows, highs = F.slice(f"_s{i}", 1, m), F.slice(f"_s{i}", m + 1, m)
+            above, below = at_or_below(lows, v), at_or_below(highs, v, strict=True)
+        else:
+            bounds = [F.get(f"_s{i}", F.lit(j)) for j in range(2 * m)]
+            above = sum(((v >= e).cast("int") for e in bounds[1:m]), (v >= bounds[0]).cast("int"))
+            below = sum(((v > e).cast("int") for e in bounds[m + 1:]), (v > bounds[m]).cast("int"))
+        return F.struct(F.lit(i).alias("i"), v.alias("v"), above.alias("above"), below.alias("below"))
+
+    each = [interval(i) for i in range(len(specs))]
+    cells = rows.select(*by, (F.explode(F.array(*each)) if len(each) > 1 else each[0]).alias("_c")).select(*by, "_c.*").filter(F.col("v").isNotNull())
+    cells = cells.select(*by, "i", (F.col("above") + F.col("below")).alias("place"), (F.col("below") < F.col("above")).alias("open"), "v")
+    return cells.groupBy(*by, "i", "place", "open", F.when(F.col("open"), F.col("v")).alias("x")).agg(
+        F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
+
+
+def _wanted(specs: list) -> Column:
+    """The positions (b, upper, k) that fall into a cell with ``at`` rows before it, of ``n`` rows."""
+    lists = []
+    for _, probs, _ in specs:
+        h = [(F.col("n") - 1) * F.lit(p) for p in probs]
+        lists.append(F.array(*[F.struct(F.lit(b).alias("b"), F.lit(up).alias("upper"), (F.ceil(x) if up else F.floor(x)).alias("k"), x.alias("h"))
+                               for b, x in enumerate(h) for up in (False, True)]))
+    own = lists[0]
+    for i, more in enumerate(lists[1:], 1):
+        own = F.when(F.col("i") == i, more).otherwise(own)
+    return F.filter(own, lambda w: (F.col("at") <= w["k"]) & (w["k"] < F.col("at") + F.col("c")))
+
+
+def _ranked(cells: DataFrame, by: list[str], *order: str) -> DataFrame:
+    part = Window.partitionBy(*by, "i")
+    before = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return cells.withColumn("at", F.coalesce(F.sum("c").over(before), F.lit(0))).withColumn("n", F.sum("c").over(part))
+
+
+def _found(cells: DataFrame, by: list[str], specs: list) -> DataFrame:
+    """``by, i, b, upper, h, value``; the value is NULL where a bracket missed its position."""
+    hits = _ranked(cells, by, "place", "x").withColumn("w", F.explode(_wanted(specs)))
+    k = F.col("w.k")
+    value = F.when(F.col("open"), F.col("x")).when(F.col("least") == F.col("most"), F.col("least")).when(k == F.col("at"), F.col("least")).when(
+        k == F.col("at") + F.col("c") - 1, F.col("most"))
+    return hits.select(*by, "i", "w.b", "w.upper", "w.h", value.alias("value"))
+
+
+def _narrowed(cells: DataFrame, by: list[str], specs: list) -> DataFrame:
+    """Cells of which no place has more than ``MOST`` open ones."""
+    keys = [*by, "i", "place"]
+    probs = [j / (SPLITTERS + 1) for j in range(1, SPLITTERS + 1)]
+    while True:
+        held = cells.filter("open").groupBy(*keys).agg(F.count(F.lit(1)).alias("held"), F.percentile_approx("x", probs, SKETCH_ACCURACY).alias("cuts"))
+        held = cut_lineage(held)
+        if (held.agg(F.max("held")).first()[0] or 0) <= MOST:
+            return cells
+        cut = _join(cells, held.select(*keys, F.array_distinct("cuts").alias("cuts")), keys, "left")
+        cut = cut.withColumn("s", F.when(F.col("open"), at_or_below(F.col("cuts"), F.col("x"))).otherwise(F.lit(0))).drop("cuts")
+        coarse = cut.groupBy(*keys, "s").agg(F.first("open").alias("open"), F.sum("c").alias("c"), F.min("least").alias("least"), F.max("most").alias("most"))
+        coarse = _ranked(coarse, by, "place", "s").withColumn("next", F.row_number().over(Window.partitionBy(*by, "i").orderBy("place", "s")))
+        coarse = coarse.withColumn("stays", F.col("open") & (F.col("least") < F.col("most")) & (F.size(_wanted(specs)) > 0))
+        coarse = cut_lineage(coarse.select(*keys, "s", "next", "stays", "c", "least", "most"))
+        shut = coarse.filter(~F.col("stays")).select(*by, "i", F.col("next").alias("place"), F.lit(False).alias("open"), F.lit(None).cast("double").alias("x"), "c", "least", "most")
+        own = _join(cut, coarse.filter("stays").select(*keys, "s", "next"), [*keys, "s"])
+        own = own.select(*by, "i", F.col("next").alias("place"), "open", "x", "c", "least", "most")
+        cells = cut_lineage(shut.unionByName(own))
+
+
 def with_quantiles(df: DataFrame, by: Sequence[str], aggs: list, qspecs: list) -> DataFrame:
     """Grouped aggregate ``aggs`` plus quantile arrays ``qspecs`` =
     [(value column, probs, output name)]; NULL and NaN are no values, a group
-    without values has a NULL array."""
+    without values has a NULL array.  The aggregate is written; the rest is part of
+    the caller's plan, unless brackets must be narrowed."""
     by = list(by)
+    specs = [(_value(c), sorted({float(p) for p in probs}), name) for c, probs, name in qspecs]
+    given = [[float(p) for p in probs] for _, probs, _ in qspecs]
     width = BRACKET / SKETCH_ACCURACY
-    specs = [(_value(c), [float(p) for p in probs], name) for c, probs, name in qspecs]
-    sketches = [
-        F.percentile_approx(x, [max(0.0, p - width) for p in probs] + [min(1.0, p + width) for p in probs], SKETCH_ACCURACY).alias(f"_s{i}")
-        for i, (x, probs, _) in enumerate(specs)]
-    base = df.groupBy(*by).agg(*aggs, *sketches)
-    brackets = base.select(*by, *[f"_s{i}" for i in range(len(specs))])
-    src = _join(df.select(*by, *[x.alias(f"_v{i}") for i, (x, _, _) in enumerate(specs)]), brackets, by)
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(b).alias("b"), F.lit(p).alias("p"), F.col(f"_v{i}").alias("v"),
-                 F.get(f"_s{i}", b).alias("lo"), F.get(f"_s{i}", b + len(probs)).alias("hi"))
-        for i, (_, probs, _) in enumerate(specs) for b, p in enumerate(probs)]))
-    rows = src.select(*by, cells.alias("_c")).select(*by, "_c.*").filter(F.col("v").isNotNull())
-    side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
-    rows = rows.select(*by, "i", "b", "p", side.alias("side"), "v").withColumn("x", F.when(F.col("side") == 0, F.col("v")))
-    counts = rows.groupBy(*by, "i", "b", "p", "side", "x").agg(F.count(F.lit(1)).alias("c"), F.max("v").alias("most"), F.min("v").alias("least"))
-    part = Window.partitionBy(*by, "i", "b")
-    before = part.orderBy("side", "x").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("at", F.coalesce(F.sum("c").over(before), F.lit(0)))
-    counts = counts.withColumn("h", (F.sum("c").over(part) - 1) * F.col("p"))
-
-    def held(k: Column) -> Column:
-        """The value at position k, known inside the bracket and right beside it."""
-        inside = (F.col("side") == 0) & (F.col("at") <= k) & (k < F.col("at") + F.col("c"))
-        return F.max(F.when(inside, F.col("x")).when((F.col("side") == -1) & (k == F.col("c") - 1), F.col("most"))
-                     .when((F.col("side") == 1) & (k == F.col("at")), F.col("least")))
-
-    h = F.col("h")
-    found = counts.groupBy(*by, "i", "b").agg(F.max(h).alias("h"), held(F.floor(h)).alias("lo"), held(F.ceil(h)).alias("hi"))
-    lo, hi = F.col("lo"), F.col("hi")
+    while True:
+        sketches = [F.percentile_approx(x, [max(0.0, p - width) for p in probs] + [min(1.0, p + width) for p in probs], SKETCH_ACCURACY).alias(f"_s{i}")
+                    for i, (x, probs, _) in enumerate(specs)]
+        base = cut_lineage(df.groupBy(*by).agg(*aggs, *sketches, *[F.count(x).alias(f"_n{i}") for i, (x, _, _) in enumerate(specs)]))
+        cells = _counted(df, base, by, specs)
+        counts = [f"_n{i}" for i in range(len(specs))]
+        most = base.agg(F.max(F.greatest(*counts) if len(counts) > 1 else F.col(counts[0]))).first()[0] or 0
+        if 2.5 * width * most <= MOST:
+            found = _found(cells, by, specs)
+            break
+        cells = cut_lineage(cells)
+        if width < 1 and not _found(cells, by, specs).filter("value is null").isEmpty():
+            width *= 8
+            continue
+        found = _found(_narrowed(cells, by, specs), by, specs)
+        break
+    found = found.groupBy(*by, "i", "b").agg(F.max("h").alias("h"), F.max(F.when(~F.col("upper"), F.col("value"))).alias("lo"), F.max(F.when(F.col("upper"), F.col("value"))).alias("hi"))
+    h, lo, hi = F.col("h"), F.col("lo"), F.col("hi")
     # same interpolation arithmetic as Spark's percentile aggregate
     q = F.when(lo.isNull() | hi.isNull(), F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")).when(
         (F.ceil(h) == F.floor(h)) | (lo == hi), lo).otherwise((F.ceil(h) - h) * lo + (h - F.floor(h)) * hi)
@@ -80,10 +151,11 @@ def with_quantiles(df: DataFrame, by: Sequence[str], aggs: list, qspecs: list) -
 
     def array_of(i: int, name: str) -> Column:
         got = F.array_sort(F.collect_list(F.when(F.col("i") == i, F.col("s"))))  # one entry a probability
-        return F.when(F.size(got) > 0, F.transform(got, lambda s: s["q"])).alias(name)
+        places = [specs[i][1].index(p) for p in given[i]]
+        return F.when(F.size(got) > 0, F.array(*[got[j]["q"] for j in places])).alias(name)
 
     table = found.groupBy(*by).agg(*[array_of(i, name) for i, (_, _, name) in enumerate(specs)])
-    return _join(base.drop(*[f"_s{i}" for i in range(len(specs))]), table, by, "left")
+    return _join(base.drop(*[f"_{k}{i}" for i in range(len(specs)) for k in "sn"]), table, by, "left")
 
 
 def exact_quantiles(df: DataFrame, col: str | Column, probs: Sequence[float], by: Sequence[str] = (),

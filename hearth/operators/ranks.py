@@ -3,8 +3,9 @@
 A sketch gives edges in the order of the values, about the square root of the rows in number.  Every
 row lies on an edge or strictly between two.  Rows on an edge all have that value, so the counts of
 the buckets alone give their rank; a value that a third of the rows share is always an edge.  Rows
-between two edges are ranked by a window over their bucket, whose size the edges bound.  Any edges
-give the same ranks.
+between two edges are ranked inside their bucket: by a window while the edges bound its rows by
+``MOST_ROWS``, else by edges of its own, level after level, with prefix sums of the counts of every
+level.  Any edges give the same ranks.
 """
 
 from __future__ import annotations
@@ -16,13 +17,27 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearth.functions.exprs import at_or_below
+from hearth.session import cut_lineage
+
 MOST_EDGES = 1023
+#: rows of a bucket that one window task sorts
+MOST_ROWS = 200_000
 
 
 def edge_count(rows: int) -> int:
     return max(1, min(MOST_EDGES, math.isqrt(rows) // 4))
 
 
+def levels_for(rows: int) -> int:
+    """Levels of edges below the first that keep buckets of ``rows`` rows within ``MOST_ROWS``; the
+    sketch's error makes a gap at most a tenth wider."""
+    share, levels = 1.2 * rows / (edge_count(rows) + 1), 0
+    while share > MOST_ROWS:
+        share, levels = 1.2 * share / (MOST_EDGES + 1), levels + 1
+    return levels
+
+
 def number(c: str | Column) -> Column:
     """The column as double, negative zero as zero, NaN as NULL."""
     x = (F.col(c) if isinstance(c, str) else c).cast("double") + F.lit(0.0)
@@ -62,16 +77,43 @@ def starts_of(rows: DataFrame, by: Sequence[str], b: str) -> DataFrame:
     return g.select(*by, filled.alias("_before"), F.transform(every, lambda s: F.coalesce(s["_n"], F.lit(0))).alias("_in"), "_rows")
 
 
-def with_average_rank(df: DataFrame, by: Sequence[str], v: str, b: str, out: str) -> DataFrame:
+def with_places(rows: DataFrame, keys: Sequence[str], v: str, w: str, levels: int) -> DataFrame:
+    """Add ``_less`` and ``_same``: the weight ``w`` of the rows of a bucket (``keys``) below the
+    row's value ``v``, plus ``_start``, and of those with this value.
+
+    With ``levels`` the bucket is split by edges of its own: rows on one take their place from
+    counts, rows between two from their smaller bucket."""
+    keys = list(keys)
+    if not levels:
+        upto = F.sum(w).over(Window.partitionBy(*keys).orderBy(v).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        rows = rows.withColumn("_same", F.sum(w).over(Window.partitionBy(*keys, v)))
+        return rows.withColumn("_less", F.col("_start") + upto - F.col("_same"))
+    cell = f"_l{levels}"
+    probs = [i / (MOST_EDGES + 1) for i in range(1, MOST_EDGES + 1)]
+    edges = rows.groupBy(*keys).agg(F.percentile_approx(v, probs, 10 * (MOST_EDGES + 1)).alias("_e"))
+    at = at_or_below(F.col("_e"), F.col(v))
+    cut = rows.join(edges.withColumn("_e", F.array_distinct("_e")), keys).withColumn("_at", at)
+    cut = cut_lineage(cut.withColumn(cell, F.when(F.get("_e", F.col("_at") - 1) == F.col(v), 2 * F.col("_at") - 1).otherwise(2 * F.col("_at"))).drop("_e", "_at"))
+    counts = cut.groupBy(*keys, cell).agg(F.sum(w).alias("_held"))
+    before = Window.partitionBy(*keys).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)  # at most 2,047 cells
+    counts = counts.withColumn("_more", F.coalesce(F.sum("_held").over(before), F.lit(0)))
+    cut = cut.join(counts, [*keys, cell]).withColumn("_start", F.col("_start") + F.col("_more")).drop("_more")
+    on = cut.filter(F.col(cell) % 2 == 1).withColumn("_less", F.col("_start")).withColumn("_same", F.col("_held"))
+    between = with_places(cut.filter(F.col(cell) % 2 == 0).drop("_held"), [*keys, cell], v, w, levels - 1)
+    columns = [*rows.columns, "_less", "_same"]
+    return on.select(columns).unionByName(between.select(columns))
+
+
+def with_average_rank(df: DataFrame, by: Sequence[str], v: str, b: str, out: str, levels: int = 0) -> DataFrame:
     """Rows with their 1-based rank in the group; equal values share the mean of their places.
 
-    ``b`` is the bucket of ``v``; ``by`` has few groups (columns of a table)."""
+    ``b`` is the bucket of ``v``; ``by`` has few groups (columns of a table); ``levels`` as
+    ``levels_for`` the rows."""
     cols = [*df.columns, out]
     starts = F.broadcast(starts_of(df, by, b))  # one row of bounded arrays per group
     rows = df.join(starts, list(by)) if by else df.join(starts)
     rows = rows.withColumn("_start", F.get("_before", F.col(b))).withColumn("_held", F.get("_in", F.col(b))).drop("_before", "_in", "_rows")
     on = rows.filter(F.col(b) % 2 == 1).withColumn(out, F.col("_start") + (F.col("_held") + 1) / 2)
-    w = Window.partitionBy(*by, b).orderBy(v)
-    last = F.count(F.lit(1)).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    between = rows.filter(F.col(b) % 2 == 0).withColumn(out, F.col("_start") + (F.rank().over(w) + last) / 2)
+    between = with_places(rows.filter(F.col(b) % 2 == 0).drop("_held").withColumn("_w", F.lit(1)), [*by, b], v, "_w", levels)
+    between = between.withColumn(out, F.col("_less") + (F.col("_same") + 1) / 2)
     return on.select(cols).unionByName(between.select(cols))

@@ -31,13 +31,14 @@ def sales_xy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_folds(d, "id", 5, 42)
 
 
-def oof_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def oof_errors(spark: SparkSession, sf_dir: str, keep: list[str] = KEEP) -> DataFrame:
     """Error frame of the OOF ridge with the kept features.  The training
     frame is checkpointed once: the fold statistics, the row path and the
     quantile edges downstream all read it instead of re-running the
     lineitem aggregation and the joins."""
-    p = oof_ridge1(cut_lineage(sales_xy(spark, sf_dir)), "x", "y", alpha=12.0)
-    return error_frame(p, None, "id", "price", keep=KEEP)
+    d = sales_xy(spark, sf_dir).select("id", "price", "x", "y", "fold", *keep)
+    p = oof_ridge1(cut_lineage(d), "x", "y", alpha=12.0)
+    return error_frame(p, None, "id", "price", keep=keep)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

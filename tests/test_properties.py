@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hearth.operators import dist, drift, folds, models, score
 from hearth.operators.profile import spearman
+from hearth.session import cut_lineage as cut
 from hearth.operators.ranks import edges_of, number, with_average_rank, with_buckets
 from hearth.session import cut_lineage
 from hearth.sources.bindings import events_split, sales
@@ -221,3 +222,80 @@ def test_event_split_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert before == after
+
+
+def test_quantiles_narrow_until_bounded(spark, monkeypatch):
+    from hearth.operators import quantiles
+    # 150,000 different values, a hot tie right at the median, a null group, two columns, many positions
+    d = spark.range(300_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 3).alias("g"),
+        F.when(F.col("id") % 5 == 0, F.lit(0.5)).otherwise(F.rand(7)).alias("x"), (F.col("id") * 7919 % 299_993).cast("double").alias("y"))
+    d = cut(d)
+    probs = [0.0, 0.001, 0.25, 0.4999, 0.5, 0.75, 0.75, 0.999, 1.0]
+    want = {}
+    for col in ("x", "y"):
+        for by in ([], ["g"]):
+            want[col, tuple(by)] = _percentiles(d, col, probs, by)
+    sizes = []
+    ranked = quantiles._ranked
+
+    def seen(cells, by, *order):
+        if order == ("place", "x"):
+            sizes.append(cells.filter("open").groupBy(*by, "i", "place").count().agg(F.max("count")).first()[0] or 0)
+        return ranked(cells, by, *order)
+
+    monkeypatch.setattr(quantiles, "MOST", 40)
+    monkeypatch.setattr(quantiles, "_ranked", seen)
+    for by in ([], ["g"]):
+        got = quantiles.with_quantiles(d, by, [F.count(F.lit(1)).alias("n")], [("x", probs, "qx"), ("y", probs, "qy")]).collect()
+        assert {tuple(r[k] for k in by): r["qx"] for r in got} == want["x", tuple(by)]
+        assert {tuple(r[k] for k in by): r["qy"] for r in got} == want["y", tuple(by)]
+        assert sizes[-1] <= 40 < max(sizes)  # the last step, and the first look before narrowing
+
+
+def test_quantiles_widen_a_bracket_that_missed(spark, monkeypatch):
+    from hearth.operators import quantiles
+    d = cut(spark.range(50_000).select(F.rand(5).alias("x")))
+    monkeypatch.setattr(quantiles, "MOST", 5)
+    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 20)
+    real = quantiles._found
+    tries = []
+    monkeypatch.setattr(quantiles, "_found", lambda *a: tries.append(1) or real(*a))
+    monkeypatch.setattr(quantiles, "BRACKET", 0.001)
+    assert quantiles.exact_quantiles(d, "x", [0.3, 0.5]).first()["q"] == _percentiles(d, "x", [0.3, 0.5], [])[()]
+    assert len(tries) > 2
+
+
+@pytest.mark.parametrize("levels", [1, 2])
+def test_ranks_by_edges_of_edges(spark, monkeypatch, levels):
+    from hearth.operators import ranks
+    monkeypatch.setattr(ranks, "MOST_EDGES", 7)
+    d = cut(spark.range(30_000, numPartitions=5).select(
+        F.when(F.col("id") % 2 == 0, "f").otherwise("g").alias("feature"),
+        number(F.when(F.col("id") % 6 < 2, F.lit(0.25)).when(F.col("id") % 6 == 3, F.round(F.rand(3), 2)).otherwise(F.rand(4))).alias("x")))
+    got = with_average_rank(with_buckets(d, edges_of(d, ["x"], 7)), ["feature"], "x", "_bx", "rank", levels)
+    import pandas as pd
+    want = d.toPandas()
+    want["rank"] = want.groupby("feature")["x"].rank()
+    both = pd.concat([f.sort_values(["feature", "x"])[["feature", "x", "rank"]].reset_index(drop=True) for f in (want, got.toPandas())], axis=1)
+    assert len(both) == 30_000 and (both.iloc[:, :3].to_numpy() == both.iloc[:, 3:].to_numpy()).all()
+
+
+def test_rank_levels_bound_buckets():
+    from hearth.operators.ranks import MOST_EDGES, MOST_ROWS, edge_count, levels_for
+    for rows in (0, 1, 10**5, 10**7, 10**9, 10**10, 10**11, 10**13):
+        held = 1.2 * rows / (edge_count(rows) + 1)
+        for _ in range(levels_for(rows)):
+            held = 1.2 * held / (MOST_EDGES + 1)
+        assert held <= MOST_ROWS
+
+
+def test_halving_search(spark):
+    from hearth.functions.exprs import at_or_below
+    edges = [-3.0, 0.0, 0.5, 0.5, 9.0]
+    d = spark.createDataFrame([(v,) for v in (-4.0, -3.0, 0.2, 0.5, 8.0, 9.0, 10.0, None)], "v double")
+    e = F.array(*map(F.lit, edges))
+    got = d.select("v", at_or_below(e, F.col("v")).alias("a"), at_or_below(e, F.col("v"), strict=True).alias("b")).collect()
+    for r in got:
+        want = (None, None) if r["v"] is None else (sum(x <= r["v"] for x in edges), sum(x < r["v"] for x in edges))
+        assert (r["a"], r["b"]) == want
