@@ -8,8 +8,9 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: white space that separates words in most contracts: space and U+0009..U+000D
 SPACES = "\t\n\x0b\x0c\r"
@@ -49,6 +50,15 @@ def row_key(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def key_of(df: DataFrame, key_col: str | None, text_col: str) -> Column:
+    """What an operator returns as ``key``: the caller's column, or a hash of the text."""
+    return (F.xxhash64(F.col(text_col)) if key_col is None else F.col(key_col)).alias("key")
+
+
+def key_field(df: DataFrame, key_col: str | None) -> T.StructField:
+    return T.StructField("key", T.LongType() if key_col is None else df.schema[key_col].dataType)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES):
     """Yield ``(first row, rows, bytes, offsets)`` of runs of rows with at most ``limit`` bytes.
 
@@ -147,5 +157,5 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["CHUNK_BYTES", "SPACES", "as_long", "materialize", "mix", "read_table", "row_key",
+__all__ = ["CHUNK_BYTES", "SPACES", "as_long", "key_field", "key_of", "materialize", "mix", "read_table", "row_key",
            "run_hashes", "shared_dir", "span_hashes", "spans_of", "text_slices"]

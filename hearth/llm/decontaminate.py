@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.common import as_long, materialize, row_key, run_hashes, span_hashes, spans_of, text_slices
+from hearth.llm.common import as_long, key_field, key_of, materialize, row_key, run_hashes, span_hashes, spans_of, text_slices
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -104,7 +104,7 @@ def _counts(docs: DataFrame, text_col: str, sizes: list[int], table) -> DataFram
     return docs.select(F.col(text_col).alias("t")).mapInArrow(work, "h long, n long").groupBy("h").agg(F.sum("n").alias("seen"))
 
 
-def _scan(docs: DataFrame, id_col: str, text_col: str, window: int, sizes: list[int], table) -> DataFrame:
+def _scan(docs: DataFrame, id_col: str, text_col: str, window: int, sizes: list[int], table, key_col: str | None = None) -> DataFrame:
     """One row per text: its number of words and the prefix shingles in it with the words around."""
     hit_type = pa.struct([("h", pa.int64()), ("at", pa.int64()), ("lo", pa.int64()), ("words", pa.string())])
 
@@ -124,21 +124,21 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, window: int, sizes: list[
                 own = batch.slice(at, rows)
                 yield pa.record_batch([own.column(0), own.column(1), pa.array(np.diff(first)), pa.array(out, pa.list_(hit_type))], names=["id", "key", "n_words", "hits"])
 
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("key", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("hits", T.ArrayType(T.StructType([
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), key_field(docs, key_col), T.StructField("n_words", T.LongType()), T.StructField("hits", T.ArrayType(T.StructType([
         T.StructField("h", T.LongType()), T.StructField("at", T.LongType()), T.StructField("lo", T.LongType()), T.StructField("words", T.StringType())])))])
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("t")).mapInArrow(work, schema)
+    return docs.select(F.col(id_col).alias("id"), key_of(docs, key_col, text_col), F.col(text_col).alias("t")).mapInArrow(work, schema)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 3,
                   salts: int = 16, id_col: str = "doc_id", text_col: str = "text",
-                  item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+                  item_id: str = "item_id", item_text: str = "text", key_col: str | None = None) -> DataFrame:
     """One row for every row of ``docs``: ``id, key, n_words, n_hit, item_ids, spans``.
 
     Words are runs of ASCII letters and digits and of all characters beyond ASCII, A-Z lower-cased.
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is
     one window. ``n_hit`` counts the words of the text inside any occurrence of a window,
     ``item_ids`` are the items with occurring windows and ``spans`` the occurrences as
-    ``(start word, words)``; ``key`` is a hash of the text. Null, empty and blank texts have no words and no hits; items with a
+    ``(start word, words)``; ``key`` is the row's ``key_col``, by default a hash of the text. Null, empty and blank texts have no words and no hits; items with a
     null id are left out; an empty item table hits nothing; repeated rows and ids each keep
     their own result; a window shared by many items names them all. Other columns are not used.
     """
@@ -155,7 +155,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
         grams.join(ranked, "window").filter(F.col("held") == F.size("hashes"))
         .select("window", "n", "items", F.col("rarest.h").alias("h"), F.col("rarest.offset").alias("offset")), "prefix")
     table = spark.sparkContext.broadcast(_bit_table(prefix))
-    base = materialize(row_key(_scan(docs, id_col, text_col, window, sizes, table)), "scan")
+    base = materialize(row_key(_scan(docs, id_col, text_col, window, sizes, table, key_col)), "scan")
 
     salted = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     hits = base.select("_row", "n_words", F.explode("hits").alias("x")).select("_row", "n_words", "x.*")

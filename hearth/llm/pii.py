@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.llm.common import materialize, row_key
+from hearth.llm.common import key_of, materialize, row_key
 from hearth.llm.quality import _once
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -70,14 +70,14 @@ def _valid() -> Column:
         .otherwise(False))
 
 
-def search(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def search(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
     """``id, key, hits`` for every row: the matches of all rules and shapes, in order of each kind.
 
     A hit has its ``kind``, its number ``i``, the ``value``, the length of the ``gap`` since the
     last match of its kind (or the start of the text) and the end of the text ``before`` it.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"), text.alias("t"))
+    d = docs.select(F.col(id_col).alias("id"), key_of(docs, key_col, text_col), text.alias("t"))
     has = {"email": F.contains("t", F.lit("@")), "phone": F.contains("t", F.lit("+")), "address": F.col("t").rlike(r"(?:at|AT)[\])}]"),
            "host": F.col("t").rlike(r"[0-9] ?[\[({](?:\.|dot|DOT)[\])}]|[0-9] \. [0-9]|[0-9A-Fa-f]:(?::|[0-9A-Fa-f]{1,4}:)[0-9A-Fa-f]")}
     digit = F.col("t").rlike("[0-9]")
@@ -172,16 +172,16 @@ def bootstrap(found: DataFrame, support: int = 8, confidence: float = 0.9, round
 
 
 def personal_data(docs: DataFrame, support: int = 8, confidence: float = 0.9, rounds: int | None = None,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
     """``id, key, base, spans`` for every row of ``docs``.
 
     ``base`` and ``spans`` are arrays of ``(start, rank, kind, end)`` in code points, end exclusive,
-    in order of start and kind: the base rules' and all. ``key`` is a hash of the text. Null and
+    in order of start and kind: the base rules' and all. ``key`` is the row's ``key_col``, by default a hash of the text. Null and
     empty texts have none; texts of any length are searched whole; repeated rows are searched one
     by one, and count once as evidence; an empty table learns nothing. Other columns are not used.
     """
     # a key of its own for each row, fixed by writing it: rows that agree in id and text stay apart
-    rows = materialize(row_key(search(docs, id_col, text_col)), "searched")
+    rows = materialize(row_key(search(docs, id_col, text_col, key_col)), "searched")
     found = materialize(_instances(strings(rows)), "strings")
     learned = bootstrap(found, support, confidence, rounds)
     kind = F.coalesce("kind", "learned")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.llm.common import materialize
+from hearth.llm.common import key_of, materialize
 
 #: rule: grid steps for one unit of the signal; cutoffs run from 0 to GRID - 1
 RULES = {"symbols": 50, "dup_lines": 100, "word_length": 10, "repeats": 100, "capitals": 100, "sameness": 100}
@@ -30,14 +30,14 @@ def _once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.withColumn("_p", packed).select(*df.columns, *[F.col(f"_p.{n}").alias(n) for n in columns])
 
 
-def signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
+def signals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", key_col: str | None = None) -> DataFrame:
     """``id, key, stratum``, the base counts and the integer signal of every rule, per row.
 
     Words are runs of anything but space and U+0009..U+000D. ``key`` is a hash of the text, which
     tells apart rows that share an id. Null texts have no words; a null stratum is a stratum.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    d = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"),
+    d = docs.select(F.col(id_col).alias("id"), key_of(docs, key_col, text_col),
                     F.coalesce(F.concat(F.lit("="), F.col(stratum_col).cast("string")), F.lit("-")).alias("stratum"), text.alias("t"))
     d = _once(d, w=F.array_remove(F.split("t", r"[ \t-\r]+"), ""),
               lines=F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(" \t\x0b\x0c\r")) != ""))
@@ -108,7 +108,7 @@ def certified_cutoffs(labelled: DataFrame, alpha: float = 0.02, delta: float = 0
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, weight: float = 200.0,
-          id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", label_col: str = "quality") -> DataFrame:
+          id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", label_col: str = "quality", key_col: str | None = None) -> DataFrame:
     """The signals of every row with ``kept`` and the names of the rules that reject it (``failed``).
 
     ``kept`` is false under 50 words, with more than half of the words in repeated three-word
@@ -116,7 +116,7 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float
     and fail; an empty or null-only label table certifies nothing; of several labels of an id the
     lowest counts; repeated rows are judged one by one; other columns are not used.
     """
-    base = materialize(signals(docs, id_col, text_col, stratum_col), "signals")
+    base = materialize(signals(docs, id_col, text_col, stratum_col, key_col), "signals")
     known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("quality"))
     cutoffs = certified_cutoffs(base.join(known, "id"), alpha, delta, weight)
     # the table has a row only for strata with enough labels to certify a cutoff

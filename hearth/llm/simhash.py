@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.llm.common import materialize, spans_of, text_slices
+from hearth.llm.common import key_field, key_of, materialize, spans_of, text_slices
 from hearth.llm.components import connected_components
 
 #: A-Z to a-z
@@ -98,8 +98,8 @@ _TO_SPACE = bytes(32 if i in (9, 10, 11, 12, 13) else i for i in range(256))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """``(id, key, fp)`` for every row: the fingerprint as a signed long, and a hash of the text."""
+                 text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """``(id, key, fp)`` for every row: the fingerprint as a signed long, and the row's key."""
 
     def work(batches):
         for batch in batches:
@@ -108,8 +108,8 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str
                 own = batch.slice(at, n)
                 yield pa.record_batch([own.column(0), own.column(1), pa.array(fp.view(np.int64))], names=["id", "key", "fp"])
 
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("key", T.LongType()), T.StructField("fp", T.LongType())])
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("t")).mapInArrow(work, schema)
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), key_field(docs, key_col), T.StructField("fp", T.LongType())])
+    return docs.select(F.col(id_col).alias("id"), key_of(docs, key_col, text_col), F.col(text_col).alias("t")).mapInArrow(work, schema)
 
 
 def _segments(max_bits: int, segments: int) -> list[tuple[int, int, int]]:
@@ -170,18 +170,18 @@ def links(fps: DataFrame, max_bits: int = 4, segments: int = 3, bucket_limit: in
 
 def near_duplicates(docs: DataFrame, max_bits: int = 4, shingle: int = 4, seed: int = 42,
                     segments: int = 3, bucket_limit: int = 512, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", key_col: str | None = None) -> DataFrame:
     """``(id, key, fp, root, component_id)`` for every row of ``docs``.
 
     ``fp`` is the SimHash fingerprint (signed long) of the words between space and U+0009..U+000D,
     lower-cased A-Z, in shingles of ``shingle`` words counted with repeats; texts with fewer words
     have one shingle and texts with none (null, empty, blank) the fingerprint zero, which links
     like any other. Rows whose fingerprints differ in at most ``max_bits`` bits are linked;
-    ``component_id`` is the smallest id reachable, ``root`` the smallest fingerprint and ``key`` a
-    hash of the text. Repeated rows stay; a null id is never the
+    ``component_id`` is the smallest id reachable, ``root`` the smallest fingerprint and ``key`` the
+    column ``key_col`` of the row, by default a hash of the text. Repeated rows stay; a null id is never the
     smallest unless its whole group has none. Other columns of ``docs`` are not used.
     """
-    base = materialize(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
+    base = materialize(fingerprints(docs, shingle, seed, id_col, text_col, key_col), "fingerprints")
     fps = materialize(base.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
     edges = links(fps.select("fp"), max_bits, segments, bucket_limit)
     roots = connected_components(edges)
