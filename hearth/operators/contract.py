@@ -88,7 +88,7 @@ def check_contract(bounds: DataFrame, rescored: DataFrame, id_col: str, pred_col
     rate = F.avg(F.col("pass").cast("double"))
     summary = quantile_columns(rows, [], [
         rate.alias("pass_rate"), F.count_if(~F.col("pass")).alias("failed_rows"), F.count(F.lit(1)).alias("rows")],
-        [(F.col("pred_hi") - F.col("pred_lo"), 0.5, "median_band_width")])
+        [(F.col("pred_hi") - F.col("pred_lo"), 0.5, "median_band_width")], needs=["pass"])
     summary = summary.withColumn("verdict", verdict(F.col("pass_rate"), partial, strict))
     return rows, summary
 
@@ -130,7 +130,7 @@ def detect_log_space(preds: DataFrame, pred_col: str, truth: DataFrame | None =
                      target: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Predictions are log1p-like when their median is in [6, 16] and the
     target's median is above 1000."""
-    m = quantile_columns(preds, by, [F.count(F.lit(1)).alias("_n")], [(pred_col, 0.5, "pred_median")]).drop("_n")
+    m = quantile_columns(preds, by, [F.count(F.lit(1)).alias("_n")], [(pred_col, 0.5, "pred_median")], needs=[]).drop("_n")
     if truth is not None and target is not None:
         t = exact_quantiles(truth, target, [0.5]).select(F.col("q")[0].alias("target_median"))
         m = m.join(F.broadcast(t), how="inner")

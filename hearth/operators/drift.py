@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hearth.functions.exprs import hash_uniform
 from hearth.operators.quantiles import exact_quantiles, with_quantiles
+from hearth.session import cut_lineage
 
 EPS_STD = 1e-9
 MISSING_SCORE = 10.0
@@ -35,23 +36,31 @@ def _long_cat(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return d.unpivot([], list(cols), "feature", "v")
 
 
-def _num_side(df: DataFrame, cols: Sequence[str], p: str) -> DataFrame:
-    long = _long_num(df, cols)
+def _num_stats(long: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Moments, null rate and three quantiles per group of long rows (..., x)."""
     x = F.col("x")
-    return with_quantiles(long, ["feature"], [
-        F.count(F.lit(1)).alias(f"{p}_rows"), F.count(x).alias(f"{p}_n"),
-        F.avg(x).alias(f"{p}_mean"),
-        F.coalesce(F.stddev_samp(x), F.lit(0.0)).alias(f"{p}_std"),
-        (1.0 - F.count(x) / F.count(F.lit(1))).alias(f"{p}_na_rate")],
-        [("x", [0.05, 0.5, 0.95], f"{p}_q")])
+    return with_quantiles(long, by, [
+        F.count(F.lit(1)).alias("rows"), F.count(x).alias("n"), F.avg(x).alias("mean"),
+        F.coalesce(F.stddev_samp(x), F.lit(0.0)).alias("std"),
+        (1.0 - F.count(x) / F.count(F.lit(1))).alias("na_rate")],
+        [("x", [0.05, 0.5, 0.95], "q")])
+
+
+def _named(stats: DataFrame, p: str) -> DataFrame:
+    return stats.select("feature", *[F.col(c).alias(f"{p}_{c}") for c in ("rows", "n", "mean", "std", "na_rate", "q")])
 
 
 def numeric_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str]) -> DataFrame:
     """K1: mean, std (ddof 1), q05/q50/q95, null rate on both sides;
     drift_score = |delta mean| / (|ref_std| + 1e-9) + 2 |delta null rate|;
     note 'insufficient numeric data' when either side has no value."""
-    r = _num_side(ref, cols, "ref")
-    c = _num_side(cur, cols, "cur")
+    long = _long_num(ref, cols).withColumn("side", F.lit("ref")).unionByName(_long_num(cur, cols).withColumn("side", F.lit("cur")))
+    both = cut_lineage(_num_stats(long, ["side", "feature"]))  # two rows a column
+    return _numeric_scores(_named(both.filter("side = 'ref'"), "ref"), _named(both.filter("side = 'cur'"), "cur"))
+
+
+def _numeric_scores(r: DataFrame, c: DataFrame) -> DataFrame:
+    """K1 of the statistics of two sides, one row a column each."""
     j = r.join(c, "feature")
     ok = (F.col("ref_n") > 0) & (F.col("cur_n") > 0)
     out = j.select(
@@ -170,7 +179,7 @@ def profile_stats(df: DataFrame, cols: Sequence[str] | None = None
     parts = []
     levels = spark.createDataFrame([], "feature string, level string, count bigint")
     if num:
-        s = _num_side(df, num, "p")
+        s = _named(_num_stats(_long_num(df, num), ["feature"]), "p")
         parts.append(s.select(
             "feature", F.lit("numeric").alias("dtype"), F.col("p_rows").alias("rows"),
             F.col("p_na_rate").alias("null_rate"), F.col("p_mean").alias("mean"),

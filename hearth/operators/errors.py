@@ -63,7 +63,7 @@ def error_kpis(err: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """L2: RMSE, MAE, p90 and p95 of the absolute raw error."""
     g = with_quantiles(err, by, [F.sqrt(F.avg(F.pow("residual_raw", 2))).alias("rmse"),
                                  F.avg("abs_error_raw").alias("mae")],
-                       [("abs_error_raw", [0.9, 0.95], "_q")])
+                       [("abs_error_raw", [0.9, 0.95], "_q")], needs=["residual_raw", "abs_error_raw"])
     return g.select(*by, "rmse", "mae", F.col("_q")[0].alias("p90_abs"),
                     F.col("_q")[1].alias("p95_abs"))
 
@@ -126,7 +126,7 @@ def segment_errors(err: DataFrame, by: str | Sequence[str], with_p90: bool = Fal
     aggs = [F.count(F.lit(1)).alias("n"), F.avg("abs_error_raw").alias("mae"),
             F.avg("ape_raw").alias("mape")]
     qs = [("y_true", [0.5], "_qm")] + ([("abs_error_raw", [0.9], "_qp")] if with_p90 else [])
-    g = with_quantiles(err, by, aggs, qs)
+    g = with_quantiles(err, by, aggs, qs, needs=["abs_error_raw", "ape_raw"])
     out = [*by, "n", "mae", "mape", F.col("_qm")[0].alias("median_true")]
     if with_p90:
         out.append(F.col("_qp")[0].alias("p90_abs"))
@@ -137,7 +137,7 @@ def worst_segment(err: DataFrame, by: str) -> DataFrame:
     """The segment with the highest mean absolute error (one row)."""
     g = with_quantiles(err.filter(F.col(by).isNotNull()), [by], [
         F.count(F.lit(1)).alias("n"), F.avg("abs_error_raw").alias("mean_abs"),
-        F.avg("ape_raw").alias("mean_ape")], [("abs_error_raw", [0.9], "_q")])
+        F.avg("ape_raw").alias("mean_ape")], [("abs_error_raw", [0.9], "_q")], needs=["abs_error_raw", "ape_raw"])
     g = g.select(by, "n", "mean_abs", F.col("_q")[0].alias("p90_abs"), "mean_ape")
     return g.orderBy(F.desc("mean_abs"), F.asc(by)).limit(1)
 
@@ -163,7 +163,7 @@ def category_risk(err: DataFrame, c: str, min_n: int = 10,
     cov = err.agg(F.avg(F.col(c).isNotNull().cast("double")).alias("_cov"))
     g = with_quantiles(err.filter(F.col(c).isNotNull()), [c], [
         F.count(F.lit(1)).alias("n"), F.avg("abs_error_raw").alias("mae"),
-        F.avg("ape_raw").alias("mape")], [("y_true", [0.5], "_q")])
+        F.avg("ape_raw").alias("mape")], [("y_true", [0.5], "_q")], needs=["abs_error_raw", "ape_raw"])
     g = g.select(c, "n", "mae", "mape", F.col("_q")[0].alias("median_true")).filter(
         F.col("n") >= min_n)
     return (g.join(F.broadcast(cov), how="inner")  # one-row coverage scalar
@@ -176,7 +176,7 @@ def top_segments(err: DataFrame, features: DataFrame, id_col: str, by: str,
     j = join_features(err, features, id_col, [by])
     g = with_quantiles(j, [by], [F.count(F.lit(1)).alias("n"),
                                  F.avg("abs_error_raw").alias("mae"),
-                                 F.avg("ape_raw").alias("mape")], [("y_true", [0.5], "_q")])
+                                 F.avg("ape_raw").alias("mape")], [("y_true", [0.5], "_q")], needs=["abs_error_raw", "ape_raw"])
     g = g.select(by, "n", "mae", "mape", F.col("_q")[0].alias("median_price"))
     return g.orderBy(F.desc("mae"), F.asc(by)).limit(k)
 

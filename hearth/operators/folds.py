@@ -77,7 +77,7 @@ def stratified_sample(df: DataFrame, id_col: str, target: str, n: int, q: int =
     if target not in df.columns:
         return sample_n(df, id_col, n, seed)
     probs = [i / q for i in range(q + 1)]
-    stats = with_quantiles(df.filter(F.col(target).isNotNull()), [], [F.count(F.lit(1)).alias("rows")], [(target, probs, "_q")]).select(
+    stats = with_quantiles(df.filter(F.col(target).isNotNull()), [], [F.count(F.lit(1)).alias("rows")], [(target, probs, "_q")], needs=[]).select(
         "rows", F.sort_array(F.array_distinct("_q")).alias("edges")).first()
     rows, edges = stats["rows"], stats["edges"]
     if rows < min_rows or edges is None or len(edges) < 4:

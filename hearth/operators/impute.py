@@ -23,7 +23,7 @@ from pyspark.sql.types import IntegralType, NumericType
 
 from hearth.functions.exprs import to_num
 from hearth.operators.quantiles import quantile_columns
-from hearth.session import checkpoint_dir
+from hearth.session import checkpoint_dir, cut_lineage
 
 
 
@@ -80,7 +80,7 @@ def medians(df: DataFrame, cols: Sequence[str]) -> dict:
     """Exact (interpolated) median per column, in one plan over all columns."""
     if not cols:
         return {}
-    row = quantile_columns(df, [], [F.count(F.lit(1)).alias("_n")], [(to_num(F.col(f"`{c}`")), 0.5, c) for c in cols]).first()
+    row = quantile_columns(df, [], [F.count(F.lit(1)).alias("_n")], [(to_num(F.col(f"`{c}`")), 0.5, c) for c in cols], needs=[]).first()
     return {c: row[c] for c in cols}
 
 
@@ -232,7 +232,7 @@ class GroupMedianImputer(Estimator, _StatsParams, DefaultParamsReadable, Default
         if g in df.columns:
             path = f"{checkpoint_dir(df.sparkSession)}/group-medians-{uuid.uuid4().hex}"
             keyed = df.filter(F.col(g).isNotNull()).select(F.col(g).cast("string").alias("g"), to_num(c).alias("_x"))
-            grp = quantile_columns(keyed, ["g"], [F.count(F.lit(1)).alias("_n")], [("_x", 0.5, "m")])
+            grp = quantile_columns(keyed, ["g"], [F.count(F.lit(1)).alias("_n")], [("_x", 0.5, "m")], needs=[])
             grp.filter(F.col("m").isNotNull()).select("g", "m").write.parquet(path)
             m._set(table=path)
         return m
@@ -244,9 +244,12 @@ def group_median_fill(df: DataFrame, c: str, by: str, fit_on: DataFrame | None =
     The statistics table has one row per level (AQE broadcasts it if small)."""
     src = fit_on if fit_on is not None else df
     x = to_num(c)
-    rows = [F.count(F.lit(1)).alias("_n")]
-    grp = quantile_columns(src.filter(F.col(by).isNotNull()), [by], rows, [(x, 0.5, "_gm")]).drop("_n")
-    glob = quantile_columns(src, [], rows, [(x, 0.5, "_glob")]).drop("_n")
+    # every row counts for its level and for the whole: both medians from the same passes
+    cells = F.explode(F.array(F.struct(F.lit(True).alias("_all"), F.lit(None).cast(src.schema[by].dataType).alias("_by")), F.struct(F.lit(False).alias("_all"), F.col(by).alias("_by"))))
+    both = src.select(x.alias("_x"), cells.alias("_c")).select("_x", "_c.*").filter(F.col("_all") | F.col("_by").isNotNull())
+    both = cut_lineage(quantile_columns(both, ["_all", "_by"], [F.count(F.lit(1)).alias("_n")], [("_x", 0.5, "_m")], needs=[]).drop("_n"))
+    grp = both.filter(~F.col("_all")).select(F.col("_by").alias(by), F.col("_m").alias("_gm"))
+    glob = both.agg(F.max(F.when(F.col("_all"), F.col("_m"))).alias("_glob"))
     j = df.join(grp, by, "left").join(F.broadcast(glob), how="inner")
     return j.withColumn(c, F.coalesce(to_num(c), F.col("_gm"), F.col("_glob"))) \
             .drop("_gm", "_glob")

@@ -39,7 +39,7 @@ def box_summary(df: DataFrame, c: str, by: str) -> DataFrame:
     """M3: quartiles, median and 1.5*IQR whiskers per level.  Two passes:
     quartiles per level, then the extreme values inside the whisker fences."""
     from hearth.operators.quantiles import with_quantiles
-    q = with_quantiles(df, [by], [F.count(F.col(c)).alias("n")], [(c, [0.25, 0.5, 0.75], "_q")])
+    q = with_quantiles(df, [by], [F.count(F.col(c)).alias("n")], [(c, [0.25, 0.5, 0.75], "_q")], needs=[c])
     q = q.select(by, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
     q = q.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
@@ -140,7 +140,8 @@ def spearman(df: DataFrame, cols: Sequence[str], target: str, min_pairs: int = 2
     full, gaps = [x for x in names if held[x] == rows], [x for x in names if held[x] < rows]
     parts = []
     if full:
-        j = pairs(with_average_rank(wide, [], "y", "_by", "_ry", levels), full, "_ry")
+        ranked = cut_lineage(with_average_rank(wide.select("y", "_by", *full, *[f"_b{x}" for x in full]), [], "y", "_by", "_ry", levels))
+        j = pairs(ranked, full, "_ry")
         parts.append(with_average_rank(j, ["feature"], "_x", "_bx", "_rx", levels))
     if gaps:
         j = with_average_rank(pairs(wide, gaps, "y", "_by"), ["feature"], "y", "_by", "_ry", levels)

@@ -47,14 +47,13 @@ def _value(c: str | Column) -> Column:
 def _counted(df: DataFrame, base: DataFrame, by: list[str], specs: list) -> DataFrame:
     """``by, i, place, open, x, c, least, most``: cells of every group and column in the order of
     ``place`` and ``x``.  An open cell is one value inside a bracket, any other an interval."""
-    rows = _join(df.select(*by, *[x.alias(f"_v{i}") for i, (x, _, _) in enumerate(specs)]),
-                 base.select(*by, *[f"_s{i}" for i in range(len(specs))]), by)
+    rows = _join(df.select(*by, *[f"_v{i}" for i in range(len(specs))]), base.select(*by, *[f"_s{i}" for i in range(len(specs))]), by)
 
     def interval(i: int) -> Column:
         v, m = F.col(f"_v{i}"), len(specs[i][1])
-        if m > 16:
+        if m > 16:  # else compiled comparisons, which are faster
             lows, highs = F.slice(f"_s{i}", 1, m), F.slice(f"_s{i}", m + 1, m)
-            above, below = at_or_below(lows, v), at_or_below(highs, v, strict=True)
+            above, below = at_or_below(lows, v, most=m), at_or_below(highs, v, strict=True, most=m)
         else:
             bounds = [F.get(f"_s{i}", F.lit(j)) for j in range(2 * m)]
             above = sum(((v >= e).cast("int") for e in bounds[1:m]), (v >= bounds[0]).cast("int"))
@@ -70,15 +69,15 @@ def _counted(df: DataFrame, base: DataFrame, by: list[str], specs: list) -> Data
 
 def _wanted(specs: list) -> Column:
     """The positions (b, upper, k) that fall into a cell with ``at`` rows before it, of ``n`` rows."""
-    lists = []
-    for _, probs, _ in specs:
-        h = [(F.col("n") - 1) * F.lit(p) for p in probs]
-        lists.append(F.array(*[F.struct(F.lit(b).alias("b"), F.lit(up).alias("upper"), (F.ceil(x) if up else F.floor(x)).alias("k"), x.alias("h"))
-                               for b, x in enumerate(h) for up in (False, True)]))
-    own = lists[0]
-    for i, more in enumerate(lists[1:], 1):
-        own = F.when(F.col("i") == i, more).otherwise(own)
-    return F.filter(own, lambda w: (F.col("at") <= w["k"]) & (w["k"] < F.col("at") + F.col("c")))
+    probs = F.array(*[F.lit(p) for p in specs[0][1]])
+    for i, (_, more, _) in enumerate(specs[1:], 1):
+        probs = F.when(F.col("i") == i, F.array(*[F.lit(p) for p in more])).otherwise(probs)
+
+    def positions(p: Column, b: Column) -> Column:
+        h = (F.col("n") - 1) * p
+        return F.array(*[F.struct(b.alias("b"), F.lit(up).alias("upper"), (F.ceil(h) if up else F.floor(h)).alias("k"), h.alias("h")) for up in (False, True)])
+
+    return F.filter(F.flatten(F.transform(probs, positions)), lambda w: (F.col("at") <= w["k"]) & (w["k"] < F.col("at") + F.col("c")))
 
 
 def _ranked(cells: DataFrame, by: list[str], *order: str) -> DataFrame:
@@ -117,26 +116,29 @@ def _narrowed(cells: DataFrame, by: list[str], specs: list) -> DataFrame:
         cells = cut_lineage(shut.unionByName(own))
 
 
-def with_quantiles(df: DataFrame, by: Sequence[str], aggs: list, qspecs: list) -> DataFrame:
+def with_quantiles(df: DataFrame, by: Sequence[str], aggs: list, qspecs: list, needs: Sequence[str] | None = None) -> DataFrame:
     """Grouped aggregate ``aggs`` plus quantile arrays ``qspecs`` =
     [(value column, probs, output name)]; NULL and NaN are no values, a group
-    without values has a NULL array.  The aggregate is written; the rest is part of
-    the caller's plan, unless brackets must be narrowed."""
+    without values has a NULL array.
+
+    ``needs`` names the columns that ``aggs`` read (None: all); they, the groups
+    and the values are written first, since sketch and counts both read them."""
     by = list(by)
-    specs = [(_value(c), sorted({float(p) for p in probs}), name) for c, probs, name in qspecs]
+    specs = [(f"_v{i}", sorted({float(p) for p in probs}), name) for i, (_, probs, name) in enumerate(qspecs)]
     given = [[float(p) for p in probs] for _, probs, _ in qspecs]
+    kept = dict.fromkeys([*by, *(df.columns if needs is None else needs)])
+    df = cut_lineage(df.select(*[F.col(f"`{c}`") for c in kept], *[_value(c).alias(v) for (c, _, _), (v, _, _) in zip(qspecs, specs)]))
     width = BRACKET / SKETCH_ACCURACY
+    bounded = 2.5 * width * df.count() <= MOST
     while True:
-        sketches = [F.percentile_approx(x, [max(0.0, p - width) for p in probs] + [min(1.0, p + width) for p in probs], SKETCH_ACCURACY).alias(f"_s{i}")
-                    for i, (x, probs, _) in enumerate(specs)]
-        base = cut_lineage(df.groupBy(*by).agg(*aggs, *sketches, *[F.count(x).alias(f"_n{i}") for i, (x, _, _) in enumerate(specs)]))
-        cells = _counted(df, base, by, specs)
-        counts = [f"_n{i}" for i in range(len(specs))]
-        most = base.agg(F.max(F.greatest(*counts) if len(counts) > 1 else F.col(counts[0]))).first()[0] or 0
-        if 2.5 * width * most <= MOST:
-            found = _found(cells, by, specs)
+        sketches = [F.percentile_approx(v, [max(0.0, p - width) for p in probs] + [min(1.0, p + width) for p in probs], SKETCH_ACCURACY).alias(f"_s{i}")
+                    for i, (v, probs, _) in enumerate(specs)]
+        base = df.groupBy(*by).agg(*aggs, *sketches)
+        if bounded:
+            found = _found(_counted(df, base, by, specs), by, specs)
             break
-        cells = cut_lineage(cells)
+        base = cut_lineage(base)
+        cells = cut_lineage(_counted(df, base, by, specs))
         if width < 1 and not _found(cells, by, specs).filter("value is null").isEmpty():
             width *= 8
             continue
@@ -152,21 +154,24 @@ def with_quantiles(df: DataFrame, by: Sequence[str], aggs: list, qspecs: list) -
     def array_of(i: int, name: str) -> Column:
         got = F.array_sort(F.collect_list(F.when(F.col("i") == i, F.col("s"))))  # one entry a probability
         places = [specs[i][1].index(p) for p in given[i]]
-        return F.when(F.size(got) > 0, F.array(*[got[j]["q"] for j in places])).alias(name)
+        in_order = F.transform(got, lambda s: s["q"])
+        if places != list(range(len(places))):
+            in_order = F.transform(F.array(*[F.lit(j) for j in places]), lambda j: F.get(F.transform(got, lambda s: s["q"]), j))
+        return F.when(F.size(got) > 0, in_order).alias(name)
 
     table = found.groupBy(*by).agg(*[array_of(i, name) for i, (_, _, name) in enumerate(specs)])
-    return _join(base.drop(*[f"_{k}{i}" for i in range(len(specs)) for k in "sn"]), table, by, "left")
+    return _join(base.drop(*[f"_s{i}" for i in range(len(specs))]), table, by, "left")
 
 
 def exact_quantiles(df: DataFrame, col: str | Column, probs: Sequence[float], by: Sequence[str] = (),
                     out: str = "q") -> DataFrame:
     """Quantiles (numpy/pandas default) per group as an array in ``probs``
     order: (by..., out); one row without groups."""
-    return with_quantiles(df, by, [F.count(F.lit(1)).alias("_rows")], [(col, list(probs), out)]).drop("_rows")
+    return with_quantiles(df, by, [F.count(F.lit(1)).alias("_rows")], [(col, list(probs), out)], needs=[]).drop("_rows")
 
 
-def quantile_columns(df: DataFrame, by: Sequence[str], aggs: list, columns: list) -> DataFrame:
+def quantile_columns(df: DataFrame, by: Sequence[str], aggs: list, columns: list, needs: Sequence[str] | None = None) -> DataFrame:
     """``with_quantiles`` for single quantiles [(value column, prob, output name)] as plain columns."""
-    g = with_quantiles(df, by, aggs, [(c, [p], f"_q{i}") for i, (c, p, _) in enumerate(columns)])
+    g = with_quantiles(df, by, aggs, [(c, [p], f"_q{i}") for i, (c, p, _) in enumerate(columns)], needs)
     return g.withColumns({name: F.get(f"_q{i}", F.lit(0)) for i, (_, _, name) in enumerate(columns)}).drop(
         *[f"_q{i}" for i in range(len(columns))])

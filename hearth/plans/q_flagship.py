@@ -99,7 +99,7 @@ err AS (
 
 
 def _flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    err = oof_errors(spark, sf_dir)
+    err = oof_errors(spark, sf_dir, keep=[])
     b = quantile_bins(err, "y_true", 10, out="bin", label="bin_label")
     seg = segment_errors(b, ["bin", "bin_label"])
     return seg.select("bin", "bin_label", "n", rnd("mae", 2).alias("mae"),
