@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: elements whose content is never text of the page
-_SILENT = "script|style|noscript|template|textarea|select|option|svg|math|iframe|object|canvas|audio|video|title|button|label"
+_SILENT = "script|style|noscript|template|textarea|select|option|svg|iframe|object|canvas|audio|video|title"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_SILENT})\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</\1\s*>|\Z))"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|([^<]+)|<", re.S | re.I)

@@ -6,8 +6,8 @@ A cutoff is certified if, were its true false-rejection rate ``alpha / rules`` o
 mistakes would have had a probability of at most ``delta / (strata * rules)`` (an exact binomial
 bound, Bonferroni over strata and rules). Mistakes only grow as a cutoff gets stricter, so the
 cutoffs form a fixed sequence that ends at the first failure and need no further correction.
-All certified cutoffs hold at once with confidence ``1 - delta``; the one used is the loosest of
-those with the best ``bad documents rejected - weight * good documents rejected`` (as shares).
+All certified cutoffs hold at once with confidence ``1 - delta``; the strictest is used. The labels
+serve the certificate alone, no other choice is made with them.
 A stratum with too few labels to certify anything is judged by the base rules alone.
 """
 
@@ -82,7 +82,7 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.aggregate(steps, start, add, lambda a: a["term"] + F.log(a["sum"]))
 
 
-def certified_cutoffs(labelled: DataFrame, alpha: float = 0.02, delta: float = 0.05, weight: float = 200.0) -> DataFrame:
+def certified_cutoffs(labelled: DataFrame, alpha: float = 0.01, delta: float = 0.05) -> DataFrame:
     """``(stratum, rule, cutoff)``: reject where the signal's bin is above the cutoff.
 
     ``labelled`` has ``stratum``, the ``bin_*`` columns and ``quality`` (1 good, 0 bad).
@@ -102,12 +102,11 @@ def certified_cutoffs(labelled: DataFrame, alpha: float = 0.02, delta: float = 0
     rate = alpha / rules
     at = at.filter(F.col("wrong") <= F.col("n_good") * rate).crossJoin(F.broadcast(strata))
     passed = binomial_tail(F.col("wrong"), F.col("n_good"), rate) <= F.log(F.lit(delta) / (F.col("strata") * rules))
-    gain = F.col("right") / F.greatest("n_bad", F.lit(1)) - F.lit(weight) * F.col("wrong") / F.greatest("n_good", F.lit(1))
-    best = at.filter(passed).groupBy("stratum", "rule").agg(F.max(F.struct(gain.alias("gain"), "cutoff")).alias("best"))
-    return best.filter("best.gain > 0").select("stratum", "rule", "best.cutoff")
+    # the strictest one that the certificate allows; a rule that no bad row breaks stays unused
+    return at.filter(passed & (F.col("right") > 0)).groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, weight: float = 200.0,
+def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.01, delta: float = 0.05,
           id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", label_col: str = "quality", key_col: str | None = None) -> DataFrame:
     """The signals of every row with ``kept`` and the names of the rules that reject it (``failed``).
 
@@ -118,7 +117,7 @@ def judge(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float
     """
     base = materialize(signals(docs, id_col, text_col, stratum_col, key_col), "signals")
     known = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("quality"))
-    cutoffs = certified_cutoffs(base.join(known, "id"), alpha, delta, weight)
+    cutoffs = certified_cutoffs(base.join(known, "id"), alpha, delta)
     # the table has a row only for strata with enough labels to certify a cutoff
     table = materialize(cutoffs.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cut")), "cutoffs")
     over = F.array_compact(F.array(*[F.when(F.col(f"bin_{r}") > F.col("cut")[r], F.lit(r)) for r in RULES]))

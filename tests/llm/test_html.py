@@ -28,6 +28,8 @@ def test_pages_of_the_table(spark):
     (f"<div><p>{LONG}</p></div><div><a href=1>one</a> <a href=2>two and more links here to fill the block with link text until it is long</a></div>", LONG),
     (f"<article><p hidden>{LONG}</p><p style='display:none'>{LONG}</p><p class=advert>{LONG}</p><p class=lead>{LONG}</p></article>", LONG),
     (f"<article><ul><li>{LONG}<li>two</ul><table><tr><td>x<td>y</table></article>", f"{LONG}\ntwo\nx\ny"),
+    ("<article>The law is <math><mi>E</mi> = <mn>mc</mn></math> here, <label>as noted</label> by <button type=button>all</button></article>", "The law is E = mc here, as noted by all"),
+    (f"<body><div><p>{LONG}</p><p>{LONG} <math>a + b</math></p></div><form><label>Name</label><button>Send</button></form></body>", f"{LONG}\n{LONG} a + b"),
     (f"<section class=comments><p>{LONG}</p></section><div class='sidebar'>{LONG}</div>", ""),
     ("<article>" + f"<p>{LONG}</p>" * 3000 + "</article>", "\n".join([LONG] * 3000)),
 ])

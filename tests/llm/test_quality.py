@@ -36,10 +36,11 @@ def test_cutoffs_hold_the_certified_rate(spark):
     bad = spark.range(2000).select(F.lit("a").alias("stratum"), F.lit(0).alias("quality"), F.lit(300).alias("odd"))
     few = spark.range(100).select(F.lit("b").alias("stratum"), (F.col("id") % 2).cast("int").alias("quality"), F.lit(9).alias("odd"))
     rows = good.unionByName(bad).unionByName(few).select("stratum", "quality", *[(F.col("odd") if c == "bin_symbols" else v).alias(c) for c, v in bins.items()])
-    # one in 200 good rows lies above 0: too many for 0.02 / 6 a rule, so the cutoff is 1
+    # one in 200 good rows lies above 0: too many for 0.01 / 6 a rule, so the cutoff is 1
     assert [tuple(r) for r in certified_cutoffs(rows).collect()] == [("a", "symbols", 1)]
-    loose = certified_cutoffs(rows, alpha=0.2, weight=1.0).collect()
-    assert [tuple(r) for r in loose] == [("a", "symbols", 1)]
+    # at 0.2 / 6 one in 200 is allowed, and the strictest cutoff is taken
+    loose = certified_cutoffs(rows, alpha=0.2).collect()
+    assert [tuple(r) for r in loose] == [("a", "symbols", 0)]
 
 
 def test_verdicts_and_edges(spark, docs, no_docs, doc_rows):
