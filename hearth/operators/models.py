@@ -18,7 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReader, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,7 +101,55 @@ def transform_isolated(members: Sequence, df: DataFrame, names: Sequence[str],
     return cur.select("_orig.*", *done)
 
 
-class MeanEnsembleModel(Model, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
+class _PartsWriter(MLWriter):
+    """Writes a model's parameters, ``settings()`` and its ``parts()``, each in a folder of its own."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        parts = self.model.parts()
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession, extraMetadata={"parts": list(parts), "settings": self.model.settings()})
+        for name, part in parts.items():
+            # a part may hold further models: it is written by its own writer
+            writer = part.write()
+            (writer.overwrite() if self.shouldOverwrite else writer).session(self.sparkSession).save(f"{path}/parts/{name}")
+
+
+class _PartsReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        meta = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        parts = {name: DefaultParamsReader.loadParamsInstance(f"{path}/parts/{name}", self.sparkSession) for name in meta["parts"]}
+        model = self.cls.from_parts(parts, meta["settings"])
+        model._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(model, meta)
+        return model
+
+
+class CompositeModel(Model):
+    """A model made of fitted models, saved and loaded with all of them."""
+
+    def write(self) -> MLWriter:
+        return _PartsWriter(self)
+
+    def save(self, path: str) -> None:
+        self.write().save(path)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _PartsReader(cls)
+
+    @classmethod
+    def load(cls, path: str):
+        return cls.read().load(path)
+
+
+class MeanEnsembleModel(CompositeModel, HasPredictionCol):
     """F5 fitted: mean of the member predictions (map-only)."""
 
     def __init__(self, members: list | None = None, predictionCol: str = "prediction"):
@@ -109,6 +157,16 @@ class MeanEnsembleModel(Model, HasPredictionCol, DefaultParamsReadable, DefaultP
         self.members = members or []
         self._set(predictionCol=predictionCol)
 
+    def parts(self) -> dict:
+        return {f"member{i}": m for i, m in enumerate(self.members)}
+
+    def settings(self) -> dict:
+        return {}
+
+    @classmethod
+    def from_parts(cls, parts: dict, settings: dict) -> MeanEnsembleModel:
+        return cls([parts[f"member{i}"] for i in range(len(parts))])
+
     def _transform(self, df: DataFrame) -> DataFrame:
         names = [f"_m{i}" for i in range(len(self.members))]
         out = transform_isolated(self.members, df, names)
@@ -130,12 +188,23 @@ class VotingMean(Estimator, HasPredictionCol):
                                  self.getOrDefault(self.predictionCol))
 
 
-class StackingModel(Model):
-    """F6 fitted: base models refit on all rows, meta ridge on their outputs."""
+class StackingModel(CompositeModel):
+    """F6 fitted: base models refit on all rows, meta ridge on their outputs.
+    ``folds`` says how the meta model's rows were made (id, fold column, k, alpha)."""
 
-    def __init__(self, bases: list, meta, base_cols: list[str]):
+    def __init__(self, bases: list, meta, base_cols: list[str], folds: dict | None = None):
         super().__init__()
-        self.bases, self.meta, self.base_cols = bases, meta, base_cols
+        self.bases, self.meta, self.base_cols, self.folds = bases, meta, base_cols, folds or {}
+
+    def parts(self) -> dict:
+        return {f"base{i}": m for i, m in enumerate(self.bases)} | {"meta": self.meta}
+
+    def settings(self) -> dict:
+        return {"base_cols": self.base_cols, "folds": self.folds}
+
+    @classmethod
+    def from_parts(cls, parts: dict, settings: dict) -> StackingModel:
+        return cls([parts[f"base{i}"] for i in range(len(parts) - 1)], parts["meta"], settings["base_cols"], settings["folds"])
 
     def _transform(self, df: DataFrame) -> DataFrame:
         out = transform_isolated(self.bases, df, self.base_cols)
@@ -169,7 +238,7 @@ class Stacking(Estimator):
         meta_in = VectorAssembler(inputCols=cols, outputCol="_meta_x").transform(oof)
         meta = Ridge(alpha=self.meta_alpha, featuresCol="_meta_x", labelCol=self.label).fit(meta_in)
         bases = [f().fit(df) for f in self.bases]
-        return StackingModel(bases, meta, cols)
+        return StackingModel(bases, meta, cols, {"id_col": self.id_col, "fold_col": self.fold_col, "k": self.k, "meta_alpha": self.meta_alpha})
 
 
 def blend_mean(preds: DataFrame, id_col: str = "id", model_col: str = "model",

@@ -126,6 +126,40 @@ def _j5(spark, sf):
     return ct.reload_consistency(before, after, "id", "prediction", 1e-12)
 
 
+def _reloaded(spark, sf, name, fit):
+    """J5 of a composite model: fitted on four fifths, scored before and after save and load."""
+    from hearth.operators.folds import assign_folds, holdout_split
+    from hearth.plans.q_models import model_frame
+    from hearth.sources.io import load_model, save_model
+    d = assign_folds(model_frame(spark, sf), "id", 3, 42)
+    train, hold = holdout_split(d, "id", 0.2, 42)
+    model = fit(d, train)
+    path = save_model(model, os.path.join(checkpoint_dir(spark), "models"), name, "2025-01-02_000000")
+    return ct.reload_consistency(model.transform(hold), load_model(path).transform(hold), "id", "prediction", 1e-6)
+
+
+_RELOADED_SQL = f"""WITH {SALES_CTE.strip()}
+SELECT 0.0::DOUBLE AS max_abs_diff, COUNT(*) AS rows, true AS consistent
+FROM sales WHERE {hash_sql('id')} % 100 < 20
+"""
+
+
+@query("j5_reload_voting", _RELOADED_SQL)
+def _j5_voting(spark, sf):
+    from hearth.operators import models
+    from hearth.plans.q_models import pipe
+    return _reloaded(spark, sf, "voting_j5", lambda d, train: models.VotingMean([
+        pipe(d, lambda: models.ridge(6.0), True), pipe(d, lambda: models.extra_trees(5, max_depth=4), False)]).fit(train))
+
+
+@query("j5_reload_stacking", _RELOADED_SQL)
+def _j5_stacking(spark, sf):
+    from hearth.operators import models
+    from hearth.plans.q_models import pipe
+    return _reloaded(spark, sf, "stacking_j5", lambda d, train: models.Stacking([
+        pipe(d, lambda: models.ridge(12.0), True), pipe(d, lambda: models.boosted_depth(5, step=0.1), False)], "id", "fold", k=3).fit(train))
+
+
 @query("j6_detect_log_space", f"""{P},
 t AS (SELECT quantile_cont(price, 0.5) AS tm FROM sales)
 SELECT model, round(quantile_cont(pred_log, 0.5), 9) AS pred_median, round(MAX(t.tm), 3) AS target_median,

@@ -125,7 +125,7 @@ def write_submission(preds: DataFrame, id_col: str, pred_col: str, path: str,
 
 
 def save_model(model, root: str, name: str, run_id: str) -> str:
-    """Persist a fitted PipelineModel, versioned + a 'current' copy."""
+    """Persist a fitted model (pipeline, voting mean, stacking), versioned + a 'current' copy."""
     versioned = os.path.join(root, name, run_id, "model")
     model.write().overwrite().save(versioned)
     model.write().overwrite().save(os.path.join(root, name, "current", "model"))
@@ -133,8 +133,9 @@ def save_model(model, root: str, name: str, run_id: str) -> str:
 
 
 def load_model(path: str):
-    from pyspark.ml import PipelineModel
-    return PipelineModel.load(path)
+    """The model saved at ``path``, as the class that wrote it."""
+    from pyspark.ml.util import DefaultParamsReader
+    return DefaultParamsReader.loadParamsInstance(path, SparkSession.active())
 
 
 # Canonical stage names of the experiment summary.

@@ -84,6 +84,16 @@ def test_voting_and_stacking_fit(spark, frame):
     s = models.Stacking([pipe(d, lambda: models.ridge(12.0))], "id", "fold", 3).fit(tr)
     out = s.transform(ho)
     assert out.count() == ho.count() and "prediction" in out.columns
+    loaded = {}
+    for name, model in (("voting", v), ("stacking", s)):
+        for _ in range(2):  # the second time over the first
+            path = io.save_model(model, _root(), name, "2025-01-01_000000")
+        loaded[name] = io.load_model(path)
+        assert type(loaded[name]) is type(model) and loaded[name].uid == model.uid
+        r = contract.reload_consistency(model.transform(ho), loaded[name].transform(ho), "id", "prediction", 1e-9).first()
+        assert r["consistent"] and r["rows"] == ho.count()
+    assert len(loaded["voting"].members) == 2
+    assert loaded["stacking"].folds == {"id_col": "id", "fold_col": "fold", "k": 3, "meta_alpha": 1.0} and loaded["stacking"].base_cols == s.base_cols
 
 
 def test_early_stopping_iterations(spark, frame):
