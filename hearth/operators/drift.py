@@ -97,8 +97,11 @@ def categorical_drift(ref: DataFrame, cur: DataFrame, cols: Sequence[str], top_k
     rate (current non-null rows with a level absent from the reference, over
     all current rows), score = l1 + 3 unknown + 2 |delta null rate|.
     Top-k ties: higher count first, then lower value."""
-    rl, rt = _level_counts(ref, cols, "ref")
-    cl, ct = _level_counts(cur, cols, "cur")
+    return _categorical_scores(*_level_counts(ref, cols, "ref"), *_level_counts(cur, cols, "cur"), top_k)
+
+
+def _categorical_scores(rl: DataFrame, rt: DataFrame, cl: DataFrame, ct: DataFrame, top_k: int) -> DataFrame:
+    """K2 of the level counts and totals of two sides."""
     # top-k levels of each side: the literal bound lets Catalyst plan a partial
     # WindowGroupLimit, so a high-cardinality feature ships k rows per task
     w_r = Window.partitionBy("feature").orderBy(F.desc("ref_cnt"), F.asc("v"))
@@ -141,14 +144,50 @@ def drift_report(ref: DataFrame, cur: DataFrame, cols: Sequence[str] | None = No
     num = [c for c in cols if c in cur.columns and isinstance(ref.schema[c].dataType, NumericType)]
     cat = [c for c in cols if c in cur.columns and c not in num]
     absent = [c for c in cols if c not in cur.columns]
-    spark = ref.sparkSession
-    parts = []
+    scored = ([numeric_drift(ref, cur, num)] if num else []) + ([categorical_drift(ref, cur, cat, top_k)] if cat else [])
+    return _report(ref.sparkSession, scored, absent, worst)
+
+
+def drift_from_profile(profile: DataFrame, levels: DataFrame, cur: DataFrame, top_k: int = 10,
+                       worst: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """K3 against a stored reference profile (K4) instead of the reference
+    rows: the same three tables.  Columns are typed as in the profile; of a
+    profiled column that became text, only what reads as numbers counts."""
+    known = {r["feature"]: r["dtype"] for r in profile.select("feature", "dtype").collect()}  # one row a column
+    num = [c for c, t in known.items() if t == "numeric" and c in cur.columns]
+    cat = [c for c, t in known.items() if t != "numeric" and c in cur.columns]
+    scored = []
     if num:
-        parts.append(numeric_drift(ref, cur, num).select(
-            "feature", "type", F.lit("ok").alias("status"), "drift_score"))
+        r = profile.filter(F.col("feature").isin(num)).select(
+            "feature", F.col("rows").alias("ref_rows"), F.col("n").alias("ref_n"), F.col("mean").alias("ref_mean"), F.col("std").alias("ref_std"),
+            F.col("null_rate").alias("ref_na_rate"), F.array("q05", "q50", "q95").alias("ref_q"))
+        scored.append(_numeric_scores(r, _named(_num_stats(_long_num(cur, num), ["feature"]), "cur")))
     if cat:
-        parts.append(categorical_drift(ref, cur, cat, top_k).select(
-            "feature", "type", F.lit("ok").alias("status"), "drift_score"))
+        rl = levels.filter(F.col("feature").isin(cat)).select("feature", F.col("level").alias("v"), F.col("count").alias("ref_cnt"))
+        rt = profile.filter(F.col("feature").isin(cat)).select("feature", F.col("rows").alias("ref_rows"), F.col("null_rate").alias("ref_na_rate"), F.col("n").alias("ref_nonnull"))
+        scored.append(_categorical_scores(rl, rt, *_level_counts(cur, cat, "cur"), top_k))
+    return _report(cur.sparkSession, scored, [c for c in known if c not in cur.columns], worst)
+
+
+def write_profile(profile: DataFrame, levels: DataFrame, path: str) -> None:
+    """K4 sink: the profile and its level table under one folder."""
+    profile.coalesce(1).write.mode("overwrite").parquet(f"{path}/profile")
+    levels.write.mode("overwrite").parquet(f"{path}/levels")
+
+
+def read_profile(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    """K4 source: (profile, levels) as written."""
+    return spark.read.parquet(f"{path}/profile"), spark.read.parquet(f"{path}/levels")
+
+
+def write_report(report: tuple[DataFrame, DataFrame, DataFrame], path: str) -> None:
+    """K3 sink: the per-column table, the summary and the ranking as JSON."""
+    for name, part in zip(("columns", "summary", "ranking"), report):
+        part.coalesce(1).write.mode("overwrite").json(f"{path}/{name}")
+
+
+def _report(spark, scored: Sequence[DataFrame], absent: Sequence[str], worst: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    parts = [s.select("feature", "type", F.lit("ok").alias("status"), "drift_score") for s in scored]
     if absent:
         parts.append(spark.createDataFrame(
             [(c, None, "missing_in_current", MISSING_SCORE) for c in absent],
@@ -167,8 +206,8 @@ def profile_stats(df: DataFrame, cols: Sequence[str] | None = None
                   ) -> tuple[DataFrame, DataFrame]:
     """K4: reference profile so drift needs no raw reference.
 
-    Returns (profile, levels): one profile row per column (numeric: mean,
-    std, q05/q50/q95, null rate; categorical: null rate and number of levels)
+    Returns (profile, levels): one profile row per column (rows, values n,
+    numeric: mean, std, q05/q50/q95, null rate; categorical: null rate and number of levels)
     and a long level table (feature, level, count).  Levels stay a table, not
     a per-feature map, so a high-cardinality column never becomes one row."""
     from pyspark.sql.types import NumericType
@@ -181,7 +220,7 @@ def profile_stats(df: DataFrame, cols: Sequence[str] | None = None
     if num:
         s = _named(_num_stats(_long_num(df, num), ["feature"]), "p")
         parts.append(s.select(
-            "feature", F.lit("numeric").alias("dtype"), F.col("p_rows").alias("rows"),
+            "feature", F.lit("numeric").alias("dtype"), F.col("p_rows").alias("rows"), F.col("p_n").alias("n"),
             F.col("p_na_rate").alias("null_rate"), F.col("p_mean").alias("mean"),
             F.col("p_std").alias("std"), F.col("p_q")[0].alias("q05"),
             F.col("p_q")[1].alias("q50"), F.col("p_q")[2].alias("q95"),
@@ -191,7 +230,7 @@ def profile_stats(df: DataFrame, cols: Sequence[str] | None = None
         levels = lv.select("feature", F.col("v").alias("level"), F.col("p_cnt").alias("count"))
         nl = lv.groupBy("feature").agg(F.count(F.lit(1)).alias("n_levels"))
         parts.append(tot.join(nl, "feature", "left").select(
-            "feature", F.lit("categorical").alias("dtype"), F.col("p_rows").alias("rows"),
+            "feature", F.lit("categorical").alias("dtype"), F.col("p_rows").alias("rows"), F.col("p_nonnull").alias("n"),
             F.col("p_na_rate").alias("null_rate"),
             *[F.lit(None).cast("double").alias(k) for k in ("mean", "std", "q05", "q50", "q95")],
             F.coalesce("n_levels", F.lit(0)).alias("n_levels")))

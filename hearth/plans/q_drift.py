@@ -140,7 +140,7 @@ def _k2u(spark, sf):
     return _k2_out(drift.categorical_drift(ref, cur, ["event_type"], 10))
 
 
-@query("k3_drift_report", f"""{SPLIT},
+K3_SQL = f"""{SPLIT},
 r AS ({_side_sql('ref', 'r', NUM)}),
 c AS ({_side_sql('cur', 'c', ['qty', 'ext', 'acctbal', 'quality'])}),{_cat_sql('ref', 'cur', CAT)},
 tab AS (
@@ -152,13 +152,28 @@ tab AS (
   FROM catd
   UNION ALL SELECT 'disc', NULL, 'missing_in_current', 10.0)
 SELECT feature, type, status, round(drift_score, 9) AS drift_score FROM tab
-""")
+"""
+
+
+@query("k3_drift_report", K3_SQL)
 def _k3(spark, sf):
     ref, cur = sales_split(spark, sf)
     table, _overall, _rank = drift.drift_report(ref.select(*NUM, *CAT), cur.drop("disc"))
     return table.select("feature", "type", "status", rnd("drift_score", 9).alias("drift_score"))
 
 
+@query("k3_drift_from_profile", K3_SQL)
+def _k3p(spark, sf):
+    """The reference is profiled and stored; the report reads the profile and the current window only."""
+    ref, cur = sales_split(spark, sf)
+    path = f"{checkpoint_dir(spark)}/profiles/{uuid.uuid4().hex}"
+    drift.write_profile(*drift.profile_stats(ref.select(*NUM, *CAT)), path)
+    report = drift.drift_from_profile(*drift.read_profile(spark, path), cur.drop("disc"))
+    drift.write_report(report, f"{path}/report")
+    table = spark.read.schema(report[0].schema).json(f"{path}/report/columns")
+    return table.select("feature", "type", "status", rnd("drift_score", 9).alias("drift_score"))
+
+
 @query("k3_drift_report_overall", f"""{SPLIT},
 r AS ({_side_sql('ref', 'r', NUM)}),
 c AS ({_side_sql('cur', 'c', ['qty', 'ext', 'acctbal', 'quality'])}),{_cat_sql('ref', 'cur', CAT)},
