@@ -1,19 +1,23 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and word beginnings. The examples are a bounded sample of the labelled rows; the
-terms kept are those whose presence differs between toxic and other examples beyond chance. Their
-document frequencies come from all documents. Every example is a vector of log term frequency by
-inverse document frequency plus one constant feature, so that texts without any kept term are near
-each other and far from the rest. Equal vectors are one entry of the index with their votes.
+Terms are words. A text is the vector of all its terms, each with log term frequency by inverse
+document frequency, and one constant feature. The examples are a bounded sample of the labelled
+rows; their whole vocabulary is indexed. A term that goes with the label in the sample weighs more
+by its chi-square statistic over 1, its mean if term and label were independent; no term weighs
+less than its TF-IDF and none is left out. Document frequencies are counted over all documents:
+exactly for terms of the examples, and in ``REST`` hash buckets for terms that no example holds,
+which only add to the length of a text. Equal vectors are one entry of the index with their votes.
 
 The index holds, per term, postings in order of entry, cut in blocks of 64 entries, with the
-largest weight of every term in every block. A query takes the blocks in order of their bounds
-(query weights times block maxima) and stops when the next bound is below its k-th best cosine,
-so its neighbours are exactly those of a full comparison.
+largest weight of the term in every block; terms that more than an eighth of the entries hold have
+their postings written out as rows of numbers. A query orders the blocks by their bounds (query
+weights times block maxima), compares the first blocks, and of the others only those whose bound
+reaches its k-th best cosine, so its neighbours are exactly those of a full comparison.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -29,119 +33,106 @@ _LOWER[65:91] += 32
 _LETTER = np.zeros(256, bool)
 _LETTER[0x61:0x7B] = _LETTER[0x80:] = True
 BLOCK = 64
-#: bytes of a word that its beginnings keep
-PREFIXES = (4, 5, 6, 7, 8)
+#: buckets that count documents of terms no example holds
+REST = 1 << 18
+#: blocks compared before any is ruled out
+FIRST = 6
+#: scores of repeated texts that a task remembers
+REMEMBERED = 10_000
 _CONSTANT = 1.0
 
 
-def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all terms of the rows, and their rows."""
+def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, hash, count)`` of the different terms of every row, in order of row and hash."""
     data = _LOWER[data]
     starts, ends, first = spans_of(_LETTER[data], offsets)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    hashes, rows = [span_hashes(data, starts, ends)], [row]
-    for n in PREFIXES:
-        long = ends - starts > n
-        hashes.append(span_hashes(data, starts[long], starts[long] + n) ^ np.uint64(n))
-        rows.append(row[long])
-    return np.concatenate(hashes), np.concatenate(rows)
+    h = span_hashes(data, starts, ends)
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+    at = np.flatnonzero(new)
+    return row[at], h[at], np.diff(np.append(at, len(h)))
+
+
+def _numbers(h: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Place of every term among ``hashes``, or beyond them the bucket it is counted in."""
+    rest = len(hashes) + (h % np.uint64(REST)).astype(np.int64)
+    if not len(hashes):
+        return rest
+    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+    return np.where(hashes[at] == h, at, rest)
 
 
-def _present(docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
-    """``(keep..., terms)``: the different terms of every row."""
+def _example_terms(chosen: DataFrame) -> pa.Table:
+    """``(id, toxic, terms, counts)`` of the examples."""
     def work(batches):
         for batch in batches:
             for at, n, data, offsets in text_slices(batch, "t"):
-                h, row = _terms(data, offsets)
-                out = [as_long(np.unique(h[a:b])) for a, b in _runs(row, h, n)]
+                row, h, count = _terms(data, offsets)
+                cut = pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32())
                 part = batch.slice(at, n)
-                yield pa.record_batch([*(part.column(i) for i in range(len(keep))), pa.array(out, pa.list_(pa.int64()))], names=[*keep, "terms"])
-
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("terms", T.ArrayType(T.LongType()))])
-    return docs.select(*keep, F.col(text_col).alias("t")).mapInArrow(work, schema)
-
+                yield pa.record_batch([part.column(0), part.column(1), pa.ListArray.from_arrays(cut, pa.array(as_long(h))), pa.ListArray.from_arrays(cut, pa.array(count, pa.int64()))],
+                                      names=["id", "toxic", "terms", "counts"])
 
-def _runs(row: np.ndarray, h: np.ndarray, n: int):
-    order = np.argsort(row, kind="stable")
-    h[:] = h[order]
-    bounds = np.searchsorted(row[order], np.arange(n + 1))
-    return zip(bounds[:-1], bounds[1:])
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([chosen.schema["id"], T.StructField("toxic", T.IntegerType()), T.StructField("terms", longs), T.StructField("counts", longs)])
+    return chosen.select("id", "toxic", "t").mapInArrow(work, schema).toArrow()
 
 
-def choose_terms(sample: DataFrame, docs: DataFrame, text_col: str, max_terms: int, least: float, ratio: float) -> tuple[np.ndarray, np.ndarray]:
-    """``(hashes, idf)``: the terms that differ between the classes, and their weights.
-
-    The squared correlation of a term's presence with the label must reach ``least``, and one
-    class must have it at least ``ratio`` times as often as the other; the ``max_terms`` strongest
-    stay. Frequencies are counted over all ``docs``.
-    """
-    totals = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
-    n, t = float(totals["n"]), float(totals["t"])
-    if not t or t == n:
-        return np.zeros(0, np.uint64), np.zeros(0)
-    a, m = F.col("a").cast("double"), F.col("m").cast("double")
-    chi = F.pow(a * n - m * t, 2) / (m * (n - m) * t * (n - t))
-    in_toxic, in_clean = a / t, (m - a) / (n - t)
-    picked = (
-        sample.select("toxic", F.explode("terms").alias("h")).groupBy("h").agg(F.sum("toxic").alias("a"), F.count("*").alias("m"))
-        .filter((m < n) & (chi >= least) & ((in_toxic >= ratio * in_clean) | (in_clean >= ratio * in_toxic))).orderBy(chi.desc(), "h").limit(max_terms).select("h").collect())
-    hashes = np.sort(np.array([r["h"] for r in picked], np.int64).view(np.uint64))
-    held = _frequencies(docs, text_col, hashes)
-    rows = docs.count()
-    return hashes, np.log((1 + rows) / (1 + held)) + 1
-
-
-def _match(h: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of known terms in ``h`` and their numbers."""
-    if not len(hashes):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    maybe = np.zeros(1 << 16, bool)
-    maybe[(hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
-    at = np.flatnonzero(maybe[(h & np.uint64(0xFFFF)).astype(np.int64)])
-    number = np.minimum(np.searchsorted(hashes, h[at]), len(hashes) - 1)
-    hit = hashes[number] == h[at]
-    return at[hit], number[hit]
-
-
-def _frequencies(docs: DataFrame, text_col: str, hashes: np.ndarray) -> np.ndarray:
-    """Rows of ``docs`` that hold each term."""
+def _frequencies(docs: DataFrame, text_col: str, hashes: np.ndarray) -> tuple[np.ndarray, int]:
+    """Documents that hold each term or, after those, terms of each bucket, and all documents."""
     known = docs.sparkSession.sparkContext.broadcast(hashes)
+    size = len(hashes) + REST
 
     def work(batches):
-        total = np.zeros(len(known.value), np.int64)
+        total = np.zeros(size + 1, np.int64)
         for batch in batches:
-            for _, n, data, offsets in text_slices(batch, "t"):
-                h, row = _terms(data, offsets)
-                at, number = _match(h, known.value)
-                both = np.unique(row[at] * len(total) + number) if len(at) else at
-                total += np.bincount(both % max(1, len(total)), minlength=len(total))
+            total[size] += batch.num_rows
+            for _, _, data, offsets in text_slices(batch, "t"):
+                total += np.bincount(_numbers(_terms(data, offsets)[1], known.value), minlength=size + 1)
         there = np.flatnonzero(total)
         yield pa.record_batch([pa.array(there), pa.array(total[there])], names=["i", "n"])
 
-    out = np.zeros(len(hashes), np.int64)
-    if len(hashes):
-        for r in docs.select(F.col(text_col).alias("t")).mapInArrow(work, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
-            out[r["i"]] = r["n"]
-    return out
+    table = docs.select(F.col(text_col).alias("t")).mapInArrow(work, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size + 1, np.int64)
+    out[table["i"].to_numpy()] = table["n"].to_numpy()
+    return out[:size], int(out[size])
 
 
-def weigh(data: np.ndarray, offsets: np.ndarray, hashes: np.ndarray, idf: np.ndarray) -> list[tuple[tuple, tuple]]:
-    """For every row the numbers of its terms and their weights, of unit length with the constant.
+class Space:
+    """Weights of all terms: of those of the examples by place, of the others by bucket."""
 
-    The constant feature comes last, numbered after the terms.
-    """
-    h, row = _terms(data, offsets)
-    at, number = _match(h, hashes)
-    key, count = np.unique(row[at] * len(hashes) + number, return_counts=True) if len(at) else (at, at)
-    rows, number = (key // len(hashes), key % len(hashes)) if len(key) else (key, key)
-    weight = (1 + np.log(count)) * idf[number] if len(key) else np.zeros(0)
-    bounds = np.searchsorted(rows, np.arange(len(offsets)))
-    out = []
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        w = weight[a:b]
-        length = math.sqrt(float(w @ w) + _CONSTANT**2)
-        out.append(((*number[a:b].tolist(), len(hashes)), (*np.round(w / length, 9).tolist(), round(_CONSTANT / length, 9))))
-    return out
+    def __init__(self, hashes: np.ndarray, weight: np.ndarray):
+        self.hashes, self.weight = hashes, weight
+
+    def vectors(self, row: np.ndarray, h: np.ndarray, count: np.ndarray, rows: int):
+        """For every row the numbers of its indexed terms and their weights, of unit length.
+
+        Terms outside the index add to the length; the constant feature comes last, numbered
+        after the indexed terms.
+        """
+        number = _numbers(h, self.hashes)
+        w = (1 + np.log(count)) * self.weight[number]
+        cut = np.searchsorted(row, np.arange(rows + 1))
+        for a, b in zip(cut[:-1], cut[1:]):
+            length = math.sqrt(float(w[a:b] @ w[a:b]) + _CONSTANT**2)
+            known = np.flatnonzero(number[a:b] < len(self.hashes)) + a
+            yield np.append(number[known], len(self.hashes)), np.round(np.append(w[known], _CONSTANT) / length, 9)
+
+
+def class_weights(toxic: np.ndarray, held: np.ndarray, t: int, n: int) -> np.ndarray:
+    """Chi-square statistic, at least 1, of terms in ``held`` of ``n`` rows, ``toxic`` of them among the ``t`` toxic ones."""
+    both = held * (n - held) * float(t) * (n - t)
+    return np.maximum(1.0, np.divide(n * (toxic * float(n) - held * float(t)) ** 2, both, out=np.zeros(len(held)), where=both > 0))
+
+
+def _ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places from each start to its end, and how many each has."""
+    size = end - start
+    stop = np.cumsum(size)
+    return np.arange(stop[-1] if len(stop) else 0) + np.repeat(start - stop + size, size), size
 
 
 class Index:
@@ -150,27 +141,48 @@ class Index:
     def __init__(self, vectors: list, ids: list, labels: list, terms: int):
         entry: dict = {}
         for v, i, y in zip(vectors, ids, labels):
-            e = entry.setdefault(v, [[], 0, 0])
-            e[0].append(i)
-            e[1 + y] += 1
-        # alike vectors side by side, so that blocks differ in their bounds
-        order = sorted(entry, key=lambda v: (v[0], v[1]))
-        self.entry = {v: i for i, v in enumerate(order)}
-        self.ids = [sorted(entry[v][0], key=str)[:5] for v in order]
-        self.clean = np.array([entry[v][1] for v in order], float)
-        self.toxic = np.array([entry[v][2] for v in order], float)
+            e = entry.setdefault(self.key(v), [v, [], 0, 0])
+            e[1].append(i)
+            e[2 + y] += 1
+
+        def place(key):  # entries that share their heaviest term side by side, so that blocks differ in their bounds
+            numbers, weights = entry[key][0]
+            top = int(np.argmax(weights))
+            return int(numbers[top]), -float(weights[top]), key
+
+        order = sorted(entry, key=place)
+        self.entry = {key: i for i, key in enumerate(order)}
+        self.ids = [sorted(entry[key][1], key=str)[:5] for key in order]
+        self.clean = np.array([entry[key][2] for key in order], float)
+        self.toxic = np.array([entry[key][3] for key in order], float)
         self.blocks = -(-len(order) // BLOCK)
-        postings: list[list] = [[] for _ in range(terms + 1)]
-        for i, (numbers, weights) in enumerate(order):
-            for t, w in zip(numbers, weights):
-                postings[t].append((i, w))
-        self.place = [np.array([p[0] for p in ps], np.int64) for ps in postings]
-        self.weight = [np.array([p[1] for p in ps]) for ps in postings]
-        cuts = np.arange(self.blocks + 1) * BLOCK
-        self.cut = [np.searchsorted(p, cuts) for p in self.place]
-        self.most = np.zeros((terms + 1, self.blocks))
-        for t, (p, w) in enumerate(zip(self.place, self.weight)):
-            np.maximum.at(self.most[t], p // BLOCK, w)
+        held = [entry[key][0] for key in order]
+        term = np.concatenate([v[0] for v in held]) if held else np.zeros(0, np.int64)
+        weight = np.concatenate([v[1] for v in held]) if held else np.zeros(0)
+        where = np.repeat(np.arange(len(held)), [len(v[0]) for v in held])
+        count = np.bincount(term, minlength=terms + 1)
+        wide = np.flatnonzero(count * 8 > len(held))
+        self.row = np.full(terms + 1, -1, np.int64)
+        self.row[wide] = np.arange(len(wide))
+        common = self.row[term] >= 0
+        self.rows = np.zeros((self.blocks, len(wide), BLOCK))
+        self.rows[where[common] // BLOCK, self.row[term[common]], where[common] % BLOCK] = weight[common]
+        self.row_most = np.ascontiguousarray(self.rows.max(axis=2).T) if self.blocks else np.zeros((len(wide), 0))
+        order = np.lexsort((where[~common], term[~common]))
+        term, where, self.weight = term[~common][order], where[~common][order], weight[~common][order]
+        self.place = where.astype(np.int32)
+        # one block posting for every run of postings of a term in a block
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (where[1:] // BLOCK != where[:-1] // BLOCK)
+        at = np.flatnonzero(new)
+        self.cut = np.append(at, len(term))
+        self.block = (where[at] // BLOCK).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, at) if len(at) else np.zeros(0)
+        self.first = np.searchsorted(term[at], np.arange(terms + 2))
+
+    @staticmethod
+    def key(vector: tuple) -> tuple[bytes, bytes]:
+        return vector[0].tobytes(), vector[1].tobytes()
 
     def nearest(self, vector: tuple, k: int, without: int | None = None, own: int = 0) -> list[tuple[float, int]]:
         """``(cosine, entry)`` of the nearest entries that together hold ``k`` examples or more.
@@ -178,30 +190,40 @@ class Index:
         Entries as near as the last one all count. ``without`` leaves one example of label
         ``own`` of that entry out.
         """
-        held = self.clean + self.toxic
         numbers, weights = vector
-        bound = sum(w * self.most[t] for t, w in zip(numbers, weights))
-        found: list[tuple[float, int]] = []
-        kth = -1.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] < kth - 1e-9:
+        held = self.clean + self.toxic
+        if without is not None:
+            held[without] -= 1
+        row = self.row[numbers]
+        q = np.zeros(self.rows.shape[1])
+        q[row[row >= 0]] = weights[row >= 0]
+        numbers, weights = numbers[row < 0], weights[row < 0]
+        flat, size = _ranges(self.first[numbers], self.first[numbers + 1])
+        weight, block = np.repeat(weights, size), self.block[flat]
+        bound = q @ self.row_most + np.bincount(block, weight * self.most[flat], self.blocks)
+        order = np.argsort(-bound, kind="stable")
+        entries, cosines, kth = np.zeros(0, np.int64), np.zeros(0), -1.0
+        for take in (order[:FIRST], order[FIRST:]):
+            take = take[bound[take] >= kth - 1e-8]
+            if not len(take):
                 break
-            score = np.zeros(BLOCK)
-            for t, w in zip(numbers, weights):
-                s, e = self.cut[t][b], self.cut[t][b + 1]
-                score[self.place[t][s:e] - b * BLOCK] += w * self.weight[t][s:e]
-            size = min(BLOCK, len(held) - b * BLOCK)
-            found += [(round(float(c), 9), b * BLOCK + i) for i, c in enumerate(score[:size]) if c >= kth - 1e-9]
-            found.sort(key=lambda x: (-x[0], x[1]))
-            have, keep = 0.0, len(found)
-            for i, (c, e) in enumerate(found):
-                have += held[e] - (e == without)
-                if have >= k:
-                    kth = c
-                    keep = next((j for j in range(i + 1, len(found)) if found[j][0] < c), len(found))
-                    break
-            del found[keep:]
-        return found
+            use = np.zeros(self.blocks, bool)
+            use[take] = True
+            some = np.flatnonzero(use[block])
+            post, size = _ranges(self.cut[flat[some]], self.cut[flat[some] + 1])
+            score = np.bincount(self.place[post], np.repeat(weight[some], size) * self.weight[post], self.blocks * BLOCK).reshape(-1, BLOCK)[take]
+            score = score + np.array([q @ self.rows[b] for b in take])
+            at = (take[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            there = at < len(held)
+            entries = np.append(entries, at[there])
+            cosines = np.append(cosines, np.round(score.ravel()[there], 9))
+            near = np.lexsort((entries, -cosines))
+            enough = np.searchsorted(np.cumsum(held[entries[near]]), k)
+            if enough < len(near):
+                kth = cosines[near[enough]]
+                near = near[cosines[near] >= kth]
+            entries, cosines = entries[near], cosines[near]
+        return list(zip(cosines.tolist(), entries.tolist()))
 
     def vote(self, vector: tuple, k: int, without: int | None = None, own: int = 0) -> tuple[float, list]:
         """Share of toxic among the neighbours, weighted by nearness, and the neighbours."""
@@ -229,17 +251,18 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class Model:
-    """What a task needs to score texts; its size is bounded by the sample and the terms."""
+    """What a task needs to score texts; its size is bounded by the sample of examples."""
 
-    def __init__(self, hashes, idf, vectors, ids, labels, weights, k):
-        self.hashes, self.idf, self.k = hashes, idf, k
-        self.index = Index(vectors, ids, labels, len(hashes))
+    def __init__(self, space: Space, vectors: list, ids: list, labels: list, weights: list, k: int):
+        self.space, self.k = space, k
+        self.index = Index(vectors, ids, labels, len(space.hashes))
         known: dict = {}
         raw = []
         for v, y in zip(vectors, labels):
-            if (v, y) not in known:
-                known[v, y] = self.index.vote(v, k, self.index.entry[v], y)[0]
-            raw.append(known[v, y])
+            e = self.index.entry[self.index.key(v)]
+            if (e, y) not in known:
+                known[e, y] = self.index.vote(v, k, e, y)[0]
+            raw.append(known[e, y])
         x, y, w = np.array(raw), np.array(labels, float), np.array([weights[y] for y in labels])
         # two pseudo examples at the ends keep scores off 0 and 1
         x, y, w = np.append(x, [0, 1]), np.append(y, [0.5, 0.5]), np.append(w, [min(weights), min(weights)])
@@ -247,60 +270,54 @@ class Model:
         self.seen: dict = {}
 
     def score(self, vector: tuple) -> tuple[float, list]:
-        if vector not in self.seen:
-            if len(self.seen) > 50_000:
+        key = hashlib.sha256(b"|".join(self.index.key(vector))).digest()
+        if key not in self.seen:
+            if len(self.seen) >= REMEMBERED:
                 self.seen.clear()
             share, near = self.index.vote(vector, self.k)
-            # nearer the far end of its step counts a little more, so that steps keep an order
             told = float(np.interp(share, self.x, self.y))
             proof = [(self.index.ids[e], c, float(self.index.toxic[e] / (self.index.toxic[e] + self.index.clean[e]))) for c, e in near[:5]]
-            self.seen[vector] = (min(max(told, 0.0), 1.0), proof)
-        return self.seen[vector]
+            self.seen[key] = (min(max(told, 0.0), 1.0), proof)
+        return self.seen[key]
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int, k: int, max_terms: int, least: float, ratio: float, id_col: str, text_col: str, label_col: str) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, per_class: int, k: int, id_col: str, text_col: str, label_col: str) -> Model | None:
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
     known = known.withColumn("order", F.xxhash64("id"))
     totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     picked = known.filter("toxic = 1").orderBy("order", "id").limit(per_class).unionByName(known.filter("toxic = 0").orderBy("order", "id").limit(per_class))
     # at most 2 * per_class ids
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(F.broadcast(picked.select("id", "toxic")), "id")
-    chosen = materialize(chosen, "examples")
-    hashes, idf = choose_terms(_present(chosen, "t", "id", "toxic"), docs, text_col, max_terms, least, ratio)
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((hashes, idf))
-
-    def vectors(batches):
-        for batch in batches:
-            for at, n, data, offsets in text_slices(batch, "t"):
-                part = batch.slice(at, n)
-                v = weigh(data, offsets, *shared.value)
-                yield pa.record_batch([part.column(0), part.column(1), pa.array([x[0] for x in v], pa.list_(pa.int64())), pa.array([x[1] for x in v], pa.list_(pa.float64()))],
-                                      names=["id", "toxic", "terms", "weights"])
-
-    schema = T.StructType([chosen.schema["id"], T.StructField("toxic", T.IntegerType()), T.StructField("terms", T.ArrayType(T.LongType())), T.StructField("weights", T.ArrayType(T.DoubleType()))])
-    rows = chosen.select("id", "toxic", "t").mapInArrow(vectors, schema).collect()
-    rows.sort(key=lambda r: (str(r["id"]), r["toxic"], r["terms"], r["weights"]))
-    ys = [r["toxic"] for r in rows]
-    if not rows or len(set(ys)) < 2:
+    sample = sorted(_example_terms(materialize(chosen, "examples")).to_pylist(), key=lambda r: (str(r["id"]), r["toxic"], r["terms"], r["counts"]))
+    ys = [r["toxic"] for r in sample]
+    if len(set(ys)) < 2:
         return None
+    terms = [np.array(r["terms"], np.int64).view(np.uint64) for r in sample]
+    h, row = np.concatenate(terms), np.repeat(np.arange(len(sample)), [len(x) for x in terms])
+    count = np.concatenate([np.array(r["counts"], np.int64) for r in sample])
+    hashes, place = np.unique(h, return_inverse=True)
+    held = np.bincount(place, minlength=len(hashes)).astype(float)
+    toxic = np.bincount(place, np.array(ys, float)[row], len(hashes))
+    found, rows = _frequencies(docs, text_col, hashes)
+    weight = np.log((1 + rows) / (1 + np.minimum(found, rows))) + 1
+    weight[:len(hashes)] *= class_weights(toxic, held, sum(ys), len(ys))
+    space = Space(hashes, weight)
     # each class weighs as in all labelled rows
     weights = [totals[y] / ys.count(y) for y in (0, 1)]
-    return Model(hashes, idf, [(tuple(r["terms"]), tuple(r["weights"])) for r in rows], [r["id"] for r in rows], ys, weights, k)
+    return Model(space, list(space.vectors(row, h, count, len(sample))), [r["id"] for r in sample], ys, weights, k)
 
 
-def score(docs: DataFrame, labels: DataFrame, per_class: int = 2000, k: int = 15, max_terms: int = 2000, least: float = 0.025, ratio: float = 3.0,
-          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, per_class: int = 2000, k: int = 15, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """``id, score, evidence`` for every row of ``docs``.
 
     ``labels`` are the rows to learn from, at most ``per_class`` of either class by a hash of the
     id; other ids' labels must be left out by the caller. ``score`` is the calibrated probability
     of label 1 and ``evidence`` up to five nearest examples as ``(id, cosine, toxic share)``. Null
-    and empty texts have only the constant feature and score like other texts without terms.
-    Without labels of both classes every score is 0.5. Of several labels of an id the highest
-    counts; repeated rows are scored one by one; other columns are not used.
+    and empty texts have only the constant feature. Without labelled texts of both classes every
+    score is 0.5. Of several labels of an id the highest counts; repeated rows are scored one by
+    one; other columns are not used.
     """
-    model = train(docs, labels, per_class, k, max_terms, least, ratio, id_col, text_col, label_col)
+    model = train(docs, labels, per_class, k, id_col, text_col, label_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_type = docs.schema[id_col].dataType
     proof = pa.list_(pa.struct([("id", pa.string()), ("cosine", pa.float64()), ("toxic", pa.float64())]))
@@ -309,7 +326,7 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 2000, k: int = 15
         m = shared.value
         for batch in batches:
             for at, n, data, offsets in text_slices(batch, "t"):
-                told = [m.score(v) for v in weigh(data, offsets, m.hashes, m.idf)] if m else [(0.5, [])] * n
+                told = [m.score(v) for v in m.space.vectors(*_terms(data, offsets), n)] if m else [(0.5, [])] * n
                 seen = [[{"id": str(i), "cosine": c, "toxic": y} for ids, c, y in near for i in ids[:1]] for _, near in told]
                 yield pa.record_batch([batch.column(0).slice(at, n), pa.array([x[0] for x in told], pa.float64()), pa.array(seen, proof)], names=["id", "score", "evidence"])
 
