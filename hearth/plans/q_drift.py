@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from hearth.functions.exprs import rnd
 from hearth.operators import drift
 from hearth.plans.registry import query
 from hearth.plans.sqlparts import EVENTS_CTE, SALES_CTE, hash_sql
+from hearth.session import checkpoint_dir
 from hearth.sources.bindings import events_split, sales_split
 
 NUM = ["qty", "ext", "disc", "acctbal", "quality"]
