@@ -60,6 +60,21 @@ def fingerprint(df: DataFrame, id_col: str, cols: Sequence[str] | None = None,
     return whole.join(top, how="inner").join(meta, how="inner")
 
 
+def fingerprint_by(df: DataFrame, by: str, id_col: str, cols: Sequence[str], head: int = 200) -> DataFrame:
+    """H2 per group: the fingerprint of the rows in struct column ``_row`` for
+    every value of ``by`` (NULL is a group): rows, md5 of the first ``head``
+    rows in key and text order, hash of all rows.  The first rows are cut
+    before the shuffle, so a hot group costs each task ``head`` rows."""
+    val = [F.col(f"_row.`{c}`") for c in cols]
+    txt = F.concat_ws("|", *[F.coalesce(v.cast("string"), F.lit("")) for v in val])
+    top = df.select(by, F.col(f"_row.`{id_col}`").alias("_k"), txt.alias("_t"))
+    first = Window.partitionBy(by).orderBy("_k", "_t")
+    top = top.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= head).groupBy(F.col(by).alias("_by")).agg(
+        F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "_t"))), lambda s: s["_t"]), "\n")).alias("head_md5"))
+    whole = df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*val).cast("decimal(20,0)")).cast("string").alias("table_hash"))
+    return whole.join(top, F.col(by).eqNullSafe(F.col("_by")), "inner").drop("_by")
+
+
 def list_runs(runs: DataFrame, model: str | None = None) -> DataFrame:
     """H3: well-formed run ids (timestamp pattern), sorted."""
     d = runs.filter(F.col("run_id").rlike(RUN_ID_PATTERN))

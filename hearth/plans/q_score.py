@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
 from hearth.functions.exprs import rnd
 from hearth.operators.impute import medians
-from hearth.operators import profile, registry, score
+from hearth.operators import profile, registry, score, search
 from hearth.plans.q_flagship import ERR_SQL, oof_errors
+from hearth.plans.q_models import _search_ctes, one_feature
 from hearth.plans.registry import query
 from hearth.plans.sqlparts import SALES_CTE
-from hearth.session import checkpoint_dir
+from hearth.session import checkpoint_dir, cut_lineage
 from hearth.sources.bindings import sales, sales_split
 
 SPLIT = f"""WITH {SALES_CTE.strip()},
@@ -49,10 +51,75 @@ def _i1(spark, sf):
 
 @query("i2_score_lineage")
 def _i2(spark, sf):
-    _ref, cur = sales_split(spark, sf)
-    fp = registry.fingerprint(cur, "id", ["id", "segment", "priority"])
-    return score.score_lineage(spark, "ridge/best", "ridge/2025-01-01_000000", fp,
-                               "models/ridge/2025-01-01_000000/model").drop("scored_at")
+    """All columns of the rows to score enter the fingerprint; the run is trained, registered and resolved here."""
+    d, aliases, runs = _trained(spark, sf)
+    _told, lineage = score.score_requests(d.drop("label").withColumn("model_id", F.lit("global/best")), "id", "model_id", runs, aliases)
+    return lineage.drop("scored_at", "model_path")
+
+
+# runs of two families: (family, run, ridge penalty), in the order of their registration
+TRAINED = [("ridge", "2025-06-01_120000", 500.0), ("ridge", "2025-06-02_120000", 1.0), ("heavy", "2025-06-03_120000", 5000.0)]
+# what the rows ask for, by id modulo 8; the last is NULL
+ASKED = ["global/best", "ridge/best", "ridge/latest", "ridge/2025-06-01_120000", "global/latest", "heavy/production", "ridge/nope"]
+
+
+def _trained(spark, sf):
+    """Three registered runs of a one-feature ridge on ``quality``: (rows, current aliases, runs)."""
+    d = cut_lineage(sales(spark, sf).select("id", F.col("quality").alias("x"), F.log1p("price").alias("label")))
+    root = os.path.join(checkpoint_dir(spark), f"registry-{uuid.uuid4().hex}")
+    for family, run_id, alpha in TRAINED:
+        search.train_run(spark, d, one_feature(alpha), family, "id", "label", 3, 42, root, run_id, ["x"])
+    return d, registry.current_aliases(registry.read_events(spark, root)), registry.read_runs(spark, root)
+
+
+def _asked(d):
+    by = F.expr("id % 8")
+    ask = F.lit(None).cast("string")
+    for i, a in enumerate(ASKED):
+        ask = F.when(by == i, F.lit(a)).otherwise(ask)
+    return d.select("id", "x", ask.alias("model_id"))
+
+
+REQUESTS_SQL = f"""WITH {SALES_CTE.strip()},
+sx AS (SELECT id, quality AS x, ln(1 + price) AS y FROM sales),
+{_search_ctes("det", (42,), 3, {f"r{i}": a for i, (_f, _r, a) in enumerate(TRAINED)})},
+t AS (SELECT v.model, v.run_id, v.alpha, det.cv_rmse FROM det JOIN (VALUES
+      {", ".join(f"('r{i}', '{f}', '{r}', {a})" for i, (f, r, a) in enumerate(TRAINED))}) v(candidate, model, run_id, alpha) ON det.candidate = v.candidate),
+al AS (SELECT 'global/best' AS request, arg_min(model || '/' || run_id, cv_rmse) AS model_id FROM t
+       UNION ALL SELECT 'global/latest', arg_max(model || '/' || run_id, run_id) FROM t
+       UNION ALL SELECT model || '/best', arg_min(model || '/' || run_id, cv_rmse) FROM t GROUP BY model
+       UNION ALL SELECT model || '/latest', arg_max(model || '/' || run_id, run_id) FROM t GROUP BY model
+       UNION ALL SELECT model || '/' || run_id, model || '/' || run_id FROM t),
+rows_ AS (SELECT id, x, CASE id % 8 {" ".join(f"WHEN {i} THEN '{a}'" for i, a in enumerate(ASKED))} END AS request FROM sx),
+told AS (SELECT rows_.*, al.model_id, CASE WHEN al.model_id IS NOT NULL THEN 'ok' WHEN request IS NULL THEN 'malformed'
+                WHEN request = 'heavy/production' THEN 'unset' ELSE 'unknown_run' END AS status
+         FROM rows_ LEFT JOIN al USING (request))"""
+
+
+@query("i1_score_requests", f"""{REQUESTS_SQL},
+m AS (SELECT t.model || '/' || t.run_id AS model_id, mx, my, sx, n * cxy / sx / (n + alpha) AS c
+      FROM t, (SELECT COUNT(*) AS n, AVG(x) AS mx, AVG(y) AS my, stddev_pop(x) AS sx, covar_pop(x, y) AS cxy FROM sx))
+SELECT id, request AS requested_model_id, told.model_id, round(my + c * (x - mx) / sx, 8) AS pred_log, status
+FROM told LEFT JOIN m USING (model_id)
+""")
+def _i1r(spark, sf):
+    d, aliases, runs = _trained(spark, sf)
+    told, _lineage = score.score_requests(_asked(d), "id", "model_id", runs, aliases)
+    return told.select("id", "requested_model_id", "model_id", rnd("pred_log", 8).alias("pred_log"), "status")
+
+
+@query("i2_lineage_of_requests", f"""{REQUESTS_SQL},
+h AS (SELECT *, row_number() OVER (PARTITION BY request ORDER BY id) AS n FROM told)
+SELECT request AS requested_model_id, any_value(model_id) AS resolved_model_id, any_value(status) AS status, COUNT(*) AS input_rows,
+       md5(string_agg(id || '|' || x || '|' || coalesce(request, ''), chr(10) ORDER BY n) FILTER (WHERE n <= 200)) AS input_head_md5,
+       any_value('models/' || model_id || '/model') AS model_path
+FROM h GROUP BY request
+""")
+def _i2r(spark, sf):
+    d, aliases, runs = _trained(spark, sf)
+    _told, lineage = score.score_requests(_asked(d), "id", "model_id", runs, aliases)
+    return lineage.select("requested_model_id", "resolved_model_id", "status", "input_rows", "input_head_md5",
+                          F.regexp_extract("model_path", "models/.*$", 0).alias("model_path"))
 
 
 def _prof_sql(src: str = "ref") -> str:

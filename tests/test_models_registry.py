@@ -115,3 +115,41 @@ def test_early_stopping_by_rounds(spark, frame):
     x = Pipeline(stages=prep(d, False)).fit(d).transform(d)
     rows = models.early_stopping_cv(x, lambda: models.boosted_depth(6, step=0.3), "fold", 2, rounds=3).collect()
     assert [r["fold"] for r in rows] == [0, 1] and all(1 <= r["best_iteration"] <= 6 and r["rmse"] > 0 for r in rows)
+
+
+def test_score_requests(spark):
+    """Runs with different features, every kind of request, clashing column names, NULL keys, repeated rows, no rows."""
+    from hearth.operators import registry, score
+    from hearth.plans.q_models import one_feature
+    train = spark.range(200).select((F.col("id") % 17).cast("double").alias("x"), (F.col("id") % 23).cast("double").alias("z"),
+                                    (F.col("id") % 17 * 0.5 + 1).alias("label"))
+    root, fitted, recs = _root(), {}, []
+    for family, run, col in (("a", "2025-01-01_000000", "x"), ("b", "2025-01-02_000000", "z")):
+        fitted[family] = one_feature(1.0, col)().fit(train)
+        recs.append((family, run, 0.2, [col], io.save_model(fitted[family], root, family, run)))
+    runs = spark.createDataFrame(recs, "model string, run_id string, cv_rmse double, features array<string>, artifact string").withColumn("ts", registry.run_ts(F.col("run_id")))
+    aliases = spark.createDataFrame([("global", "b", "best", "2025-01-02_000000", 0.2), ("family", "a", "latest", "2025-01-01_000000", 0.2),
+                                     ("family", "a", "staging", "2024-01-01_000000", 0.2)],
+                                    "scope string, model string, alias string, run_id string, cv_rmse double")
+    asks = ["global/best", "a/latest", "a/2025-01-01_000000", "a/staging", "a/best", "b/none", "bad", None]
+    rows = [(i, float(i), float(-i), asks[i % 8], "r", "s", "k", 7) for i in range(40)] + [(None, 1.0, 2.0, "a/latest", "r", "s", "k", 7)] * 3
+    df = spark.createDataFrame(rows, "id int, x double, z double, ask string, _row string, status string, _key string, _run int")
+    told, lineage = score.score_requests(df, "id", "ask", runs, aliases)
+    got = told.collect()
+    assert len(got) == 43 and sum(r["id"] is None for r in got) == 3
+    want = {f: {r["id"]: r["prediction"] for r in m.transform(df.filter("id is not null")).collect()} for f, m in fitted.items()}
+    status = {"global/best": "ok", "a/latest": "ok", "a/2025-01-01_000000": "ok", "a/staging": "no_artifact", "a/best": "unset", "b/none": "unknown_run", "bad": "malformed", None: "malformed"}
+    for r in got:
+        ask = r["requested_model_id"]
+        assert r["status"] == status[ask]
+        if r["status"] != "ok":
+            assert r["pred_log"] is None and r["model_id"] is None
+        elif r["id"] is not None:
+            family = "b" if ask == "global/best" else "a"
+            assert r["model_id"].startswith(family + "/") and abs(r["pred_log"] - want[family][r["id"]]) < 1e-12
+    line = {r["requested_model_id"]: r for r in lineage.collect()}
+    assert set(line) == set(asks) and line["a/latest"]["input_rows"] == 8 and line["a/staging"]["resolved_model_id"] is None
+    one = registry.fingerprint(df.filter("ask = 'global/best'"), "id").first()
+    assert (line["global/best"]["input_table_hash"], line["global/best"]["input_head_md5"]) == (one["table_hash"], one["head_md5"])
+    told, lineage = score.score_requests(df.limit(0), "id", "ask", runs, aliases)
+    assert told.count() == 0 and lineage.count() == 0 and told.columns == ["id", "requested_model_id", "model_id", "pred_price", "pred_log", "status"]
