@@ -44,7 +44,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="hearth-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        sc.setCheckpointDir(named)  # a core setting cannot be set in a running session
+        named = sc.getCheckpointDir()
     return named.rstrip("/")
 
 

@@ -26,3 +26,16 @@ def test_every_survey_id_has_a_query():
     assert len(expected) == 138
     assert expected <= ids
     assert set(o) <= set(q)
+
+
+def test_scratch_folder_without_setting(tmp_path):
+    """A local session without ``spark.checkpoint.dir`` gets one folder, the same at every call."""
+    import os
+    import subprocess
+    import sys
+    code = ("from hearth.session import checkpoint_dir, cut_lineage, get_spark; s = get_spark(master='local[1]'); "
+            "a = checkpoint_dir(s); assert a == checkpoint_dir(s); print('rows', cut_lineage(s.range(5)).count())")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120,
+                         env={**os.environ, "SPARK_CONF_DIR": str(tmp_path), "TMPDIR": str(tmp_path)})
+    assert "rows 5" in out.stdout, out.stderr[-2000:]
