@@ -13,7 +13,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round links the larger neighbours, then the smaller neighbours, of every node to the
     smallest one it knows, and writes the links to the shared folder, so a lost executor repeats
-    at most one round. Rounds grow with the logarithm of the longest path. Nothing is collected
+    at most one round. The joins sort and merge: no link table passes through the driver. Rounds grow with the logarithm of the longest path. Nothing is collected
     but the count and checksum that tell when the links stop changing.
     """
     links = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
@@ -21,9 +21,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while mark[0]:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(low.hint("merge"), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+        small = large.join(low.hint("merge"), "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         small = small.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
         links = materialize(small, "links")
         last, mark = mark, _mark(links)

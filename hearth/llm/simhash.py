@@ -144,6 +144,8 @@ def links(fps: DataFrame, max_bits: int = 4, segments: int = 3, bucket_limit: in
 
     ``fps`` has one column ``fp`` of distinct longs. The links span every connected group of the
     full graph; inside crowded entries they are those to the smallest holder of a midpoint.
+    Spark takes an exploded table for no larger than the one before, and would broadcast it: the
+    joins are hinted to sort and merge.
     """
     parts = _segments(max_bits, segments)
     table = fps.select("fp", F.explode(F.array(*[_key(F.col("fp"), s, a, w) for s, (a, w, _) in enumerate(parts)])).alias("key"))
@@ -152,7 +154,7 @@ def links(fps: DataFrame, max_bits: int = 4, segments: int = 3, bucket_limit: in
     probes = fps.select(F.col("fp").alias("p"), F.explode(F.array(*balls)).alias("key"))
     pairs = (
         table.join(crowded, "key", "left_anti")
-        .join(probes, "key")
+        .join(probes.hint("merge"), "key")
         .filter((F.col("p") < F.col("fp")) & (F.bit_count(F.col("p").bitwiseXOR(F.col("fp"))) <= max_bits))
         .select(F.col("p").alias("a"), F.col("fp").alias("b"))
     )
@@ -164,7 +166,7 @@ def links(fps: DataFrame, max_bits: int = 4, segments: int = 3, bucket_limit: in
     held = around.select("fp", F.col("fp").bitwiseXOR(F.col("f")).alias("mid"),
                          (F.bit_count("f") <= inner).alias("inner"))
     centre = held.filter("inner").groupBy("mid").agg(F.min("fp").alias("a"))
-    stars = held.join(centre, "mid").filter(F.col("a") != F.col("fp")).select("a", F.col("fp").alias("b"))
+    stars = held.join(centre.hint("merge"), "mid").filter(F.col("a") != F.col("fp")).select("a", F.col("fp").alias("b"))
     return pairs.unionByName(stars).distinct()
 
 
@@ -185,7 +187,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = 4, shingle: int = 4, seed:
     fps = materialize(base.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
     edges = links(fps.select("fp"), max_bits, segments, bucket_limit)
     roots = connected_components(edges)
-    known = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    known = fps.join(roots.hint("merge"), fps["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    final = known.join(least, "root").select("fp", "root", "component_id")
-    return base.join(final, "fp").select("id", "key", "fp", "root", "component_id")
+    final = known.join(least.hint("merge"), "root").select("fp", "root", "component_id")
+    return base.join(final.hint("merge"), "fp").select("id", "key", "fp", "root", "component_id")

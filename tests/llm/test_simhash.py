@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from hearth.llm.components import connected_components
 from hearth.llm.simhash import fingerprint, links, near_duplicates
+from pyspark.sql import functions as F
 
 
 def brute_fp(text):
@@ -83,3 +84,13 @@ def test_components_of_chain_star_and_nothing(spark):
 
 def test_empty_table(no_docs):
     assert near_duplicates(no_docs).collect() == []
+
+
+def test_no_table_that_grows_with_the_rows_is_broadcast(spark, tmp_path):
+    # 45 probes and up to 2,081 midpoints a fingerprint: Spark's estimate of an exploded table is that of its source
+    fps = spark.range(3000).select(F.xxhash64("id").alias("fp"))
+    fps.write.parquet(f"{tmp_path}/fps")
+    plan = links(spark.read.parquet(f"{tmp_path}/fps"), 4, 3, 64)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 2
+    # only the keys of crowded entries, one for each over bucket_limit fingerprints, may be
+    assert all(kind not in line or "LeftAnti" in line or "LeftSemi" in line for line in plan.splitlines() for kind in ("BroadcastHashJoin", "BroadcastNestedLoopJoin"))
