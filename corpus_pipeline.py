@@ -73,7 +73,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_duplicates(_narrow(rows, "doc_id", "text"), max_bits=4, shingle=4, key_col="row").select("id", "key", "root")
     found = materialize(found, "groups")
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("x")).select("x.key")
-    return _without(rows, found.join(first, "key", "left_anti"), "copies")
+    return _without(rows, found.join(first.hint("merge"), "key", "left_anti"), "copies")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
