@@ -1,9 +1,10 @@
 import math
 from collections import Counter, defaultdict
 
+import numpy
 import pytest
 from hearth.llm.queries import URL_RULES, URL_TERMS
-from hearth.llm.urls import filter_urls, fit, rule_for, scores, seed_labels, split_url
+from hearth.llm.urls import calibrate, filter_urls, fit, rule_for, scores, seed_labels, split_url
 from pyspark.sql import functions as F
 
 
@@ -87,3 +88,33 @@ def test_without_labels_or_rows(spark):
     none = pages.select("url", F.lit(True).alias("accepted")).limit(0)
     assert {r["id"]: r["verdict"] for r in filter_urls(pages, none, URL_RULES).collect()} == {1: "allow", 2: "block", 3: "allow"}
     assert filter_urls(pages.limit(0), none, URL_RULES).collect() == []
+
+
+def test_all_labelled_urls_fit_the_models(spark, monkeypatch):
+    # 20,500 accepted URLs and one rejected: every distinct one fits or sets the cut-off
+    from hearth.llm import urls
+    held = {}
+
+    def fitted(labelled, order):
+        held["fit"] = labelled.count()
+        return fit(labelled, order)
+
+    def cut(scored, false_rejection):
+        held["cut"] = scored.count()
+        return calibrate(scored, false_rejection)
+
+    monkeypatch.setattr(urls, "fit", fitted)
+    monkeypatch.setattr(urls, "calibrate", cut)
+    known = spark.range(20_500).select(F.concat(F.lit("http://a/"), F.col("id").cast("string")).alias("url"), F.lit(True).alias("accepted"))
+    known = known.unionByName(spark.createDataFrame([("http://bets/", False)], known.schema))
+    pages = spark.createDataFrame([(1, "http://a/1"), (2, "http://bets/1")], "page_id long, url string")
+    assert len(filter_urls(pages, known, [], order=1).collect()) == 2
+    assert held["fit"] + held["cut"] == 20_501
+
+
+def test_cutoff_is_the_exact_quantile(spark):
+    good, bad = [i * 0.37 % 5 for i in range(501)], [i * 0.11 % 3 for i in range(77)]
+    df = spark.createDataFrame([*((x, True) for x in good), *((x, False) for x in bad), (None, True)], "score double, accepted boolean")
+    assert calibrate(df, 0.005).first()["cutoff"] == pytest.approx(numpy.quantile(good, 0.005), abs=1e-12)
+    assert calibrate(df.filter(F.col("accepted")), 0.5).first()["cutoff"] == pytest.approx(numpy.quantile(good, 0.5), abs=1e-12)
+    assert calibrate(df.limit(0), 0.5).first()["cutoff"] is None
