@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearth.operators.encode import PopulationScaler
+from hearth.session import cut_lineage
 
 
 def _vectors(df: DataFrame, cols: Sequence[str], id_col: str) -> DataFrame:
-    filled = df.select(id_col, *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(c)
-                                 for c in cols])
+    # read by the scaler, every pass of the fits and the projection: written once
+    filled = cut_lineage(df.select(id_col, *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(c)
+                                             for c in cols]))
     scaled = PopulationScaler(inputCols=list(cols)).fit(filled).transform(filled)
     return VectorAssembler(inputCols=list(cols), outputCol="features").transform(scaled)
 

@@ -136,17 +136,18 @@ def train_run(spark: SparkSession, df: DataFrame, make: Callable[[], object], mo
     replaces its own results and registers nothing twice."""
     from hearth.operators.registry import current_aliases, fingerprint, promote, read_events, read_runs, write_part
     from hearth.sources.io import save_model, write_metrics
-    d = assign_folds(df, id_col, k, seed)
-    oof, averaged, _m = oof_predict(d, make, "fold", id_col, k, test=test)
+    d = cut_lineage(assign_folds(df, id_col, k, seed))  # read by the fits, the join and the fingerprint
+    oof, averaged, _m = oof_predict(d, make, "fold", id_col, k, test=test, checkpoint=False)
     part = f"model={model}/run_id={run_id}"
-    write_part(oof.select(id_col, "fold", "pred_log"), f"{root}/predictions/split=oof/{part}")
+    told = f"{root}/predictions/split=oof/{part}"
+    write_part(oof.select(id_col, "fold", "pred_log"), told)
     if averaged is not None:
         write_part(averaged, f"{root}/predictions/split=test/{part}")
-    j = oof.join(d.select(id_col, label), id_col)
+    j = spark.read.schema(oof.select(id_col, "fold", "pred_log").schema).parquet(told).join(d.select(id_col, label), id_col)
     summ = fold_summary(j, label, "pred_log").first()
     final = make().fit(d)
     path = save_model(final, os.path.join(root, "models"), model, run_id)
-    fp = fingerprint(df, id_col).first()
+    fp = fingerprint(d.select(*[F.col(f"`{c}`") for c in df.columns]), id_col).first()
     rec = spark.createDataFrame(
         [(model, run_id, float(summ["oof_rmse"]), [float(x["rmse"]) for x in summ["fold_rmse"]],
           {"seed": str(seed), "n_splits": str(k), "model_name": model}, list(features),
