@@ -140,12 +140,13 @@ def spearman(df: DataFrame, cols: Sequence[str], target: str, min_pairs: int = 2
     full, gaps = [x for x in names if held[x] == rows], [x for x in names if held[x] < rows]
     parts = []
     if full:
-        ranked = cut_lineage(with_average_rank(wide.select("y", "_by", *full, *[f"_b{x}" for x in full]), [], "y", "_by", "_ry", levels))
+        ranked = cut_lineage(with_average_rank(wide.select("y", "_by", *full, *[f"_b{x}" for x in full]), [], "y", "_by", "_ry", levels, rows))
         j = pairs(ranked, full, "_ry")
-        parts.append(with_average_rank(j, ["feature"], "_x", "_bx", "_rx", levels))
+        parts.append(with_average_rank(j, ["feature"], "_x", "_bx", "_rx", levels, rows * len(full)))
     if gaps:
-        j = with_average_rank(pairs(wide, gaps, "y", "_by"), ["feature"], "y", "_by", "_ry", levels)
-        parts.append(with_average_rank(j, ["feature"], "_x", "_bx", "_rx", levels))
+        count = sum(held[x] for x in gaps)
+        j = with_average_rank(pairs(wide, gaps, "y", "_by"), ["feature"], "y", "_by", "_ry", levels, count)
+        parts.append(with_average_rank(j, ["feature"], "_x", "_bx", "_rx", levels, count, pairs(wide, gaps)))
     j = parts[0].select("feature", "_rx", "_ry")
     for more in parts[1:]:
         j = j.unionByName(more.select("feature", "_rx", "_ry"))

@@ -5,7 +5,8 @@ row lies on an edge or strictly between two.  Rows on an edge all have that valu
 the buckets alone give their rank; a value that a third of the rows share is always an edge.  Rows
 between two edges are ranked inside their bucket: by a window while the edges bound its rows by
 ``MOST_ROWS``, else by edges of its own, level after level, with prefix sums of the counts of every
-level.  Any edges give the same ranks.
+level.  Any edges give the same ranks.  The buckets are dealt over as many tasks as the rows need, so
+that the memory of a task does not follow the rows.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from hearth.session import cut_lineage
 MOST_EDGES = 1023
 #: rows of a bucket that one window task sorts
 MOST_ROWS = 200_000
+#: rows of all buckets that one window task sorts, on average
+TASK_ROWS = 250_000
 
 
 def edge_count(rows: int) -> int:
@@ -38,6 +41,14 @@ def levels_for(rows: int) -> int:
     return levels
 
 
+def dealt(rows: DataFrame, keys: Sequence[str], count: int | None) -> DataFrame:
+    """Rows in tasks of about ``TASK_ROWS`` by ``keys``, ``count`` rows at most in all; an exchange
+    without a count would be coalesced to a task a core, whatever the rows."""
+    if count is None:
+        return rows
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(count / TASK_ROWS)), *keys)
+
+
 def number(c: str | Column) -> Column:
     """The column as double, negative zero as zero, NaN as NULL."""
     x = (F.col(c) if isinstance(c, str) else c).cast("double") + F.lit(0.0)
@@ -77,17 +88,20 @@ def starts_of(rows: DataFrame, by: Sequence[str], b: str) -> DataFrame:
     return g.select(*by, filled.alias("_before"), F.transform(every, lambda s: F.coalesce(s["_n"], F.lit(0))).alias("_in"), "_rows")
 
 
-def with_places(rows: DataFrame, keys: Sequence[str], v: str, w: str, levels: int) -> DataFrame:
+def with_places(rows: DataFrame, keys: Sequence[str], v: str, w: str, levels: int, count: int | None = None) -> DataFrame:
     """Add ``_less`` and ``_same``: the weight ``w`` of the rows of a bucket (``keys``) below the
     row's value ``v``, plus ``_start``, and of those with this value.
 
     With ``levels`` the bucket is split by edges of its own: rows on one take their place from
-    counts, rows between two from their smaller bucket."""
+    counts, rows between two from their smaller bucket.  ``count`` as for ``dealt``."""
     keys = list(keys)
     if not levels:
-        upto = F.sum(w).over(Window.partitionBy(*keys).orderBy(v).rangeBetween(Window.unboundedPreceding, Window.currentRow))
-        rows = rows.withColumn("_same", F.sum(w).over(Window.partitionBy(*keys, v)))
-        return rows.withColumn("_less", F.col("_start") + upto - F.col("_same"))
+        # both frames in one window: a second one by the value would sort the rows again
+        bucket = Window.partitionBy(*keys).orderBy(v)
+        upto = F.sum(w).over(bucket.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        same = F.sum(w).over(bucket.rangeBetween(Window.currentRow, Window.currentRow))
+        rows = dealt(rows, keys, count).withColumns({"_same": same, "_upto": upto})
+        return rows.withColumn("_less", F.col("_start") + F.col("_upto") - F.col("_same")).drop("_upto")
     cell = f"_l{levels}"
     probs = [i / (MOST_EDGES + 1) for i in range(1, MOST_EDGES + 1)]
     edges = rows.groupBy(*keys).agg(F.percentile_approx(v, probs, 10 * (MOST_EDGES + 1)).alias("_e"))
@@ -99,21 +113,23 @@ def with_places(rows: DataFrame, keys: Sequence[str], v: str, w: str, levels: in
     counts = counts.withColumn("_more", F.coalesce(F.sum("_held").over(before), F.lit(0)))
     cut = cut.join(counts, [*keys, cell]).withColumn("_start", F.col("_start") + F.col("_more")).drop("_more")
     on = cut.filter(F.col(cell) % 2 == 1).withColumn("_less", F.col("_start")).withColumn("_same", F.col("_held"))
-    between = with_places(cut.filter(F.col(cell) % 2 == 0).drop("_held"), [*keys, cell], v, w, levels - 1)
+    between = with_places(cut.filter(F.col(cell) % 2 == 0).drop("_held"), [*keys, cell], v, w, levels - 1, count)
     columns = [*rows.columns, "_less", "_same"]
     return on.select(columns).unionByName(between.select(columns))
 
 
-def with_average_rank(df: DataFrame, by: Sequence[str], v: str, b: str, out: str, levels: int = 0) -> DataFrame:
+def with_average_rank(df: DataFrame, by: Sequence[str], v: str, b: str, out: str, levels: int = 0,
+                      count: int | None = None, counted: DataFrame | None = None) -> DataFrame:
     """Rows with their 1-based rank in the group; equal values share the mean of their places.
 
     ``b`` is the bucket of ``v``; ``by`` has few groups (columns of a table); ``levels`` as
-    ``levels_for`` the rows."""
+    ``levels_for`` the rows, ``count`` as for ``dealt``; ``counted`` has the buckets of the same rows
+    where ``df`` is dear to read twice."""
     cols = [*df.columns, out]
-    starts = F.broadcast(starts_of(df, by, b))  # one row of bounded arrays per group
+    starts = F.broadcast(starts_of(df if counted is None else counted, by, b))  # one row of bounded arrays per group
     rows = df.join(starts, list(by)) if by else df.join(starts)
     rows = rows.withColumn("_start", F.get("_before", F.col(b))).withColumn("_held", F.get("_in", F.col(b))).drop("_before", "_in", "_rows")
     on = rows.filter(F.col(b) % 2 == 1).withColumn(out, F.col("_start") + (F.col("_held") + 1) / 2)
-    between = with_places(rows.filter(F.col(b) % 2 == 0).drop("_held").withColumn("_w", F.lit(1)), [*by, b], v, "_w", levels)
+    between = with_places(rows.filter(F.col(b) % 2 == 0).drop("_held").withColumn("_w", F.lit(1)), [*by, b], v, "_w", levels, count)
     between = between.withColumn(out, F.col("_less") + (F.col("_same") + 1) / 2)
     return on.select(cols).unionByName(between.select(cols))

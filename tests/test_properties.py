@@ -2,6 +2,8 @@
 distribution with itself is 0, Johnson inverse undoes the transform,
 stratified allocation sums to n, results do not depend on partitioning."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -281,6 +283,38 @@ def test_ranks_by_edges_of_edges(spark, monkeypatch, levels):
     assert len(both) == 30_000 and (both.iloc[:, :3].to_numpy() == both.iloc[:, 3:].to_numpy()).all()
 
 
+def test_rank_tasks_follow_the_rows(spark, monkeypatch):
+    # a task sorts a bounded number of rows, once, however many rows there are
+    from hearth.operators import ranks
+    monkeypatch.setattr(ranks, "TASK_ROWS", 1_000, raising=False)
+    real, tasks, sorts = ranks.with_places, [], []
+
+    def watched(*args):
+        placed = real(*args)
+        tasks.append(placed.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first())
+        plan = placed._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        sorts.append(sum("Sort [" in line and f"{args[2]}#" in line for line in plan.splitlines()))
+        return placed
+
+    monkeypatch.setattr(ranks, "with_places", watched)
+    monkeypatch.setattr(score, "with_places", watched)
+    d = cut(spark.range(40_000, numPartitions=5).select("id", F.rand(1).alias("a"), F.when(F.col("id") % 7 > 0, F.rand(2)).alias("b"), F.rand(3).alias("y")))
+    got = {r["feature"]: r for r in spearman(d, ["a", "b"], "y").collect()}
+    want = d.toPandas().corr("spearman")["y"]
+    assert all(got[c]["spearman"] == pytest.approx(want[c], abs=1e-12) for c in "ab") and got["b"]["n"] == 34_285
+    ranked = score.percentile_rank(d, "y", d, "y")
+    assert ranked.agg(F.countDistinct("pct_rank")).first()[0] == 40_000
+    assert len(tasks) == 5 and all(total > 30_000 and 8 * most < total for most, total in tasks), tasks  # more than the session's 8 partitions
+    assert sorts == [1] * 5
+
+
+def test_average_rank_of_infinite_ties_in_a_bucket(spark):
+    vals = [math.inf, math.inf, -math.inf, -math.inf, 0.0, -0.0, 1.5, 1.5, 1.5, 2.0]
+    d = spark.createDataFrame([(v,) for v in vals], "x double").select(number("x").alias("x"), F.lit(0).alias("_bx"))
+    got = sorted((r["x"], r["rank"]) for r in with_average_rank(d, [], "x", "_bx", "rank", count=len(vals)).collect())
+    assert [r for _, r in got] == [1.5, 1.5, 3.5, 3.5, 6.0, 6.0, 6.0, 8.0, 9.5, 9.5]
+
+
 def test_rank_levels_bound_buckets():
     from hearth.operators.ranks import MOST_EDGES, MOST_ROWS, edge_count, levels_for
     for rows in (0, 1, 10**5, 10**7, 10**9, 10**10, 10**11, 10**13):
