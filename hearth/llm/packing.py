@@ -9,6 +9,7 @@ open sequence with room, found in a tournament tree whose inner nodes hold the l
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 
@@ -27,18 +28,44 @@ _PLAIN = re.compile("[\t\n\r -~¡-§©«-®°-±¶-·»¿-įıĴ-ľŁ-ňŊ-ž‐
 _LETTERS = "a-zÀ-ÖØ-öø-ž"
 # the tokenizer's own split pattern (fixed values), with its classes written out for these characters
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^ \t\n\r{_LETTERS}0-9]+")
-_CACHE_WORDS = 600_000
+# A worker outlives its task and holds what it has loaded while other stages run beside it, so
+# pieces are kept in two generations of about so many, the longest ones not at all.
+_CACHE_WORDS = 65_536
+_CACHE_CHARS = 64
+_JOINED = 512
 _LOADED: dict[str, tuple] = {}
 
 
 def _tokenizer(path: str):
-    """The tokenizer of a worker and its pieces seen so far, as little-endian 32-bit ids."""
+    """The tokenizer of a worker, its ids that end a word, and two generations of pieces seen."""
     if path not in _LOADED:
+        # a task has one core; a thread for each core of the machine would hold memory of its own
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        _LOADED[path] = (Tokenizer.from_file(path), {})
+        tok = Tokenizer.from_file(path)
+        vocab = tok.get_vocab()
+        ends = np.zeros(max(vocab.values()) + 1, bool)
+        ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        _LOADED[path] = (tok, ends, [{}, {}])
     return _LOADED[path]
 
 
+def _encode_words(tok, ends: np.ndarray, words: list[str]):
+    """Ids of each piece: many are encoded as one text and cut after the ids that end a word."""
+    for at in range(0, len(words), _JOINED):
+        part = words[at:at + _JOINED]
+        ids = np.array(tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(ends[ids]) + 1
+        if len(stops) == len(part) and stops[-1] == len(ids):
+            raw, start = ids.tobytes(), 0
+            for stop in (4 * stops).tolist():
+                yield raw[start:stop]
+                start = stop
+        else:
+            for e in tok.encode_batch_fast(part, add_special_tokens=False):
+                yield np.array(e.ids, "<u4").tobytes()
+
+
 def _word_level(path: str) -> bool:
     return path.endswith("word_bpe_49k.json")
 
@@ -47,10 +74,11 @@ def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers, no special tokens added.
 
     The ids are those of the tokenizer file. For the word-level file, where pieces between splits
-    are encoded one by one, pieces seen before come from a bounded cache; a text with characters
-    outside the plain set, or with a special token's text, goes to the tokenizer whole.
+    are encoded one by one, pieces seen before come from a bounded cache, from which those go
+    first that were not met for the longest; a text with characters outside the plain set, or with
+    a special token's text, goes to the tokenizer whole.
     """
-    tok, seen = _tokenizer(path)
+    tok, ends, kept = _tokenizer(path)
     if not _word_level(path):
         return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
     out: list = [None] * len(texts)
@@ -62,16 +90,22 @@ def token_bytes(texts: list[str], path: str) -> list[bytes]:
             new.update(words)
         else:
             odd.append(i)
-    if len(seen) > _CACHE_WORDS:
-        seen.clear()
+    if len(kept[0]) > _CACHE_WORDS:
+        kept[:] = {}, kept[0]
+    seen, before = kept
+    new.difference_update(seen)
+    for w in new & before.keys():
+        seen[w] = before.pop(w)
     new = [w for w in new if w not in seen]
-    if new:
-        for w, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False)):
-            seen[w] = np.array(e.ids, "<u4").tobytes()
+    seen.update(zip(new, _encode_words(tok, ends, new)))
     for i, words in split:
         out[i] = b"".join(map(seen.__getitem__, words))
-    if odd:
-        for i, e in zip(odd, tok.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False)):
+    for w in new:
+        if len(w) > _CACHE_CHARS:
+            del seen[w]
+    for at in range(0, len(odd), 16):
+        part = odd[at:at + 16]
+        for i, e in zip(part, tok.encode_batch_fast([texts[i] for i in part], add_special_tokens=False)):
             out[i] = np.array(e.ids, "<u4").tobytes()
     return out
 
@@ -103,6 +137,7 @@ def pieces(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1, ids:
                 if ids:
                     cols["ids"] = pa.array(raw, pa.list_(pa.int32()))
                 yield pa.record_batch(cols)
+        pa.default_memory_pool().release_unused()  # the worker stays idle beside later stages
 
     fields = [T.StructField("id", docs.schema[id_col].dataType)] + [T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens")]
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType()))] if ids else []
